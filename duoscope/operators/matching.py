@@ -16,11 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duoscope.operators.ordering import BLOCK_ROWS, block_of, with_occurrence
+from duoscope.operators.ordering import BLOCK_ROWS, block_of, fits_one_block, with_occurrence
 from duoscope.sources.shared import shared_folder, written
 
 # Key columns of observed and simulated events.
@@ -51,8 +51,12 @@ def without_nan_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _occurrence_map(calib, stereo, keys, block_rows) -> DataFrame:
     """run, tel, sseq and the seq of the same occurrence of the same keys (or null)."""
-    left = with_occurrence(stereo, GROUP, keys, "sseq", block_rows)
-    right = with_occurrence(without_nan_keys(calib, keys), GROUP, keys, "seq", block_rows)
+
+    def numbered(rows, seq):
+        short = fits_one_block(rows, seq, block_rows)
+        return with_occurrence(rows, GROUP, keys, seq, block_rows, one_block=short)
+
+    left, right = numbered(stereo, "sseq"), numbered(without_nan_keys(calib, keys), "seq")
     return left.join(right, [*GROUP, *keys, "occ"], "left").select(*GROUP, "sseq", "seq")
 
 
@@ -103,23 +107,41 @@ def _equal_tails(stereo: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _walk(calib: pd.DataFrame, stereo: pd.DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
-    """(sseq, seq) pairs of one block of one run, starting at the first open stereo row."""
-    calib = calib.sort_values("seq")
-    stereo = stereo.sort_values("sseq")
-    both = pd.concat([calib[list(keys)], stereo[list(keys)]])
-    codes = both.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy()
-    codes[both.isna().any(axis=1).to_numpy()] = -1
-    wanted = codes[len(calib):].tolist()
-    sseq = stereo["sseq"].tolist()
-    pairs, open_row = [], 0
-    for code, seq in zip(codes[: len(calib)].tolist(), calib["seq"].tolist()):
-        if open_row == len(wanted):
-            break
-        if code >= 0 and code == wanted[open_row]:
-            pairs.append((sseq[open_row], seq))
-            open_row += 1
-    return pairs
+def walker(keys: Sequence[str]):
+    """Function for a cogroup of one run: (calibrated block, open stereo rows) to matched rows.
+
+    It refers to nothing in this package, so workers need not import it.
+    """
+    keys = list(keys)
+
+    def rows_of(table: pa.Table) -> list[tuple]:
+        return list(zip(*[table.column(key).to_pylist() for key in keys]))
+
+    def walk(calib: pa.Table, stereo: pa.Table) -> pa.Table:
+        calib, stereo = calib.sort_by("seq"), stereo.sort_by("sseq")
+        wanted = iter(zip(rows_of(stereo), stereo.column("sseq").to_pylist()))
+        key, sseq = next(wanted, (None, None))
+        found_sseq, found_seq = [], []
+        for row, seq in zip(rows_of(calib), calib.column("seq").to_pylist()):
+            if key is None:
+                break
+            if row == key and None not in row:
+                found_sseq.append(sseq)
+                found_seq.append(seq)
+                key, sseq = next(wanted, (None, None))
+        owner = calib if calib.num_rows else stereo
+        run, tel = owner.column("run")[0].as_py(), owner.column("tel")[0].as_py()
+        n = len(found_seq)
+        return pa.table(
+            {
+                "run": pa.array([run] * n, pa.string()),
+                "tel": pa.array([tel] * n, pa.string()),
+                "sseq": pa.array(found_sseq, pa.int64()),
+                "seq": pa.array(found_seq, pa.int64()),
+            }
+        )
+
+    return walk
 
 
 def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
@@ -139,12 +161,6 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
     schema = "run string, tel string, sseq long, seq long"
     open_rows = runs.select(*GROUP, F.lit(0).cast("long").alias("_open"))
 
-    def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        pairs = _walk(left, right, keys) if len(left) and len(right) else []
-        out = pd.DataFrame(pairs, columns=["sseq", "seq"], dtype="int64")
-        run, tel = (left if len(left) else right)[list(GROUP)].iloc[0]
-        return out.assign(run=run, tel=tel)[["run", "tel", "sseq", "seq"]]
-
     blocks = [row[0] for row in calib.select("block").distinct().orderBy("block").toLocalIterator()]
     for step, block in enumerate(blocks):
         ahead = stereo.join(open_rows, list(GROUP)).filter(
@@ -154,7 +170,7 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
             calib.filter(F.col("block") == block)
             .groupBy(*GROUP)
             .cogroup(ahead.drop("_open").groupBy(*GROUP))
-            .applyInPandas(walk, schema)
+            .applyInArrow(walker(keys), schema)
         )
         pairs.write.parquet(f"{path}/step={step}")
         done = spark.read.schema(schema).parquet(f"{path}/step=*")

@@ -71,13 +71,19 @@ def with_occurrence(
     seq: str,
     block_rows: int = BLOCK_ROWS,
     out: str = "occ",
+    one_block: bool = False,
 ) -> DataFrame:
     """Adds the 1-based count of earlier rows of the group with the same keys.
 
-    Only groups longer than one block need offsets between blocks, so the
-    counts per key and block are taken from those groups alone.
+    Only groups longer than one block need offsets between blocks, so the counts
+    per key and block are taken from those groups alone. ``one_block`` says that
+    the caller has checked that there are none.
     """
     tagged = df.withColumn("_block", block_of(seq, block_rows))
+    local = Window.partitionBy(*group, *keys, "_block").orderBy(seq)
+    placed = tagged.withColumn("_local", F.row_number().over(local))
+    if one_block:
+        return placed.select(*df.columns, F.col("_local").cast("long").alias(out))
     long_groups = (
         tagged.groupBy(*group).agg(F.max("_block").alias("_last")).filter("_last > 0").select(*group)
     )
@@ -96,14 +102,18 @@ def with_occurrence(
         .filter(F.col("_offset") > 0)
         .drop("_rows")
     )
-    local = Window.partitionBy(*group, *keys, "_block").orderBy(seq)
-    placed = tagged.withColumn("_local", F.row_number().over(local))
     return placed.join(offsets, [*group, *keys, "_block"], "left").select(
         *df.columns,
         (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("long").alias(out),
     )
 
 
+def fits_one_block(df: DataFrame, seq: str, block_rows: int = BLOCK_ROWS) -> bool:
+    """Whether no group is longer than one block."""
+    last = df.agg(F.max(seq)).first()[0]
+    return last is None or last < block_rows
+
+
 def running_max(
     df: DataFrame,
     group: Sequence[str],

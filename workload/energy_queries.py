@@ -16,13 +16,19 @@ from workload.source_queries import PREDICTED, prediction_files
 PRED = (q.SCALE, PREDICTED)
 
 
-def mean_model():
-    """A stand-in for a trained model: the mean of the features."""
+def mean_of_features():
+    """A stand-in for a trained model: the mean of the features.
 
-    def predict(pix: np.ndarray) -> np.ndarray:
-        return pix.astype("f8").mean(axis=1)
+    Nested, so that workers need not import this module.
+    """
 
-    return predict
+    def make_predict_fn():
+        def predict(pix: np.ndarray) -> np.ndarray:
+            return pix.astype("f8").mean(axis=1)
+
+        return predict
+
+    return make_predict_fn
 
 
 @query(q.sql(q.SCALE, select=f"select {q.r6('mean')} as mean, {q.r6('std')} as std from scale"))
@@ -88,7 +94,7 @@ def impute_value(spark, sf_dir):
     )
 )
 def score(spark, sf_dir):
-    rows = en.score(t.stereo_rows(spark, sf_dir, True), mean_model, 2 * t.N_FEATURES)
+    rows = en.score(t.stereo_rows(spark, sf_dir, True), mean_of_features(), 2 * t.N_FEATURES)
     return rows.select("run", "event_id", F.round("dl", 6).alias("dl"))
 
 

@@ -8,7 +8,7 @@ from duoscope.operators.matching import MC_KEYS
 from duoscope.plans.preprocess import preprocess
 from workload import sql as q
 from workload import tables as t
-from workload.energy_queries import mean_model
+from workload.energy_queries import mean_of_features
 from workload.norm_queries import mc_norm
 from workload.registry import query
 from workload.selection_queries import SELECT
@@ -81,7 +81,7 @@ def surviving_events(spark, sf_dir):
 )
 def preprocess_data(spark, sf_dir):
     """Selection, join, normalisation, scores and energies of observed events."""
-    done = prepared(spark, sf_dir, make_predict_fn=mean_model, n_features=2 * t.N_FEATURES)
+    done = prepared(spark, sf_dir, make_predict_fn=mean_of_features(), n_features=2 * t.N_FEATURES)
     return done.energies.select(
         "run", "sseq", "nanotime", "time2", "id", F.round("dl", 6).alias("dl")
     )
@@ -115,7 +115,7 @@ def preprocess_mc(spark, sf_dir):
     """Simulated events; the norm is built on the way."""
     rows, keys = mc_events(spark, sf_dir)
     done = preprocess(
-        "mc", rows, keys, make_predict_fn=mean_model, n_features=2 * t.N_FEATURES
+        "mc", rows, keys, make_predict_fn=mean_of_features(), n_features=2 * t.N_FEATURES
     )
     return done.energies.select(
         "run", "sseq", F.round("mc_truth", 6).alias("mc_truth"), F.round("dl", 6).alias("dl")

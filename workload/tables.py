@@ -86,18 +86,16 @@ def stereo_events(spark: SparkSession, sf_dir: str, min_value: float = 5.0) -> D
     """run, user_id, sseq and keys of the stereo list at one cleaning level."""
     rows = base(spark, sf_dir).filter((F.col("value") > min_value) & (F.col("event_id") % 7 != 0))
     both = F.col("event_id") % 11 != 0
-    keys = ["nanotime", "time2", "id"]
     shift = F.when((situation() == 4) & (F.col("seq0") % 8 == 0), 17).otherwise(0)
-    listed = rows.filter(both | (situation() == 3)).select(
-        "run", "user_id", (2 * F.col("seq0") + shift).alias("pos"), *keys
-    )
-    repeated = rows.filter(both & (situation() == 5))
-    last = repeated.groupBy("run").agg(F.max("seq0").alias("seq0"))
-    tail = repeated.join(last, ["run", "seq0"]).select(
-        "run", "user_id", (2 * F.col("seq0") + 1).alias("pos"), *keys
+    pos = 2 * F.col("seq0") + shift
+    listed = rows.filter(both | (situation() == 3))
+    last = listed.filter(situation() == 5).groupBy("run").agg(F.max("seq0").alias("_last"))
+    places = F.when(F.col("_last") == F.col("seq0"), F.array(pos, pos + 1)).otherwise(F.array(pos))
+    listed = listed.join(last, "run", "left").select(
+        "run", "user_id", F.explode(places).alias("pos"), "nanotime", "time2", "id"
     )
     return number_rows(
-        listed.unionByName(tail), ["run"], [F.floor(F.col("pos") / 100_000)], ["pos", "id"], "sseq"
+        listed, ["run"], [F.floor(F.col("pos") / 100_000)], ["pos", "id"], "sseq"
     ).drop("pos")
 
 
