@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
+from duoscope.sources.shared import listed
 
 # Size of a stacked output file, share of training runs.
 MAX_BYTES = 2_500_000_000
@@ -98,7 +99,7 @@ def batch_files(files: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
 
 def union_batches(events: DataFrame, batched: DataFrame) -> DataFrame:
     """Events with the batch of their file; write them ``partitionBy("batch")``."""
-    return events.join(batched.select("name", "batch"), "name")
+    return events.join(listed(batched.select("name", "batch"), "batches"), "name")
 
 
 def write_batches(stacked: DataFrame, path: str, max_records: int = 0) -> None:
@@ -148,4 +149,4 @@ def train_test_split_runs(runs: DataFrame, share: float = TRAIN_SHARE) -> DataFr
 
 
 def with_side(events: DataFrame, sides: DataFrame) -> DataFrame:
-    return events.join(sides, "run")
+    return events.join(listed(sides, "sides"), "run")

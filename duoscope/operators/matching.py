@@ -188,16 +188,20 @@ def match_events(
     keys: Sequence[str] = DATA_KEYS,
     repair_tail: bool = True,
     block_rows: int = BLOCK_ROWS,
+    stored: bool = False,
 ) -> Match:
     """Matches ``stereo`` (run, tel, sseq, keys) against ``calib`` (run, tel, seq, keys).
 
     ``sseq`` counts from 0 without gaps; ``seq`` only has to increase. Statuses:
     ``ok``, ``tail_dup`` (the last stereo row repeats the one before and has no
     partner of its own: the last matched row is kept twice), ``mismatch``,
-    ``empty`` (nothing matches) and ``calib_shorter``.
+    ``empty`` (nothing matches) and ``calib_shorter``. The keys are read several
+    times; ``stored`` says that both inputs are narrow tables on disk already.
     """
-    calib = written(calib.select(*GROUP, "seq", *keys), "calib-keys")
-    stereo = written(stereo.select(*GROUP, "sseq", *keys), "stereo-keys")
+    calib = calib.select(*GROUP, "seq", *keys)
+    stereo = stereo.select(*GROUP, "sseq", *keys)
+    if not stored:
+        calib, stereo = written(calib, "calib-keys"), written(stereo, "stereo-keys")
     mapping = written(_occurrence_map(calib, stereo, keys, block_rows), "match")
 
     n_calib = calib.groupBy(*GROUP).agg(F.count("*").alias("n_calib"))

@@ -15,12 +15,20 @@ from duoscope.operators.matching import (
     Match,
     match_events,
 )
-from duoscope.operators.ordering import BLOCK_ROWS, block_of, number_rows, running_max, with_occurrence
+from duoscope.operators.ordering import (
+    BLOCK_ROWS,
+    block_of,
+    number_rows,
+    running_max,
+    with_occurrence,
+)
+from duoscope.sources.shared import listed, written
 
 
 def keep_valid_subruns(events: DataFrame, valid: DataFrame) -> DataFrame:
     """Rows of the run/subrun pairs that exist after cleaning."""
-    return events.join(valid.select("run", "subrun").distinct(), ["run", "subrun"], "left_semi")
+    pairs = listed(valid.select("run", "subrun").distinct(), "valid")
+    return events.join(pairs, ["run", "subrun"], "left_semi")
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -78,7 +86,9 @@ def run_status(match: Match, completeness: DataFrame | None = None, stereo: Data
 
 def split_by_status(events: DataFrame, status: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events of accepted runs, and those of all other runs."""
-    accepted = status.filter(F.col("status").isin(*ACCEPTED)).select("run").distinct()
+    accepted = listed(
+        status.filter(F.col("status").isin(*ACCEPTED)).select("run").distinct(), "accepted"
+    )
     return events.join(accepted, "run", "left_semi"), events.join(accepted, "run", "left_anti")
 
 
@@ -127,7 +137,7 @@ def quality_cut(files: DataFrame, passed: DataFrame) -> tuple[DataFrame, DataFra
 
 def skip_done(events: DataFrame, done: DataFrame, on: Sequence[str] = ("run",)) -> DataFrame:
     """Events of runs that the output does not hold yet."""
-    return events.join(done.select(*on).distinct(), list(on), "left_anti")
+    return events.join(listed(done.select(*on).distinct(), "done"), list(on), "left_anti")
 
 
 def truncate_events(events: DataFrame, n: int, by: Sequence[str] = GROUP, order: str = "seq") -> DataFrame:
@@ -180,18 +190,20 @@ def select_events(
     """Valid subruns, complete runs, ordered match, acceptance of whole runs.
 
     Returns the kept rows (run, tel, sseq, seq) of accepted runs and the status of
-    every run. Only key columns take part; join the result to the events with
-    :func:`duoscope.operators.stereo.attach_position`.
+    every run, both as tables on disk. Only key columns take part; join the result
+    to the events with :func:`duoscope.operators.stereo.attach_position`.
     """
-    narrow = events.select(*[c for c in (*GROUP, "subrun", "seq", *keys) if c in events.columns])
+    columns = [c for c in (*GROUP, "subrun", "seq", *keys) if c in events.columns]
+    narrow = written(events.select(*columns), "calib-keys")
+    stereo = written(stereo.select(*GROUP, "sseq", *keys), "stereo-keys")
     completeness, wanted = None, stereo
     if valid is not None:
         narrow = keep_valid_subruns(narrow, valid)
-        completeness = complete_runs(narrow.select(*GROUP, "subrun"), valid)
+        completeness = listed(complete_runs(narrow.select(*GROUP, "subrun"), valid), "complete")
         usable = completeness.filter("complete").select(*GROUP)
         wanted = stereo.join(usable, list(GROUP), "left_semi")
         narrow = narrow.join(usable, list(GROUP), "left_semi")
-    match = match_events(narrow, wanted, keys, repair_tail, block_rows)
-    status = run_status(match, completeness, stereo)
+    match = match_events(narrow, wanted, keys, repair_tail, block_rows, stored=True)
+    status = listed(run_status(match, completeness, stereo), "status")
     accepted = status.filter(F.col("status").isin(*ACCEPTED)).select(*GROUP)
-    return Match(match.kept.join(accepted, list(GROUP), "left_semi"), status)
+    return Match(written(match.kept.join(accepted, list(GROUP), "left_semi"), "kept"), status)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duoscope.functions.arrays import interleave
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS, without_nan_keys
 from duoscope.operators.ordering import block_of, number_rows
+from duoscope.sources.shared import listed
 
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
 
@@ -20,15 +21,36 @@ def with_position(events: DataFrame, order: str = "seq", out: str = "sseq") -> D
     return number_rows(events, group, [block_of(order)], [order], out)
 
 
+def key_growth(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per run of both telescopes and of their join on ``keys``, without joining rows.
+
+    A key that occurs a times in M1 and b times in M2 gives a * b rows.
+    """
+    join = ["run", *keys]
+
+    def counted(events: DataFrame, name: str) -> DataFrame:
+        return without_nan_keys(events.select(*join), keys).groupBy(*join).agg(F.count("*").alias(name))
+
+    per_key = counted(m1, "_n1").join(counted(m2, "_n2"), join, "full_outer").na.fill(0, ["_n1", "_n2"])
+    sums = per_key.groupBy("run").agg(
+        F.sum("_n1").alias("n_1"),
+        F.sum("_n2").alias("n_2"),
+        F.sum(F.col("_n1") * F.col("_n2")).alias("n_joined"),
+    )
+    return sums.withColumn("ok", F.col("n_joined") <= F.greatest("n_1", "n_2"))
+
+
 def stereo_join(
-    m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1"
+    m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1", check: bool = True
 ) -> DataFrame:
     """One row per stereo event with interleaved features.
 
     ``on="time"`` joins observed events on their keys, ``on="mc"`` simulated ones,
     ``on="position"`` joins the k-th rows of both telescopes (by ``sseq``, which
     :func:`with_position` supplies). Keys and pointing come from ``keys_from``:
-    usually M1 for observed and M2 for simulated events.
+    usually M1 for observed and M2 for simulated events. ``check`` refuses key
+    joins that would have more rows in a run than its longer input: repeated keys
+    would otherwise multiply.
     """
     if keys_from not in ("M1", "M2"):
         raise ValueError(f"keys_from must be M1 or M2, not {keys_from}")
@@ -38,6 +60,8 @@ def stereo_join(
     if on == "position":
         left, right = m1, m2
     else:
+        if check and not key_growth(m1, m2, keys).filter(~F.col("ok")).isEmpty():
+            raise ValueError(f"repeated keys: joining on {keys} would multiply events")
         left, right = without_nan_keys(m1, keys), without_nan_keys(m2, keys)
     join = ["run", *keys]
     owner, other = (left, right) if keys_from == "M1" else (right, left)
@@ -86,7 +110,7 @@ def stereo_of_kept(events: DataFrame, kept: DataFrame, keys_from: str = "M1") ->
 
 def tail_duplicate(events: DataFrame, columns: Sequence[str], order: str = "sseq") -> DataFrame:
     """Per run and telescope whether the last two rows are equal; ``agree`` compares the telescopes."""
-    ends = events.groupBy("run", "tel").agg(F.max(order).alias("_end"))
+    ends = listed(events.groupBy("run", "tel").agg(F.max(order).alias("_end")), "ends")
     tail = events.join(ends, ["run", "tel"]).filter(F.col(order) >= F.col("_end") - 1)
     whole = F.struct(*columns)
     tails = tail.groupBy("run", "tel").agg(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from duoscope.functions import names
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS
+from duoscope.operators.ordering import null_safe_join
+from duoscope.sources.shared import listed, written
 
 # Key columns of a headered key file, one pair per stereo event.
 DATA_KEY_COLUMNS = ("nanotime_1", "time2_1", "id_1", "nanotime_2", "time2_2", "id_2")
@@ -101,14 +103,20 @@ def read_calib(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def with_seq(events: DataFrame, group: Sequence[str] = ("run", "tel")) -> DataFrame:
+def with_seq(
+    events: DataFrame, group: Sequence[str] = ("run", "tel"), stored: bool = False
+) -> DataFrame:
     """Adds ``seq``, the position of a row in the stacked files of its run, and drops the file columns.
 
     Row numbers of one scan task run on without gaps over a split, so the position
-    is the offset of the split plus the distance to its first row. The split table
-    has one row per task input; the events themselves are neither sorted nor, while
-    that table is small enough to broadcast, shuffled.
+    is the offset of the split plus the distance to its first row. They belong to
+    one reading of the files, hence the rows are written first, unless ``stored``
+    says that they come from such a table. The split table has one row per task
+    input; the events themselves are neither sorted nor, while that table is small
+    enough to broadcast, shuffled.
     """
+    if not stored:
+        events = written(events, "scan")
     piece = [*group, "file", "split_start"]
     splits = events.groupBy(*piece).agg(
         F.min("split_row").alias("_first"), F.count("*").alias("_rows")
@@ -118,9 +126,10 @@ def with_seq(events: DataFrame, group: Sequence[str] = ("run", "tel")) -> DataFr
         .orderBy("file", "split_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    splits = splits.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    offset = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    splits = listed(splits.select(*piece, "_first", offset), "splits")
     columns = [c for c in events.columns if c not in FILE_ORDER]
-    return events.join(splits.drop("_rows"), piece).select(
+    return null_safe_join(events, splits, piece, "inner").select(
         *columns, (F.col("_offset") + F.col("split_row") - F.col("_first")).alias("seq")
     )
 
@@ -208,19 +217,22 @@ def narrowed(events: DataFrame) -> DataFrame:
     return events.withColumn("pix", F.col("pix").cast("array<float>"))
 
 
-def write_events(events: DataFrame, path: str, by: Sequence[str] = ("run",)) -> DataFrame:
-    """Writes an event table, one folder per run; rewriting a run replaces it.
+def write_events(
+    events: DataFrame, path: str, by: Sequence[str] = ("run",), gather: bool = False
+) -> DataFrame:
+    """Writes an event table, one folder per value of ``by``; a rewritten run is replaced.
 
-    Rows of a run are spread over as many tasks as they had before the write;
-    nothing is shuffled. Dynamic overwrite leaves the other runs alone.
+    Rows that come from a scan are in run order already and are written without a
+    shuffle. After a join every task holds rows of many runs: ``gather`` brings
+    them together first, splitting large runs over several tasks, instead of
+    writing one small file per task and run. Other runs are left alone.
     """
-    (
-        narrowed(events)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    rows = narrowed(events)
+    if gather:
+        rows = rows.hint("rebalance", *by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *by
+    ).parquet(path)
     return read_events(events.sparkSession, path, events)
 
 
@@ -232,7 +244,7 @@ def read_events(spark: SparkSession, path: str, like: DataFrame | None = None) -
 
 def write_filtered(kept_events: DataFrame, path: str) -> DataFrame:
     """Selected events, one folder per run and telescope, replaced on a re-run."""
-    return write_events(kept_events, path, ("run", "tel"))
+    return write_events(kept_events, path, ("run", "tel"), gather=True)
 
 
 def write_event_buckets(events: DataFrame, table: str, buckets: int, by: Sequence[str] = ("run", "tel", "seq")) -> DataFrame:

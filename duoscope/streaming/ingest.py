@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
-from duoscope.operators.ordering import block_of, number_rows
 from duoscope.sources.events import parse_calib, with_seq
 
 
 def land_calib(spark: SparkSession, path: str, table: str, checkpoint: str) -> None:
     """Lands all files below ``path`` that are not landed yet, then returns.
 
-    Each row gets ``row``, its position in its file. A repeated batch (after a
-    failure) replaces its own folder, so every file lands exactly once.
+    Rows keep their place in their file. A repeated batch (after a failure)
+    replaces its own folder, so every file lands exactly once.
     """
     lines = (
         spark.readStream.format("text")
@@ -35,8 +34,7 @@ def land_calib(spark: SparkSession, path: str, table: str, checkpoint: str) -> N
 
     def land(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("split_row", F.monotonically_increasing_id())
-        placed = with_seq(parse_calib(rows), ["name"]).withColumnRenamed("seq", "row")
-        placed.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        parse_calib(rows).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     query = (
         lines.writeStream.foreachBatch(land)
@@ -50,4 +48,4 @@ def land_calib(spark: SparkSession, path: str, table: str, checkpoint: str) -> N
 def landed_events(spark: SparkSession, table: str) -> DataFrame:
     """All landed rows with ``seq``, their position in the stacked files of their run."""
     rows = spark.read.option("basePath", table).parquet(f"{table}/batch=*").drop("batch")
-    return number_rows(rows, ["run", "tel"], [F.col("name"), block_of("row")], ["row"]).drop("row")
+    return with_seq(rows, stored=True)

@@ -337,7 +337,7 @@ def write_filtered(spark, sf_dir):
     from workload.selection_queries import selected
 
     kept = attach_position(t.calib_events(spark, sf_dir), selected(spark, sf_dir).kept)
-    stored = ev.write_events(kept, shared_folder(spark, "filtered"), by=("tel",))
+    stored = ev.write_filtered(kept, shared_folder(spark, "filtered"))
     return stored.select("run", "tel", "sseq", "seq", "event_id", *digest()).drop("n_features")
 
 

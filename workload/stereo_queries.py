@@ -238,6 +238,25 @@ def join_growth(spark, sf_dir):
     return st.join_growth(m1, m2, joined)
 
 
+@query(
+    q.sql(
+        q.BASE,
+        q.CALIB,
+        """counts as (select run, count(*) filter (where tel = 'M1') as n_1,
+  count(*) filter (where tel = 'M2') as n_2 from calib group by run),
+ joined as (select a.run, count(*) as n_joined from calib a join calib b
+  on a.run = b.run and a.nanotime = b.nanotime and a.time2 = b.time2 and a.id = b.id
+  where a.tel = 'M1' and b.tel = 'M2' group by a.run)""",
+        select="""select c.run, n_1, n_2, coalesce(n_joined, 0) as n_joined,
+ coalesce(n_joined, 0) <= greatest(n_1, n_2) as ok from counts c left join joined j on j.run = c.run""",
+    )
+)
+def key_growth(spark, sf_dir):
+    """All runs, also those whose repeated keys would multiply."""
+    rows = t.calib(spark, sf_dir)
+    return st.key_growth(t.telescope(rows, "M1"), t.telescope(rows, "M2"), ["nanotime", "time2", "id"])
+
+
 @query(
     q.sql(
         q.BASE,
