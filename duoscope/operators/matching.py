@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duoscope.operators.ordering import BLOCK_ROWS, block_of, fits_one_block, with_occurrence
+from duoscope.operators.ordering import BLOCK_ROWS, block_of, fit_one_block, with_occurrence
 from duoscope.sources.shared import shared_folder, written
 
 # Key columns of observed and simulated events.
@@ -49,12 +49,11 @@ def without_nan_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept
 
 
-def _occurrence_map(calib, stereo, keys, block_rows) -> DataFrame:
+def _occurrence_map(calib, stereo, keys, block_rows, one_block) -> DataFrame:
     """run, tel, sseq and the seq of the same occurrence of the same keys (or null)."""
 
     def numbered(rows, seq):
-        short = fits_one_block(rows, seq, block_rows)
-        return with_occurrence(rows, GROUP, keys, seq, block_rows, one_block=short)
+        return with_occurrence(rows, GROUP, keys, seq, block_rows, one_block=one_block)
 
     left, right = numbered(stereo, "sseq"), numbered(without_nan_keys(calib, keys), "seq")
     return left.join(right, [*GROUP, *keys, "occ"], "left").select(*GROUP, "sseq", "seq")
@@ -144,7 +143,7 @@ def walker(keys: Sequence[str]):
     return walk
 
 
-def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
+def _walk_runs(calib, stereo, runs, keys, block_rows, one_block) -> DataFrame:
     """Matched pairs of ``runs``; one block of calibrated rows of every run per step.
 
     A block matches at most as many stereo rows as it has calibrated rows, so
@@ -152,16 +151,16 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
     step is the number of the first open stereo row of each run.
     """
     spark = calib.sparkSession
-    calib = written(
-        calib.join(runs, list(GROUP), "left_semi").withColumn("block", block_of("seq", block_rows)),
-        "walk-calib",
-    )
-    stereo = written(stereo.join(runs, list(GROUP), "left_semi"), "walk-stereo")
     path = shared_folder(spark, "walk")
     schema = "run string, tel string, sseq long, seq long"
+    calib = calib.join(runs, list(GROUP), "left_semi").withColumn("block", block_of("seq", block_rows))
+    stereo = stereo.join(runs, list(GROUP), "left_semi")
+    blocks = [0]
+    if not one_block:
+        calib, stereo = written(calib, "walk-calib"), written(stereo, "walk-stereo")
+        listing = calib.select("block").distinct().orderBy("block")
+        blocks = [row[0] for row in listing.toLocalIterator()]
     open_rows = runs.select(*GROUP, F.lit(0).cast("long").alias("_open"))
-
-    blocks = [row[0] for row in calib.select("block").distinct().orderBy("block").toLocalIterator()]
     for step, block in enumerate(blocks):
         ahead = stereo.join(open_rows, list(GROUP)).filter(
             (F.col("sseq") >= F.col("_open")) & (F.col("sseq") < F.col("_open") + block_rows)
@@ -202,7 +201,8 @@ def match_events(
     stereo = stereo.select(*GROUP, "sseq", *keys)
     if not stored:
         calib, stereo = written(calib, "calib-keys"), written(stereo, "stereo-keys")
-    mapping = written(_occurrence_map(calib, stereo, keys, block_rows), "match")
+    one_block = fit_one_block({"seq": calib, "sseq": stereo}, block_rows)
+    mapping = written(_occurrence_map(calib, stereo, keys, block_rows, one_block), "match")
 
     n_calib = calib.groupBy(*GROUP).agg(F.count("*").alias("n_calib"))
     last_only = (F.col("n_missing") == 1) & (F.col("last_missing") == F.col("n_ref") - 1)
@@ -227,7 +227,7 @@ def match_events(
     )
     to_walk = shape.filter("status = 'walk'").select(*GROUP)
     if not to_walk.isEmpty():
-        walked = _walk_runs(calib, stereo, to_walk, keys, block_rows)
+        walked = _walk_runs(calib, stereo, to_walk, keys, block_rows, one_block)
         found = walked.groupBy(*GROUP).agg(
             F.count("*").alias("_found"), F.max("seq").alias("_last_seq")
         )

@@ -9,6 +9,7 @@ runs over the whole group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,9 +109,10 @@ def with_occurrence(
     )
 
 
-def fits_one_block(df: DataFrame, seq: str, block_rows: int = BLOCK_ROWS) -> bool:
-    """Whether no group is longer than one block."""
-    last = df.agg(F.max(seq)).first()[0]
+def fit_one_block(tables: dict[str, DataFrame], block_rows: int = BLOCK_ROWS) -> bool:
+    """Whether no group of any table is longer than one block; keys are the position columns."""
+    tops = [table.agg(F.max(seq).alias("top")) for seq, table in tables.items()]
+    last = reduce(DataFrame.unionByName, tops).agg(F.max("top")).first()[0]
     return last is None or last < block_rows
 
 

@@ -186,16 +186,21 @@ def select_events(
     keys: Sequence[str] = DATA_KEYS,
     repair_tail: bool = True,
     block_rows: int = BLOCK_ROWS,
+    stored: bool = False,
 ) -> Match:
     """Valid subruns, complete runs, ordered match, acceptance of whole runs.
 
     Returns the kept rows (run, tel, sseq, seq) of accepted runs and the status of
     every run, both as tables on disk. Only key columns take part; join the result
     to the events with :func:`duoscope.operators.stereo.attach_position`.
+
+    The keys are read several times. With ``stored`` both inputs are tables on disk,
+    whose key columns are cheap to read again; otherwise the keys are written first.
     """
     columns = [c for c in (*GROUP, "subrun", "seq", *keys) if c in events.columns]
-    narrow = written(events.select(*columns), "calib-keys")
-    stereo = written(stereo.select(*GROUP, "sseq", *keys), "stereo-keys")
+    narrow, stereo = events.select(*columns), stereo.select(*GROUP, "sseq", *keys)
+    if not stored:
+        narrow, stereo = written(narrow, "calib-keys"), written(stereo, "stereo-keys")
     completeness, wanted = None, stereo
     if valid is not None:
         narrow = keep_valid_subruns(narrow, valid)

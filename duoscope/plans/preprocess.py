@@ -49,12 +49,14 @@ def preprocess(
     make_predict_fn: Callable | None = None,
     n_features: int | None = None,
     n_real: int = REAL_PIXELS,
+    stored: bool = False,
 ) -> Preprocessed:
     """Select events, join the telescopes, normalise, score, turn scores into energies.
 
     ``mode`` is ``data`` or ``mc`` and sets the key columns and the telescope whose
     keys are kept. Without ``stereo_keys`` the events count as selected already and
-    are paired by position; without ``make_predict_fn`` nothing is scored.
+    are paired by position; without ``make_predict_fn`` nothing is scored. ``stored``
+    says that events and stereo keys are tables on disk.
     """
     if mode not in ("data", "mc"):
         raise ValueError(f"mode must be data or mc, not {mode}")
@@ -64,7 +66,7 @@ def preprocess(
     keys, owner = (MC_KEYS, "M2") if mc else (DATA_KEYS, "M1")
     status = None
     if stereo_keys is not None:
-        match = select_events(events, stereo_keys, valid, keys)
+        match = select_events(events, stereo_keys, valid, keys, stored=stored)
         status = match.status
         stereo = stereo_of_kept(events, match.kept, keys_from=owner)
     else:
@@ -73,6 +75,9 @@ def preprocess(
         stereo = stereo_join(placed.filter(tel == "M1"), placed.filter(tel == "M2"), "position", owner)
     if normalize is None:
         return Preprocessed(status, stereo)
+    if norm is None and mc:
+        # Read twice, for the statistics and for scaling: joined once.
+        stereo = written(stereo, "stereo")
     norm = resolve_norm(mode, norm, stereo)
     if normalize == "camerawise":
         if not mc:

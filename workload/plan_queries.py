@@ -42,6 +42,7 @@ def prepared(spark, sf_dir, **options):
         t.stereo_keys(spark, sf_dir),
         t.valid_subruns(spark, sf_dir),
         norm=mc_norm(spark, sf_dir),
+        stored=True,
         **options,
     )
 

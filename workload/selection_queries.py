@@ -31,12 +31,15 @@ select_sql = partial(q.sql, *SELECT, recursive=True)
 
 
 def matched(spark, sf_dir, min_value: float = 5.0):
-    return match(t.calib(spark, sf_dir), t.stereo_keys(spark, sf_dir, min_value))
+    return match(t.calib(spark, sf_dir), t.stereo_keys(spark, sf_dir, min_value), stored=True)
 
 
 def selected(spark, sf_dir):
     return sel.select_events(
-        t.calib(spark, sf_dir), t.stereo_keys(spark, sf_dir), t.valid_subruns(spark, sf_dir)
+        t.calib(spark, sf_dir),
+        t.stereo_keys(spark, sf_dir),
+        t.valid_subruns(spark, sf_dir),
+        stored=True,
     )
 
 

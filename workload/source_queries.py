@@ -12,6 +12,7 @@ from duoscope.sources.shared import shared_folder
 from duoscope.streaming.ingest import land_calib, landed_events
 from workload import sql as q
 from workload import tables as t
+from workload.fixtures import stored_files
 from workload.registry import query
 
 
@@ -28,29 +29,27 @@ def digest(pix: str = "pix") -> list[Column]:
     ]
 
 
-def write_lines(lines: DataFrame, order: list[str], path: str, by: list[str]) -> None:
-    """Text files in row order, one folder per file name; long files have several parts."""
-    (
-        lines.repartitionByRange(*by, *order)
-        .sortWithinPartitions(*by, *order)
-        .select(*by, "value")
-        .write.partitionBy(*by)
-        .text(path)
-    )
+def in_file_order(lines: DataFrame, order: str) -> DataFrame:
+    """Rows by file and position; long files spread over several tasks."""
+    return lines.repartitionByRange("name", order).sortWithinPartitions("name", order)
+
+
+def write_keys(lines: DataFrame, order: str, path: str) -> None:
+    """Headered key files, one folder per file name."""
+    in_file_order(lines, order).drop(order).write.partitionBy("name").option("header", "true").csv(path)
 
 
 def day_tree(spark, sf_dir: str, by_day: bool = False) -> str:
-    """Folder with the day files as headerless text."""
-    rows = t.day_events(spark, sf_dir)
-    path = shared_folder(spark, "day-files")
-    lines = ev.calib_lines(rows)
-    by = ["name"]
-    if by_day:
-        lines = lines.withColumn("day", F.substring("name", 1, 8))
-        by = ["day", "name"]
-    lines = lines.withColumn("_id", F.split("value", ",")[2].cast("long"))
-    write_lines(lines, ["_id"], path, by)
-    return path
+    """Folder with the day files as headerless text; the rows come in file order."""
+    by = ["day", "name"] if by_day else ["name"]
+
+    def write(path: str) -> None:
+        lines = ev.calib_lines(t.day_events(spark, sf_dir))
+        if by_day:
+            lines = lines.withColumn("day", F.substring("name", 1, 8))
+        lines.select(*by, "value").write.partitionBy(*by).text(path)
+
+    return stored_files(spark, sf_dir, "-".join(["files", *by]), write)
 
 
 DAY_COLUMNS = ["name", "run", "subrun", "tel", "id", "nanotime", "time2", "zd", "az"]
@@ -142,23 +141,16 @@ def land_new_files(spark, sf_dir):
     )
 )
 def read_stereo_keys(spark, sf_dir):
-    rows = t.stereo_events(spark, sf_dir)
-    keys = ["nanotime", "time2", "id"]
-    lines = rows.select(
-        F.concat(F.lit("20240101_"), "run", F.lit("_S_Src_mergecols.csv")).alias("name"),
-        "sseq",
-        *[F.col(k).cast("double").alias(f"{k}_{tel}") for tel in (1, 2) for k in keys],
-    )
-    path = shared_folder(spark, "keys")
-    (
-        lines.repartitionByRange("name", "sseq")
-        .sortWithinPartitions("name", "sseq")
-        .drop("sseq")
-        .write.partitionBy("name")
-        .option("header", "true")
-        .csv(path)
-    )
-    return ev.read_stereo_keys(spark, path)
+    def write(path: str) -> None:
+        keys = ["nanotime", "time2", "id"]
+        lines = t.stereo_events(spark, sf_dir).select(
+            F.concat(F.lit("20240101_"), "run", F.lit("_S_Src_mergecols.csv")).alias("name"),
+            "sseq",
+            *[F.col(k).cast("double").alias(f"{k}_{tel}") for tel in (1, 2) for k in keys],
+        )
+        write_keys(lines, "sseq", path)
+
+    return ev.read_stereo_keys(spark, stored_files(spark, sf_dir, "key-files", write))
 
 
 @query(
@@ -169,29 +161,24 @@ def read_stereo_keys(spark, sf_dir):
     )
 )
 def read_mc_stereo_keys(spark, sf_dir):
-    rows = t.table(spark, sf_dir, "events").filter(F.col("user_id") % 2 == 0)
-    run = F.lpad(F.col("user_id").cast("string"), 8, "0")
     keys = {
         "mcE": F.col("value"),
         "id": F.col("event_id").cast("double"),
         "zd": (F.col("event_id") % 46).cast("double"),
         "az": (F.col("event_id") % 360).cast("double"),
     }
-    lines = rows.select(
-        F.concat(F.lit("GA_za05to35_8_"), run, F.lit("_S_wr_mergecols.csv")).alias("name"),
-        "event_id",
-        *[value.alias(f"{key}_{tel}") for tel in (1, 2) for key, value in keys.items()],
-    )
-    path = shared_folder(spark, "mc-keys")
-    (
-        lines.repartitionByRange("name", "event_id")
-        .sortWithinPartitions("name", "event_id")
-        .drop("event_id")
-        .write.partitionBy("name")
-        .option("header", "true")
-        .csv(path)
-    )
-    return ev.read_stereo_keys(spark, path, mc=True)
+
+    def write(path: str) -> None:
+        rows = t.table(spark, sf_dir, "events").filter(F.col("user_id") % 2 == 0)
+        run = F.lpad(F.col("user_id").cast("string"), 8, "0")
+        lines = rows.select(
+            F.concat(F.lit("GA_za05to35_8_"), run, F.lit("_S_wr_mergecols.csv")).alias("name"),
+            "event_id",
+            *[value.alias(f"{key}_{tel}") for tel in (1, 2) for key, value in keys.items()],
+        )
+        write_keys(lines, "event_id", path)
+
+    return ev.read_stereo_keys(spark, stored_files(spark, sf_dir, "mc-key-files", write), mc=True)
 
 
 @query(q.sql(q.BASE, q.CALIB, select="select run, tel, seq, nanotime, time2, id from calib"))
@@ -231,21 +218,22 @@ def norm_round_trip(spark, sf_dir):
 
 def prediction_files(spark, sf_dir, mc: bool) -> str:
     """Space-separated predictions, one file per run."""
-    rows = t.predictions(spark, sf_dir, mc)
     if mc:
-        name = F.concat(F.lit("normalized_GA_za05to35_8_"), "run", F.lit("_Y_wr.hdf5_validation_val.txt"))
+        shape = ("normalized_GA_za05to35_8_", "_Y_wr.hdf5_validation_val.txt")
         cells = ["mc_truth", "dl"]
     else:
-        name = F.concat(
-            F.lit("normalized_20240101_"), "run", F.lit("_I_Src-W0.40+215.hdf5_application.txt")
-        )
+        shape = ("normalized_20240101_", "_I_Src-W0.40+215.hdf5_application.txt")
         cells = ["dl", "nanotime", "time2", "id"]
-    lines = rows.select(
-        name.alias("name"), "seq", F.concat_ws(" ", *[F.col(c).cast("string") for c in cells]).alias("value")
-    )
-    path = shared_folder(spark, "predictions")
-    write_lines(lines, ["seq"], path, ["name"])
-    return path
+
+    def write(path: str) -> None:
+        lines = t.predictions(spark, sf_dir, mc).select(
+            F.concat(F.lit(shape[0]), "run", F.lit(shape[1])).alias("name"),
+            "seq",
+            F.concat_ws(" ", *[F.col(c).cast("string") for c in cells]).alias("value"),
+        )
+        in_file_order(lines, "seq").select("name", "value").write.partitionBy("name").text(path)
+
+    return stored_files(spark, sf_dir, f"predictions-{'mc' if mc else 'data'}", write)
 
 
 PREDICTED = """pred as (

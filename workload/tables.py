@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.functions.arrays import log_energy
+from duoscope.functions.arrays import interleave, log_energy
 from duoscope.operators.ordering import number_rows
 from duoscope.operators.stereo import with_position
+from workload.fixtures import stored
 
 N_PIX_ROWS = 500
 N_FEATURES = 64
@@ -30,6 +31,11 @@ def situation() -> Column:
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with run, subrun, position and keys."""
+    return stored(spark, sf_dir, "base", lambda: _base(spark, sf_dir))
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     numbered = number_rows(
         events, ["user_id"], [F.date_trunc("hour", "ts")], ["ts", "event_id"], "seq0"
@@ -58,6 +64,11 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calib(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated rows without features."""
+    return calib_events(spark, sf_dir).drop("zd", "az", "pix")
+
+
+def _calib(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = base(spark, sf_dir)
     seen_1 = (
         (F.col("event_id") % 7 != 0)
@@ -84,6 +95,12 @@ def calib(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stereo_events(spark: SparkSession, sf_dir: str, min_value: float = 5.0) -> DataFrame:
     """run, user_id, sseq and keys of the stereo list at one cleaning level."""
+    return stored(
+        spark, sf_dir, f"stereo-{min_value:g}", lambda: _stereo_events(spark, sf_dir, min_value)
+    )
+
+
+def _stereo_events(spark: SparkSession, sf_dir: str, min_value: float) -> DataFrame:
     rows = base(spark, sf_dir).filter((F.col("value") > min_value) & (F.col("event_id") % 7 != 0))
     both = F.col("event_id") % 11 != 0
     shift = F.when((situation() == 4) & (F.col("seq0") % 8 == 0), 17).otherwise(0)
@@ -134,7 +151,9 @@ def with_pixels(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
 
 def calib_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated rows with features."""
-    return with_pixels(spark, sf_dir, calib(spark, sf_dir))
+    return stored(
+        spark, sf_dir, "calib", lambda: with_pixels(spark, sf_dir, _calib(spark, sf_dir))
+    )
 
 
 def paired(spark: SparkSession, sf_dir: str, mc: bool) -> DataFrame:
@@ -161,8 +180,6 @@ def telescope(events: DataFrame, tel: str) -> DataFrame:
 
 def stereo_rows(spark: SparkSession, sf_dir: str, mc: bool) -> DataFrame:
     """Stereo rows with interleaved features; ``energy`` for simulated events."""
-    from duoscope.functions.arrays import interleave
-
     rows = paired(spark, sf_dir, mc)
     m1 = telescope(rows, "M1").select("run", "event_id", "zd", "az", "value", F.col("pix").alias("_1"))
     m2 = telescope(rows, "M2").select("event_id", F.col("pix").alias("_2"))
@@ -231,7 +248,7 @@ def with_dense_seq(events: DataFrame) -> DataFrame:
 def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows as a day's files: two half-day subruns per telescope and day.
 
-    M2 does not see errors. ``name`` is that of the file, ``event_id`` the order.
+    M2 does not see errors. Rows are in file order: by ``name`` and ``event_id``.
     """
     rows = table(spark, sf_dir, "events")
     tels = F.when(F.col("event_type") != "error", F.array(F.lit("M1"), F.lit("M2"))).otherwise(
@@ -252,22 +269,5 @@ def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name",
         F.concat("day", F.lit("_"), "tel", F.lit("_"), "run", F.lit("."), "subrun", F.lit("_Y_Src.csv")),
     )
-    return with_pixels(spark, sf_dir, seen)
-
-
-def day_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day files alone: name, run, subrun, tel, rows."""
-    rows = table(spark, sf_dir, "events")
-    tels = F.when(F.col("event_type") != "error", F.array(F.lit("M1"), F.lit("M2"))).otherwise(
-        F.array(F.lit("M1"))
-    )
-    return (
-        rows.select(
-            F.date_format("ts", "yyyyMMdd").alias("day"),
-            F.lpad(F.date_format("ts", "dd"), 8, "0").alias("run"),
-            F.when(F.hour("ts") < 12, "001").otherwise("002").alias("subrun"),
-            F.explode(tels).alias("tel"),
-        )
-        .groupBy("day", "run", "subrun", "tel")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    ordered = seen.repartitionByRange("name", "event_id").sortWithinPartitions("name", "event_id")
+    return with_pixels(spark, sf_dir, ordered)
