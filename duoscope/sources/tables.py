@@ -104,7 +104,8 @@ def write_energies(
 ) -> dict[str, str]:
     """Writes the requested energy tables, one folder per run, and returns their paths.
 
-    ``impute`` has one column without header; ``validate`` (simulation only) has
+    ``impute`` has one number per line, a missing one as ``""`` so that every event
+    keeps its line; ``validate`` (simulation only) has
     true and estimated energy with a header. Rows keep their order inside a run.
     """
     unknown = set(outputs) - {"impute", "validate"}
@@ -116,9 +117,9 @@ def write_energies(
         rows = energies.repartitionByRange("run", order).sortWithinPartitions("run", order)
     if "impute" in outputs:
         paths["impute"] = f"{path}/impute"
-        rows.select("run", fixed_decimals(impute_value(F.col("dl"))).alias("DL")).write.mode(
-            "overwrite"
-        ).option("emptyValue", "").partitionBy("run").csv(paths["impute"])
+        text = fixed_decimals(impute_value(F.col("dl")))
+        line = F.when(text == "", '""').otherwise(text).alias("value")
+        rows.select("run", line).write.mode("overwrite").partitionBy("run").text(paths["impute"])
     if "validate" in outputs and "mc_truth" in energies.columns:
         paths["validate"] = f"{path}/validate"
         rows.select(
