@@ -21,10 +21,11 @@ def energy_scale(norm: DataFrame) -> DataFrame:
 
 def adjust_energy(predictions: DataFrame, norm: DataFrame) -> DataFrame:
     """Undoes z-score and logarithm of ``dl`` and, where present, ``mc_truth``."""
-    scale = energy_scale(norm)
-    mean, std = scale.select("mean").scalar(), scale.select("std").scalar()
+    scale = energy_scale(norm).select(F.struct("mean", "std")).scalar()
     columns = [c for c in ("dl", "mc_truth") if c in predictions.columns]
-    return predictions.withColumns({c: F.exp(F.col(c) * std + mean) for c in columns})
+    return predictions.withColumns(
+        {c: F.exp(F.col(c) * scale["std"] + scale["mean"]) for c in columns}
+    )
 
 
 def adjust_many(predictions: Sequence[DataFrame], norm: DataFrame) -> DataFrame:

@@ -1,16 +1,14 @@
-"""Operators on lists of files and runs, and consistency checks between them.
-
-These lists have one row per file, so a window over a whole list is small.
-"""
+"""Operators on lists of files and runs, and consistency checks between them."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
+from duoscope.operators.ordering import number_list
 from duoscope.sources.shared import listed
 
 # Size of a stacked output file, share of training runs.
@@ -73,27 +71,23 @@ def batch_files(files: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     Sizes differ by at most one file, larger batches first; fewer bytes than
     ``max_bytes`` give one batch.
     """
-    everything = Window.partitionBy()
-    n_files = F.count("*").over(everything)
-    n_batches = F.greatest(
-        F.floor(F.sum("bytes").over(everything) / F.lit(float(max_bytes))), F.lit(1)
-    ).cast("long")
-    index = (F.row_number().over(Window.orderBy("name")) - 1).cast("long")
-    base = F.expr("_files div _batches")
-    longer = F.col("_files") % F.col("_batches")
-    edge = longer * (F.col("_base") + 1)
-    return (
-        files.select("*", n_files.alias("_files"), n_batches.alias("_batches"), index.alias("_index"))
-        .withColumn("_base", base)
-        .withColumn("_longer", longer)
-        .withColumn("_edge", edge)
-        .select(
-            *files.columns,
-            F.expr(
-                "case when _index < _edge then _index div (_base + 1)"
-                " else _longer + (_index - _edge) div greatest(_base, 1L) end"
-            ).alias("batch"),
-        )
+    totals = files.agg(
+        F.count("*").alias("files"),
+        F.greatest(F.floor(F.sum("bytes") / F.lit(float(max_bytes))), F.lit(1)).alias("batches"),
+    )
+    total = totals.select(F.struct("files", "batches")).scalar()
+    n_files, n_batches = total["files"], total["batches"]
+    numbered = number_list(files, "name", "_index").select(
+        "*",
+        F.floor(n_files / n_batches).alias("_base"),
+        (n_files % n_batches).alias("_longer"),
+    )
+    size, longer, index = F.col("_base"), F.col("_longer"), F.col("_index")
+    edge = longer * (size + 1)
+    early = F.floor(index / (size + 1))
+    late = longer + F.floor((index - edge) / F.greatest(size, F.lit(1)))
+    return numbered.select(
+        *files.columns, F.when(index < edge, early).otherwise(late).cast("long").alias("batch")
     )
 
 
@@ -141,11 +135,12 @@ def train_test_split_runs(runs: DataFrame, share: float = TRAIN_SHARE) -> DataFr
     """
     if not 0 <= share <= 1:
         raise ValueError("share must lie between 0 and 1")
-    listed = runs.select("run").distinct()
-    n = F.count("*").over(Window.partitionBy())
-    n_train = F.greatest((n * F.lit(float(share))).cast("long") - 1, F.lit(0))
-    position = F.row_number().over(Window.orderBy("run"))
-    return listed.select("run", F.when(position <= n_train, "train").otherwise("test").alias("side"))
+    numbered = number_list(runs.select("run").distinct(), "run", "_index")
+    n = numbered.agg(F.count("*")).scalar()
+    n_train = (n * F.lit(float(share))).cast("long") - 1
+    return numbered.select(
+        "run", F.when(F.col("_index") < n_train, "train").otherwise("test").alias("side")
+    )
 
 
 def with_side(events: DataFrame, sides: DataFrame) -> DataFrame:

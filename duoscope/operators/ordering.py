@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duoscope.sources.shared import written
+
 BLOCK_ROWS = 1_000_000
 
 
@@ -52,6 +54,16 @@ def number_rows(
     )
 
 
+def number_list(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Adds the 0-based position of each row in a whole list, such as all files by name.
+
+    Rows are ordered inside ranges of names; the ranges are stored with the rows,
+    as another evaluation could cut them elsewhere.
+    """
+    ranged = df.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
+    return number_rows(written(ranged, "list"), [], [F.col("_range")], [order], out).drop("_range")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null equals null; keeps the columns of ``left`` and the rest of ``right``."""
     renamed = right.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
@@ -18,6 +18,7 @@ from duoscope.operators.matching import (
 from duoscope.operators.ordering import (
     BLOCK_ROWS,
     block_of,
+    number_list,
     number_rows,
     running_max,
     with_occurrence,
@@ -148,9 +149,10 @@ def truncate_events(events: DataFrame, n: int, by: Sequence[str] = GROUP, order:
 
 
 def from_nth_file(files: DataFrame, n: int, name: str = "name") -> DataFrame:
-    """The n-th file by name (counting from 1) and all that follow. Takes a list of files."""
-    rank = F.dense_rank().over(Window.orderBy(name))
-    return files.withColumn("_rank", rank).filter(F.col("_rank") >= n).drop("_rank")
+    """The n-th file by name (counting from 1) and all that follow."""
+    numbered = number_list(files.select(name).distinct(), name, "_index")
+    late = numbered.filter(F.col("_index") >= n - 1).select(name)
+    return files.join(late, name, "left_semi")
 
 
 def nonduplicate_id(events: DataFrame, id_column: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:

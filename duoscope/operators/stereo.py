@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from duoscope.functions.arrays import interleave
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS, without_nan_keys
 from duoscope.operators.ordering import block_of, number_rows
-from duoscope.sources.shared import listed
+from duoscope.sources.shared import listed, written
 
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
 
 
-def with_position(events: DataFrame, order: str = "seq", out: str = "sseq") -> DataFrame:
-    """Position of each row in its run and telescope, for inputs that carry none."""
-    group = ["run", "tel"] if "tel" in events.columns else ["run"]
-    return number_rows(events, group, [block_of(order)], [order], out)
+def positions(events: DataFrame, order: str = "seq") -> DataFrame:
+    """run, tel, sseq, seq: the k-th row of each run and telescope, for inputs without a stereo list.
+
+    Computed on the keys alone; pass the result to :func:`stereo_of_kept`.
+    """
+    keys = events.select("run", "tel", F.col(order).alias("seq"))
+    return written(number_rows(keys, ["run", "tel"], [block_of("seq")], ["seq"], "sseq"), "positions")
 
 
 def key_growth(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,8 +49,8 @@ def stereo_join(
     """One row per stereo event with interleaved features.
 
     ``on="time"`` joins observed events on their keys, ``on="mc"`` simulated ones,
-    ``on="position"`` joins the k-th rows of both telescopes (by ``sseq``, which
-    :func:`with_position` supplies). Keys and pointing come from ``keys_from``:
+    ``on="position"`` joins the k-th rows of both telescopes by the ``sseq`` they
+    carry (see :func:`stereo_of_kept` for rows that do not). Keys and pointing come from ``keys_from``:
     usually M1 for observed and M2 for simulated events. ``check`` refuses key
     joins that would have more rows in a run than its longer input: repeated keys
     would otherwise multiply.

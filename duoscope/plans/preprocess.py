@@ -6,14 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from duoscope.operators.energy import adjust_energy, score
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS
 from duoscope.operators.normalise import normalize_camera, normalize_pixels
 from duoscope.operators.selection import select_events
 from duoscope.operators.statistics import REAL_PIXELS, feature_stats
-from duoscope.operators.stereo import stereo_join, stereo_of_kept, with_position
+from duoscope.operators.stereo import positions, stereo_of_kept
 from duoscope.sources.shared import written
 
 METHODS = (None, "pixelwise", "camerawise")
@@ -31,12 +30,13 @@ class Preprocessed:
 
 
 def resolve_norm(mode: str, norm: DataFrame | None, stereo: DataFrame) -> DataFrame:
-    """The given norm, or one built from simulated events; observed events need a given one."""
-    if norm is not None:
-        return norm
-    if mode != "mc":
+    """The given norm, or one built from simulated events; observed events need a given one.
+
+    Either is stored, for it is read several times.
+    """
+    if norm is None and mode != "mc":
         raise ValueError("observed events need a norm from simulation")
-    return written(feature_stats(stereo, mc=True), "norm")
+    return written(feature_stats(stereo, mc=True) if norm is None else norm, "norm")
 
 
 def preprocess(
@@ -67,12 +67,10 @@ def preprocess(
     status = None
     if stereo_keys is not None:
         match = select_events(events, stereo_keys, valid, keys, stored=stored)
-        status = match.status
-        stereo = stereo_of_kept(events, match.kept, keys_from=owner)
+        status, kept = match.status, match.kept
     else:
-        placed = events if "sseq" in events.columns else with_position(events)
-        tel = F.col("tel")
-        stereo = stereo_join(placed.filter(tel == "M1"), placed.filter(tel == "M2"), "position", owner)
+        kept = positions(events)
+    stereo = stereo_of_kept(events, kept, keys_from=owner)
     if normalize is None:
         return Preprocessed(status, stereo)
     if norm is None and mc:

@@ -74,7 +74,7 @@ def test_number_key_refuses_simulation(spark):
 
 
 def test_ids_batches_and_spans(spark):
-    mergecols = "./melibea/lut/mergecols/GA_za05to35_8_1737992_Q_wr_mergecols.csv"
+    mergecols = "./some/dir/GA_za05to35_8_1737992_Q_wr_mergecols.csv"
     assert one(spark, mergecols, names.id_of(F.col("name"))) == "1737992"
     assert one(spark, "GA_M2_za05to35_8_1740969_Y_wr.root", names.batch_key(F.col("name"))) == "17409"
     assert one(spark, "20161008_M1_1_Y_a.csv", names.batch_key(F.col("name"))) == "20161008"

@@ -123,7 +123,7 @@ def test_norm_size_is_checked(spark, monkeypatch):
 
 def test_norm_resolution(events, spark):
     given = spark.createDataFrame([(0, 0.0, 1.0)], "pos int, mean double, std double")
-    assert resolve_norm("data", given, events) is given
+    assert resolve_norm("data", given, events).collect() == given.collect()
     with pytest.raises(ValueError, match="norm from simulation"):
         resolve_norm("data", None, events)
     built = resolve_norm("mc", None, events.withColumn("energy", F.lit(2.0)))

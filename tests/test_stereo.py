@@ -51,12 +51,22 @@ def test_repeated_keys_are_refused(spark):
 
 
 def test_position_join_keeps_repeated_rows(spark):
-    m1 = st.with_position(frame(spark, [row("M1", 2 * i, 1.0, 7, [1.0]) for i in range(3)]))
-    m2 = st.with_position(frame(spark, [row("M2", 5 * i, 2.0, 8, [2.0]) for i in range(3)]))
-    rows = st.stereo_join(m1, m2, "position").collect()
-    assert sorted(r["sseq"] for r in rows) == [0, 1, 2]
-    assert {(r["id"], r["nanotime"]) for r in rows} == {(7, 1.0)}
-    assert {r["id"] for r in st.stereo_join(m1, m2, "position", "M2").collect()} == {8}
+    m1 = [row("M1", 2 * i, 1.0, 7, [1.0]) for i in range(3)]
+    m2 = [row("M2", 5 * i, 2.0, 8, [2.0]) for i in range(3)]
+    events = frame(spark, m1 + m2)
+    places = st.positions(events)
+    assert sorted(tuple(r) for r in places.select("tel", "sseq", "seq").collect()) == [
+        *[("M1", i, 2 * i) for i in range(3)],
+        *[("M2", i, 5 * i) for i in range(3)],
+    ]
+    for owner, ident, nano in (("M1", 7, 1.0), ("M2", 8, 2.0)):
+        late = st.stereo_of_kept(events, places, owner)
+        placed = st.attach_position(events, places)
+        early = st.stereo_join(placed.filter("tel = 'M1'"), placed.filter("tel = 'M2'"), "position", owner)
+        for rows in (late.collect(), early.collect()):
+            assert sorted(r["sseq"] for r in rows) == [0, 1, 2]
+            assert {(r["id"], r["nanotime"]) for r in rows} == {(ident, nano)}
+            assert {tuple(r["pix"]) for r in rows} == {(1.0, 2.0)}
 
 
 def test_unknown_options(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duoscope.operators.matching import MC_KEYS
+from duoscope.operators.ordering import block_of, number_rows
 from duoscope.plans.preprocess import preprocess
 from workload import sql as q
 from workload import tables as t
@@ -91,8 +92,8 @@ def preprocess_data(spark, sf_dir):
 def mc_events(spark, sf_dir):
     """Simulated rows of both telescopes with positions, and their stereo list."""
     rows = t.paired(spark, sf_dir, True).withColumn("energy", F.col("value"))
-    keys = t.with_dense_seq(t.telescope(rows, "M1").select("run", "tel", *MC_KEYS, "seq"))
-    both = keys.withColumnRenamed("seq", "sseq").drop("tel")
+    m1 = t.telescope(rows, "M1").select("run", *MC_KEYS, "seq")
+    both = number_rows(m1, ["run"], [block_of("seq")], ["seq"], "sseq")
     tels = F.explode(F.array(F.lit("M1"), F.lit("M2"))).alias("tel")
     return rows, both.select("run", "sseq", tels, *MC_KEYS)
 

@@ -108,10 +108,9 @@ POSITIONED = """positioned as (
  from positioned a join positioned b on a.run = b.run and a.pos = b.pos and a.tel = 'M1' and b.tel = 'M2')"""
 
 
-def positioned(spark, sf_dir):
+def positioned(spark, sf_dir, keys_from: str):
     rows = t.calib_events(spark, sf_dir).filter((F.col("user_id") % 10).isin(0, 1, 2, 9))
-    placed = st.with_position(rows)
-    return t.telescope(placed, "M1"), t.telescope(placed, "M2")
+    return st.stereo_of_kept(rows, st.positions(rows), keys_from)
 
 
 @query(
@@ -125,7 +124,9 @@ def positioned(spark, sf_dir):
     )
 )
 def stereo_join_position(spark, sf_dir):
-    joined = st.stereo_join(*positioned(spark, sf_dir), "position", keys_from="M1")
+    rows = t.calib_events(spark, sf_dir).filter((F.col("user_id") % 10).isin(0, 1, 2, 9))
+    placed = st.attach_position(rows, st.positions(rows))
+    joined = st.stereo_join(t.telescope(placed, "M1"), t.telescope(placed, "M2"), "position")
     return joined.select("run", "sseq", "id", *digest()).drop("n_features")
 
 
@@ -140,7 +141,7 @@ def stereo_join_position(spark, sf_dir):
     )
 )
 def stereo_join_position_m2(spark, sf_dir):
-    joined = st.stereo_join(*positioned(spark, sf_dir), "position", keys_from="M2")
+    joined = positioned(spark, sf_dir, "M2")
     return joined.select("run", "sseq", "id", *digest()).drop("n_features")
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from duoscope.functions.arrays import interleave, log_energy
 from duoscope.operators.ordering import number_rows
-from duoscope.operators.stereo import with_position
 from workload.fixtures import stored
 
 N_PIX_ROWS = 500
@@ -240,11 +239,6 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_dense_seq(events: DataFrame) -> DataFrame:
-    """Replaces ``seq`` by the position without gaps."""
-    return with_position(events, "seq", "_position").drop("seq").withColumnRenamed("_position", "seq")
-
-
 def day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows as a day's files: two half-day subruns per telescope and day.
 
