@@ -161,14 +161,17 @@ def _walk_runs(calib, stereo, runs, keys, block_rows, one_block) -> DataFrame:
         listing = calib.select("block").distinct().orderBy("block")
         blocks = [row[0] for row in listing.toLocalIterator()]
     open_rows = runs.select(*GROUP, F.lit(0).cast("long").alias("_open"))
+    # A few bytes of keys keep a task busy: no merging of small partitions here.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for step, block in enumerate(blocks):
         ahead = stereo.join(open_rows, list(GROUP)).filter(
             (F.col("sseq") >= F.col("_open")) & (F.col("sseq") < F.col("_open") + block_rows)
         )
         pairs = (
             calib.filter(F.col("block") == block)
+            .repartition(tasks, *GROUP)
             .groupBy(*GROUP)
-            .cogroup(ahead.drop("_open").groupBy(*GROUP))
+            .cogroup(ahead.drop("_open").repartition(tasks, *GROUP).groupBy(*GROUP))
             .applyInArrow(walker(keys), schema)
         )
         pairs.write.parquet(f"{path}/step={step}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
@@ -70,18 +70,16 @@ def run_status(match: Match, completeness: DataFrame | None = None, stereo: Data
             F.lit(0).cast("long").alias("n_kept"),
         )
         status = status.unionByName(lost)
-    both = status.groupBy("run").agg(
-        ((F.count("*") == 2) & F.every(F.col("status").isin(*ACCEPTED))).alias("_both"),
-        (F.min("n_kept") == F.max("n_kept")).alias("_same"),
-    )
-    good = F.col("_both") & F.col("_same")
+    pair = Window.partitionBy("run")  # two rows: one per telescope
     own = F.col("status").isin(*ACCEPTED)
-    return status.join(both, "run").select(
+    both = (F.count_if(own).over(pair) == 2) & (F.count("*").over(pair) == 2)
+    same = F.min("n_kept").over(pair) == F.max("n_kept").over(pair)
+    return status.withColumn("_good", both & same).select(
         *GROUP,
-        F.when(own & ~good, "partner_failed").otherwise(F.col("status")).alias("status"),
+        F.when(own & ~F.col("_good"), "partner_failed").otherwise(F.col("status")).alias("status"),
         "n_calib",
         "n_ref",
-        F.when(good, F.col("n_kept")).otherwise(0).alias("n_kept"),
+        F.when(F.col("_good"), F.col("n_kept")).otherwise(0).alias("n_kept"),
     )
 
 

@@ -22,8 +22,13 @@ KEY_NAMES = {"mcE": "energy"}
 FILE_ORDER = ("file", "split_start", "split_row")
 
 
-def require_nonempty(spark: SparkSession, path: str, fmt: str = "text", **options) -> DataFrame:
+def require_nonempty(
+    spark: SparkSession, path: str, fmt: str = "text", schema: str | None = None, **options
+) -> DataFrame:
     """Scans a path or glob; no file is an error that says whether the folder exists."""
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
 
     def exists(where: str) -> bool:
         try:
@@ -35,7 +40,7 @@ def require_nonempty(spark: SparkSession, path: str, fmt: str = "text", **option
             raise
 
     try:
-        rows = spark.read.format(fmt).options(**options).load(path)
+        rows = reader.load(path)
         if not rows.isEmpty():
             return rows
     except AnalysisException as error:
@@ -140,13 +145,8 @@ def read_stereo_keys(spark: SparkSession, path: str, mc: bool = False) -> DataFr
     ``sseq`` is the position of the event in its run.
     """
     columns = MC_KEY_COLUMNS if mc else DATA_KEY_COLUMNS
-    require_nonempty(spark, path, "text", recursiveFileLookup="true")
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("header", "true")
-        .schema(", ".join(f"`{c}` double" for c in columns))
-        .csv(path)
-    )
+    schema = ", ".join(f"`{c}` double" for c in columns)
+    lines = require_nonempty(spark, path, "csv", schema, recursiveFileLookup="true", header="true")
     rows = lines.select(
         "*",
         names.run_of(names.source_name(F.col("_metadata.file_path"))).alias("run"),

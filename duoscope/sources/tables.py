@@ -62,13 +62,8 @@ def read_predictions(spark: SparkSession, path: str, mode: str = "data") -> Data
     if mode not in ("data", "mc"):
         raise ValueError(f"mode must be data or mc, not {mode}")
     columns = DATA_PREDICTION if mode == "data" else MC_PREDICTION
-    require_nonempty(spark, path, "text", recursiveFileLookup="true")
-    rows = (
-        spark.read.schema(", ".join(f"{c} double" for c in columns))
-        .option("sep", " ")
-        .option("recursiveFileLookup", "true")
-        .csv(path)
-    )
+    schema = ", ".join(f"{c} double" for c in columns)
+    rows = require_nonempty(spark, path, "csv", schema, recursiveFileLookup="true", sep=" ")
     name = names.source_name(F.col("_metadata.file_path"))
     kept = [
         (F.col(c).try_cast("long") if c == "eventlinking3" else F.col(c)).alias(PREDICTION_NAMES[c])
