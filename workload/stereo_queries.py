@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duoscope.functions import arrays
 from duoscope.operators import stereo as st
 from workload import sql as q
 from workload import tables as t
