@@ -6,12 +6,47 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.llm import bpe, language
+from duoscope.llm import automaton, bpe, language, licences, pii, ppm, urls
 from duoscope.llm.common import crc_mod, documents
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(documents(spark, sf_dir), licences.known(spark))
+    return found.select("doc_id", "text_digest", "licence", F.concat_ws(",", "notices").alias("notices"))
+
+
+def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [
+        F.size(F.filter(F.col("base.kind"), F.lit(k).eqNullSafe)).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.spans_text("base").cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text("spans").alias("spans"),
+    )
+
+
+def op3_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    scanned = automaton.scan(documents(spark, sf_dir).select("doc_id", "text"), items)
+    hit = F.aggregate(
+        "hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1
+    )
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("hit_items")).cast("binary"), 256).alias("items_sha256"),
+        (F.size("hit_spans") > 0).alias("contaminated"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -23,6 +58,22 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "text", (crc_mod("doc_id", 10) != 0).alias("training")
+    )
+    return ppm.score(docs, "training").select(
+        "doc_id",
+        (~F.col("training")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "n_bytes",
+    )
+
+
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang", "text"
@@ -33,11 +84,27 @@ def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels belong to the page with the same id: toxic or low quality ones are to be blocked."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"),
+    )
+    mined = urls.mine(pages.join(labels, "page_id").select("url", "blocked"))
+    return urls.judge(pages, mined).withColumn("mined", F.concat_ws(" ", "mined"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_licence_digests,
+        op2_contextual_pii,
+        op3_suffix_automaton,
         op4_byte_bpe,
+        op5_partial_matching,
         op8_language_mixture,
+        op9_association_rules,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {op1_licence_digests.__name__: licences.scan_sql()}
