@@ -1,10 +1,60 @@
-"""Prepares a corpus: language, near copies, benchmark passages, personal data, tokens."""
+"""Prepares a corpus: language, near copies, benchmark passages, personal data, tokens.
+
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of docs.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from duoscope.llm import automaton, bpe, language, minhash, pii
+
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+#: A document whose main language has a smaller share mixes languages too much to keep.
+MIN_SHARE = 0.5
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled ones teach; the others go, such as null texts,
+    texts without a letter, and texts of which no language has half."""
+    langs, model = language.train(docs)
+    judged = language.predict(docs, langs, model, keep_text=True)
+    return judged.filter(f"`{language.ANSWER}`.score >= {MIN_SHARE}").select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return minhash.deduplicated(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of ``benchmark``; mostly contaminated ones go."""
+    return automaton.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with marks in the place of personal data."""
+    return pii.redact(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``text``, the text that the ids stand for."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    tokens = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.decode(tokens, ranks, public_tokenizers.PATTERN).selectExpr(
+        "doc_id", "n_tokens", "ids", "decode(bytes, 'utf-8') as text"
+    )
+
+
+STAGES = [
+    ("language", identified),
+    ("near_copies", deduplicated),
+    ("benchmark", decontaminated),
+    ("personal_data", redacted),
+    ("tokens", encoded),
+]
+#: No stage but the filters on its columns can be said in SQL.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import ship
@@ -14,6 +14,7 @@ from duoscope.llm.common import ship
 CELLS = 1 << 16
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
+ANSWER = "_language"
 SMOOTHING = 0.1
 SLICE_BYTES = 1 << 22
 #: Lower-cased ASCII letters and bytes beyond ASCII stay, all else is space.
@@ -133,20 +134,22 @@ def identify(total, model, penalty: float = 3.0):
     return chosen, shares
 
 
-def predict(docs: DataFrame, langs: list[str], model) -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score``, ``langs`` and ``shares`` of every text.
+def predict(docs: DataFrame, langs: list[str], model, keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs``, without the text unless asked for, and the struct ``ANSWER``.
 
-    Only the text is read. ``lang_pred`` has the largest share of the chosen set and
-    ``score`` is that share; texts that are null or without a letter, and all texts
-    if nothing was learned, are ``und`` with score 0 and an empty set. Equal shares
-    go to the first language by name.
+    Its fields are ``lang_pred``, ``score``, ``langs`` and ``shares``. Only the text is
+    read. ``lang_pred`` has the largest share of the chosen set and ``score`` is that
+    share; texts that are null or without a letter, and all texts if nothing was
+    learned, are ``und`` with score 0 and an empty set. Equal shares go to the first
+    language by name. Rows that repeat are judged each.
     """
-    import numpy as np
-
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    outs = ["lang_pred string", "score double", "langs array<string>", "shares array<double>"]
-    kept = [f.name for f in docs.schema if f.name != "text"]
+    kept = [f for f in docs.schema if keep_text or f.name != "text"]
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+    answer = pa.struct(
+        [("lang_pred", pa.string()), ("score", pa.float64()),
+         ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))]
+    )
 
     def run(batches):
         names, table = shared.value
@@ -155,26 +158,22 @@ def predict(docs: DataFrame, langs: list[str], model) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 total = cells(text) if names and text and LETTER.search(text) else None
                 if total is None or not total.any():
-                    rows.append((UNKNOWN, 0.0, [], []))
+                    rows.append({"lang_pred": UNKNOWN, "score": 0.0, "langs": [], "shares": []})
                     continue
                 chosen, shares = identify(total, table)
                 order = sorted(range(len(chosen)), key=lambda k: (-shares[k], names[chosen[k]]))
                 found = [names[chosen[k]] for k in order]
                 parts = [float(min(1.0, max(0.0, shares[k]))) for k in order]
-                rows.append((found[0], parts[0], found, parts))
-            kinds = (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()))
-            arrays = [pa.array(list(x), kind) for x, kind in zip(zip(*rows), kinds)]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k) for k in kept), *arrays],
-                    [*kept, "lang_pred", "score", "langs", "shares"],
+                rows.append(
+                    {"lang_pred": found[0], "score": parts[0], "langs": found, "shares": parts}
                 )
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f.name) for f in kept), pa.array(rows, answer)],
+                [*(f.name for f in kept), ANSWER],
+            )
 
-    return docs.mapInArrow(run, ", ".join([*columns, *outs]))
-
-
-def has_letter(text: str) -> Column:
-    return F.col(text).rlike(r"\p{L}")
+    fields = "lang_pred:string,score:double,langs:array<string>,shares:array<double>"
+    return docs.mapInArrow(run, ", ".join([*columns, f"`{ANSWER}` struct<{fields}>"]))
 
 
 ship(__name__)

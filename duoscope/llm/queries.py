@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.llm import automaton, bpe, language, licences, pii, ppm, urls
+from duoscope.llm import automaton, bpe, language, licences, minhash, pii, ppm, simhash, urls
 from duoscope.llm.common import crc_mod, documents
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -74,14 +74,17 @@ def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprints(documents(spark, sf_dir))
+
+
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang", "text"
     )
     langs, model = language.train(docs.filter("not held_out"))
-    return language.predict(docs.select("doc_id", "held_out", "text"), langs, model).select(
-        "doc_id", "held_out", "lang_pred", "score", "langs", "shares"
-    )
+    judged = language.predict(docs.select("doc_id", "held_out", "text"), langs, model)
+    return judged.select("doc_id", "held_out", f"{language.ANSWER}.*")
 
 
 def op9_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +98,10 @@ def op9_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, mined).withColumn("mined", F.concat_ws(" ", "mined"))
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,8 +110,10 @@ QUERIES = {
         op3_suffix_automaton,
         op4_byte_bpe,
         op5_partial_matching,
+        op6_simhash,
         op8_language_mixture,
         op9_association_rules,
+        op10_dart_minhash,
     )
 }
 ORACLES: dict[str, str] = {op1_licence_digests.__name__: licences.scan_sql()}
