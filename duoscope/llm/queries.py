@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.llm import automaton, bpe, language, licences, minhash, pii, ppm, simhash, urls
+from duoscope.llm import automaton, bpe, language, licences, minhash, pii, ppm, repeats, simhash, urls
 from duoscope.llm.common import crc_mod, documents
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -78,6 +78,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(documents(spark, sf_dir))
 
 
+def op7_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir))
+
+
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang", "text"
@@ -111,6 +115,7 @@ QUERIES = {
         op4_byte_bpe,
         op5_partial_matching,
         op6_simhash,
+        op7_merged_transforms,
         op8_language_mixture,
         op9_association_rules,
         op10_dart_minhash,
