@@ -12,7 +12,7 @@ import pickle
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import ship, utf8, words_of
@@ -21,6 +21,8 @@ from duoscope.sources.shared import written
 WINDOW = 10
 #: Items are dealt to automata of about this much text each; one is in memory at a time.
 BLOCK_BYTES = 1 << 20
+#: Columns that a scan adds.
+WORDS, SPANS, ITEMS = "_llm_words", "_llm_spans", "_llm_items"
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -170,7 +172,7 @@ def built(items: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> Data
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES):
-    """Adds ``n_words``, ``hit_spans`` ([first word, last word]) and ``hit_items`` to all rows.
+    """Adds ``_llm_words``, ``_llm_spans`` ([first word, last word]), ``_llm_items`` to all rows.
 
     All other columns stay as they are. Null and empty texts have no words. An item
     that repeats counts once; a null item id counts as an empty one. Each block of
@@ -179,7 +181,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
     spark = docs.sparkSession
     names = docs.columns
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    schema += ["n_words long", "hit_spans array<struct<first:int,last:int>>", "hit_items array<string>"]
+    schema += [f"{WORDS} long", f"{SPANS} array<struct<first:int,last:int>>", f"{ITEMS} array<string>"]
     span_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
     def passed(df: DataFrame, shared, first: bool) -> DataFrame:
@@ -188,8 +190,8 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
             automaton.__dict__.update(pickle.loads(shared.value))
             for batch in batches:
                 size = batch.num_rows
-                old = [None] * size if first else batch.column("hit_spans").to_pylist()
-                had = [[]] * size if first else batch.column("hit_items").to_pylist()
+                old = [None] * size if first else batch.column(SPANS).to_pylist()
+                had = [[]] * size if first else batch.column(ITEMS).to_pylist()
                 counts, spans, keys = [], [], []
                 for text, before, known in zip(batch.column("text").to_pylist(), old, had):
                     words = words_of(text)
@@ -203,7 +205,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
                        pa.array(keys, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k) for k in range(len(names))), *new],
-                    [*names, "n_words", "hit_spans", "hit_items"],
+                    [*names, WORDS, SPANS, ITEMS],
                 )
 
         return df.mapInArrow(run, ", ".join(schema))
@@ -219,6 +221,13 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
     return docs
 
 
+def hit_words() -> Column:
+    """The number of words in the spans of a scanned row."""
+    return F.aggregate(
+        SPANS, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1
+    )
+
+
 def joined(spans: list[list[int]]) -> list[list[int]]:
     """Overlapping and touching spans made one."""
     out: list[list[int]] = []
@@ -260,7 +269,7 @@ def decontaminate(
     def cut(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            spans = batch.column("hit_spans").to_pylist()
+            spans = batch.column(SPANS).to_pylist()
             texts = [
                 removed(t, [[s["first"], s["last"]] for s in found]) if found else t
                 for t, found in zip(texts, spans)
@@ -270,12 +279,9 @@ def decontaminate(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     internal = scan(docs, items, window, block_bytes)
-    hit = F.aggregate(
-        internal["hit_spans"], F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1
-    )
-    kept = internal.filter(hit <= F.lit(max_coverage) * F.col("n_words"))
+    kept = internal.filter(hit_words() <= F.lit(max_coverage) * F.col(WORDS))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return kept.drop("n_words", "hit_items").mapInArrow(cut, schema)
+    return kept.drop(WORDS, ITEMS).mapInArrow(cut, schema)
 
 
 ship(__name__)

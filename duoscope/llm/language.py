@@ -14,7 +14,7 @@ from duoscope.llm.common import ship
 CELLS = 1 << 16
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
-ANSWER = "_language"
+ANSWER = "_llm_language"
 SMOOTHING = 0.1
 SLICE_BYTES = 1 << 22
 #: Lower-cased ASCII letters and bytes beyond ASCII stay, all else is space.

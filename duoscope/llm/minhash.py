@@ -358,14 +358,14 @@ def deduplicated(docs: DataFrame, **limits) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .groupBy("comp")
         .agg(F.min(F.struct("doc_id", "key", "n")).alias("r"))
-        .select(F.col("r.doc_id").alias("_id"), F.col("r.key").alias("_key"), F.col("r.n").alias("_n"))
+        .select(F.col("r.doc_id").alias("_llm_id"), F.col("r.key").alias("_llm_key"), F.col("r.n").alias("_llm_n"))
     )
-    wordless = stored.filter("comp is null").select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_k", F.md5(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
-    one = joined.filter("_n = 1").select(*docs.columns)
-    several = joined.filter("_n > 1").dropDuplicates(["doc_id", "_k"]).select(*docs.columns)
-    empty = keyed.join(wordless, F.col("_k") == F.col("_key"), "left_semi").select(*docs.columns)
+    wordless = stored.filter("comp is null").select(F.col("key").alias("_llm_key")).distinct()
+    keyed = docs.withColumn("_llm_k", F.md5(F.coalesce("text", F.lit(""))))
+    joined = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_k") == F.col("_llm_key")))
+    one = joined.filter("_llm_n = 1").select(*docs.columns)
+    several = joined.filter("_llm_n > 1").dropDuplicates(["doc_id", "_llm_k"]).select(*docs.columns)
+    empty = keyed.join(wordless, F.col("_llm_k") == F.col("_llm_key"), "left_semi").select(*docs.columns)
     return one.unionByName(several).unionByName(empty)
 
 

@@ -213,15 +213,15 @@ def pattern_scores(
     return trusted.select("pattern", kind.alias("kind"), best.alias("confidence"))
 
 
-def find(docs: DataFrame, **limits) -> DataFrame:
-    """Per row: its columns but ``text``, ``base`` and ``spans`` as arrays of (kind, start, stop).
+def find(docs: DataFrame, key: str = "doc_id", **limits) -> DataFrame:
+    """Per row: the column ``key``, ``base`` and ``spans`` as arrays of (kind, start, stop).
 
     ``spans`` holds all base spans and those that trusted patterns add, by kind, then
     start. Null text counts as empty; a token that several patterns mark takes the
     kind of the most confident one, of equal ones the first kind. Rows that repeat
-    are kept as they come.
+    are kept as they come; other columns are left out.
     """
-    placed = places(docs.select("*", F.monotonically_increasing_id().alias("_row")))
+    placed = places(docs.select(key, "text", F.monotonically_increasing_id().alias("_row")))
     stored = written(placed, "places")
     trusted = pattern_scores(stored, **limits)
     open_places = (
@@ -282,25 +282,24 @@ def redact(docs: DataFrame, **limits) -> DataFrame:
     place = names.index("text")
     may = F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False))
     digest = F.sha2("text", 256)
-    concerned = docs.filter(may).withColumn("_digest", digest)
-    found = find(concerned.select(F.col("_digest").alias("digest"), "text"), **limits)
+    concerned = docs.filter(may).withColumn("_llm_digest", digest)
+    found = find(concerned.select("_llm_digest", "text"), "_llm_digest", **limits)
     one = (
         found.filter(F.size("spans") > 0)
-        .groupBy("digest")
-        .agg(F.first("spans").alias("_spans"))
-        .withColumnRenamed("digest", "_digest")
+        .groupBy("_llm_digest")
+        .agg(F.first("spans").alias("_llm_spans"))
     )
 
     def cover(batches):
         for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist())
+            pairs = zip(batch.column("text").to_pylist(), batch.column("_llm_spans").to_pylist())
             texts = [covered(t, s) if s else t for t, s in pairs]
             columns = [batch.column(k) for k in range(len(names))]
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    changed = concerned.join(one, "_digest", "left").select(*names, "_spans").mapInArrow(cover, schema)
+    changed = concerned.join(one, "_llm_digest", "left").select(*names, "_llm_spans").mapInArrow(cover, schema)
     return docs.filter(~may).union(changed)
 
 

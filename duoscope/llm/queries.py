@@ -18,7 +18,7 @@ def op1_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    found = pii.find(documents(spark, sf_dir))
     counts = [
         F.size(F.filter(F.col("base.kind"), F.lit(k).eqNullSafe)).cast("long").alias(f"n_{kind}")
         for k, kind in enumerate(pii.KINDS)
@@ -34,16 +34,13 @@ def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     scanned = automaton.scan(documents(spark, sf_dir).select("doc_id", "text"), items)
-    hit = F.aggregate(
-        "hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1
-    )
     return scanned.select(
         "doc_id",
-        "n_words",
-        hit.alias("n_hit"),
-        F.size("hit_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.array_sort("hit_items")).cast("binary"), 256).alias("items_sha256"),
-        (F.size("hit_spans") > 0).alias("contaminated"),
+        F.col(automaton.WORDS).alias("n_words"),
+        automaton.hit_words().alias("n_hit"),
+        F.size(automaton.ITEMS).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(automaton.ITEMS)).cast("binary"), 256).alias("items_sha256"),
+        (F.size(automaton.SPANS) > 0).alias("contaminated"),
     )
 
 
