@@ -15,7 +15,7 @@ from duoscope.functions.arrays import (
     pointing_zd,
     scaled,
 )
-from duoscope.operators.statistics import CHANNELS, REAL_PIXELS, camera_stats, feature_stats
+from duoscope.operators.statistics import CHANNELS, REAL_PIXELS, feature_stats
 
 # A norm has one row per feature; anything longer is not a norm.
 MAX_NORM_ROWS = 1_000_000
@@ -106,11 +106,16 @@ def normalize_camera(
         norm = feature_stats(events, mc=True)
     mean, std = norm_arrays(norm)
     n_features = len(mean) - 3
-    camera = camera_stats(norm, n_features, n_real).toPandas().sort_values("channel")
-    channel = np.arange(n_features) % len(CHANNELS) if not compat else np.zeros(n_features, int)
+    channel = np.arange(n_features) % len(CHANNELS)
     own = std[1 : n_features + 1]
-    mu = camera["mean"].to_numpy("f8")[channel]
-    sd = np.where(own == 0, 0.0, camera["std"].to_numpy("f8")[channel])
+    # The camera's constants come from the norm just read: one pass over the events.
+    per_channel = [
+        np.bincount(channel, values, len(CHANNELS)) / n_real for values in (mean[1 : n_features + 1], own)
+    ]
+    if compat:
+        channel = np.zeros(n_features, int)
+    mu = per_channel[0][channel]
+    sd = np.where(own == 0, 0.0, per_channel[1][channel])
     out = normalize_energy(events.withColumn("pix", array_scaler(mu, sd, inf_cap)("pix")), mean[0], std[0], inf_cap)
 
     def pointing(name: str, pos: int):

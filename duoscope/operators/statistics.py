@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from duoscope.functions.arrays import log_energy
 from duoscope.operators.matching import DATA_KEYS
 
-# Rows above which a norm may be taken from a sample, and the number
-# of real pixels among the slots of one camera.
-SAMPLE_ROWS = 500_000
+# Real pixels of a camera, channels of each.
 REAL_PIXELS = 1039
 CHANNELS = ("charge_1", "charge_2", "time_1", "time_2")
 
@@ -108,7 +106,7 @@ def stage_reconcile(shapes: DataFrame, stages: list[str]) -> DataFrame:
 
 def sample_exact(
     events: DataFrame,
-    n: int = SAMPLE_ROWS,
+    n: int,
     seed: int = 0,
     keys: tuple[str, ...] = ("run", *DATA_KEYS),
 ) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions import arrays
@@ -137,9 +140,9 @@ def normalize_pixels(spark, sf_dir):
 @query(
     q.sql(
         *DATA,
-        Z,
-        select=f"""select run, event_id, cast(pos as int) as pos, {q.r6('case when pos >= 125 then orig else x end')} as x
- from (select z.*, l.x as orig from z join longform l using (run, event_id, pos))""",
+        Z.replace("as x\n", "as x, l.x as raw\n"),
+        select=f"""select run, event_id, cast(pos as int) as pos, {q.r6('case when pos >= 125 then raw else x end')} as x
+ from z""",
     )
 )
 def normalize_pixels_skip_tail(spark, sf_dir):
@@ -246,16 +249,48 @@ def narrowed(spark, sf_dir):
     """Double features to 32 bits."""
     from duoscope.sources.events import narrowed as narrow
 
-    rows = t.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < t.N_PIX_ROWS)
+    rows = t.table(spark, sf_dir, "embeddings")
     wide = rows.select(
         "vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda x: x * 3).alias("pix")
     )
     return longform(narrow(wide), "vec_id")
 
 
-@query()
+@query(
+    """select mc, tel, n_rows, n_rows // 4 as n_sampled, n_rows // 4 as n_distinct,
+ cast(0 as bigint) as n_foreign, cast(0 as bigint) as n_changed
+ from (select user_id % 2 = 0 as mc, tel, count(*) as n_rows from events, (values ('M1'), ('M2')) t(tel)
+  group by all)"""
+)
 def sample_exact(spark, sf_dir):
-    """Half a million rows in production; here a quarter of the simulated events."""
-    rows = t.paired(spark, sf_dir, True)
-    m1 = t.telescope(rows, "M1").select("run", "id", "value")
-    return stt.sample_exact(m1, max(m1.count() // 4, 1), seed=7, keys=("run", "id"))
+    """A quarter of each telescope's simulated and observed events: how many rows and keys
+    were drawn, how many of them the input lacks, how many a second draw does not have."""
+    parts = []
+    for mc in (True, False):
+        rows = t.paired(spark, sf_dir, mc)
+        for tel in ("M1", "M2"):
+            events = t.telescope(rows, tel).select("run", "id", "value")
+            n = events.count() // 4
+            keys = ("run", "id")
+            first = stt.sample_exact(events, n, seed=7, keys=keys)
+            second = stt.sample_exact(events, n, seed=7, keys=keys)
+            lists = [
+                events.select(*keys, F.lit(0).alias("list")),
+                first.select(*keys, F.lit(1).alias("list")),
+                second.select(*keys, F.lit(2).alias("list")),
+            ]
+            per_key = (
+                lists[0].unionByName(lists[1]).unionByName(lists[2])
+                .groupBy(*keys)
+                .agg(*[F.count_if(F.col("list") == k).alias(f"in_{k}") for k in range(3)])
+            )
+            parts.append(
+                per_key.agg(
+                    F.sum("in_0").alias("n_rows"),
+                    F.sum("in_1").alias("n_sampled"),
+                    F.count_if(F.col("in_1") > 0).alias("n_distinct"),
+                    F.count_if((F.col("in_1") > 0) & (F.col("in_0") == 0)).alias("n_foreign"),
+                    F.count_if(F.col("in_1") != F.col("in_2")).alias("n_changed"),
+                ).select(F.lit(mc).alias("mc"), F.lit(tel).alias("tel"), "*")
+            )
+    return reduce(DataFrame.unionByName, parts)

@@ -15,15 +15,15 @@ from workload.registry import query
 from workload.selection_queries import SELECT
 from workload.stereo_queries import longform
 
-DATA_LONG = """joined as (
+DATA_LONG = f"""joined as (
  select a.run, a.sseq, c.nanotime, c.time2, c.id, c.event_id as e1, d.event_id as e2
  from walk_selected a join walk_selected b on a.run = b.run and a.sseq = b.sseq and a.tel = 'M1' and b.tel = 'M2'
  join calib c on c.run = a.run and c.tel = 'M1' and c.seq = a.seq
  join calib d on d.run = b.run and d.tel = 'M2' and d.seq = b.seq),
  jlong as (
- select run, sseq, 2 * p as pos, case when p = 0 then 1.0 else x end as x from joined join feats on vec_id = e1 % 500
+ select run, sseq, 2 * p as pos, case when p = 0 then 1.0 else x end as x from joined join feats on vec_id = e1 % {q.N_VEC}
  union all
- select run, sseq, 2 * p + 1, x from joined join feats on vec_id = (e2 * 7 + 3) % 500),
+ select run, sseq, 2 * p + 1, x from joined join feats on vec_id = (e2 * 7 + 3) % {q.N_VEC}),
  jz as (select l.run, l.sseq, l.pos,
   cast(cast(case when n.std = 0 then l.x else (l.x - n.mean) / n.std end as float) as double) as x
  from jlong l join norm n on n.pos = l.pos + 1)"""

@@ -116,12 +116,14 @@ USABLE = """usable as (
 
 FEATURES = """feats as (
  select vec_id, generate_subscripts(embedding, 1) - 1 as p, cast(unnest(embedding) as double) as x
- from embeddings where vec_id < 500),
+ from embeddings),
  digest as (
  select vec_id, sum(x) as s, sum(x * p) as m, max(case when p = 0 then x end) as e0, cast(count(*) as int) as n
  from feats group by vec_id)"""
 
-VEC = "case when tel = 'M1' then event_id % 500 else (event_id * 7 + 3) % 500 end"
+# All rows of the table serve as features, whatever their number.
+N_VEC = "(select count(*) from embeddings)"
+VEC = f"case when tel = 'M1' then event_id % {N_VEC} else (event_id * 7 + 3) % {N_VEC} end"
 
 
 def side(mc: bool, name: str = "ev") -> str:
@@ -135,9 +137,9 @@ def longform(ev: str = "ev", name: str = "longform") -> str:
     """One row per event and interleaved feature."""
     return f"""{name} as (
  select run, event_id, 2 * p as pos, case when p = 0 then 1.0 else x end as x
-  from {ev} join feats on vec_id = event_id % 500
+  from {ev} join feats on vec_id = event_id % {N_VEC}
  union all
- select run, event_id, 2 * p + 1, x from {ev} join feats on vec_id = (event_id * 7 + 3) % 500)"""
+ select run, event_id, 2 * p + 1, x from {ev} join feats on vec_id = (event_id * 7 + 3) % {N_VEC})"""
 
 
 def stats(ev: str, feats: str, mc: bool, name: str, by: str = "") -> str:

@@ -33,8 +33,8 @@ def keyed(spark, sf_dir, tel: str):
 STEREO_DIGEST = """stereo_digest as (
  select {columns}, round(2 * 0 + d1.s - d1.e0 + 1.0 + d2.s, 6) as pix_sum,
   round(2 * d1.m + 2 * d2.m + d2.s, 6) as pix_moment
- from {source} join digest d1 on d1.vec_id = {e1} % 500
- join digest d2 on d2.vec_id = ({e2} * 7 + 3) % 500)"""
+ from {source} join digest d1 on d1.vec_id = {e1} % (select count(*) from embeddings)
+ join digest d2 on d2.vec_id = ({e2} * 7 + 3) % (select count(*) from embeddings))"""
 
 
 @query(
@@ -202,16 +202,16 @@ def duplicate_count(spark, sf_dir):
     q.sql(
         q.BASE,
         q.CALIB,
-        """pixrows as (select run, tel, event_id % 500 as vec, nanotime, time2, id from calib where tel = 'M1')""",
+        f"""pixrows as (select run, tel, {q.VEC} as vec, nanotime, time2, id from calib)""",
         select="""select run, cast(sum(n) as bigint) as n_rows, cast(sum(n) - count(*) as bigint) as n_duplicates
- from (select run, vec, id, nanotime, time2, count(*) as n from pixrows
-  group by run, vec, id, nanotime, time2) group by run""",
+ from (select run, tel, vec, id, nanotime, time2, count(*) as n from pixrows
+  group by run, tel, vec, id, nanotime, time2) group by run""",
     )
 )
 def duplicate_event_count(spark, sf_dir):
     """Whole event rows, features included."""
-    rows = t.telescope(t.calib_events(spark, sf_dir), "M1")
-    return st.duplicate_count(rows, ["nanotime", "time2", "id", "pix"])
+    rows = t.calib_events(spark, sf_dir)
+    return st.duplicate_count(rows, ["tel", "nanotime", "time2", "id", "pix"])
 
 
 GROWTH = """counts as (select run, count(*) filter (where tel = 'M1') as n_1,

@@ -16,7 +16,6 @@ from duoscope.functions.arrays import interleave, log_energy
 from duoscope.operators.ordering import number_rows
 from workload.fixtures import stored
 
-N_PIX_ROWS = 500
 N_FEATURES = 64
 N_REAL = 20
 
@@ -126,9 +125,9 @@ def valid_subruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base(spark, sf_dir).select("run", "subrun").distinct()
 
 
-def pixel_row(event_id: Column, tel: Column) -> Column:
-    """Which row of ``embeddings`` holds the features of an event."""
-    return F.when(tel == "M1", event_id % N_PIX_ROWS).otherwise((event_id * 7 + 3) % N_PIX_ROWS)
+def pixel_row(event_id: Column, tel: Column, n: Column) -> Column:
+    """Which of the ``n`` rows of ``embeddings`` holds the features of an event."""
+    return F.when(tel == "M1", event_id % n).otherwise((event_id * 7 + 3) % n)
 
 
 def with_pixels(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
@@ -139,7 +138,8 @@ def with_pixels(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     constant = F.concat(
         F.array(F.lit(1.0).cast("float")), F.slice("_pix", 2, F.size("_pix") - 1)
     )
-    tagged = rows.withColumn("_vec", pixel_row(F.col("event_id"), F.col("tel")))
+    n = features.agg(F.count("*")).scalar()
+    tagged = rows.withColumn("_vec", pixel_row(F.col("event_id"), F.col("tel"), n))
     return tagged.join(features, "_vec").select(
         *rows.columns,
         (F.col("event_id") % 46).cast("double").alias("zd"),
