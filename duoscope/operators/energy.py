@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.functions import predict_batch_udf
@@ -44,12 +45,37 @@ def score(events: DataFrame, make_predict_fn: Callable, n_features: int, batch_s
     return events.withColumn("dl", model("pix"))
 
 
+@dataclass(frozen=True)
+class Imputed:
+    """All events with their estimate, and per run how many have none."""
+
+    rows: DataFrame
+    status: DataFrame
+
+
 def impute_energy(
     events: DataFrame, energies: DataFrame, on: Sequence[str] = ("run", *DATA_KEYS)
-) -> DataFrame:
-    """Attaches the estimated energy by event keys, or by position with ``on=("run", "seq")``."""
-    estimates = without_nan_keys(energies, on).select(*on, F.col("dl").alias("energy_est"))
-    return events.join(estimates, list(on))
+) -> Imputed:
+    """Attaches the estimated energy by event keys, or by position with ``on=("run", "seq")``.
+
+    Every event stays one row. It has no estimate (null) if there is none for its
+    keys or several; ``status`` counts both, and ``ok`` holds where neither occurs.
+    """
+    estimates = (
+        without_nan_keys(energies, on)
+        .groupBy(*on)
+        .agg(F.count("*").alias("_n"), F.first("dl").alias("_dl"))
+    )
+    rows = events.join(estimates, list(on), "left")
+    several = F.coalesce(F.col("_n") > 1, F.lit(False))
+    status = rows.groupBy("run").agg(
+        F.count("*").alias("n_events"),
+        F.count_if(F.col("_n").isNull()).alias("n_missing"),
+        F.count_if(several).alias("n_repeated"),
+        F.every(F.coalesce(F.col("_n") == 1, F.lit(False))).alias("ok"),
+    )
+    energy = F.when(~several, F.col("_dl")).alias("energy_est")
+    return Imputed(rows.select(*events.columns, energy), status)
 
 
 def is_prediction_input(name: Column, mode: str) -> Column:
@@ -81,15 +107,23 @@ def energy_diff(
 ) -> DataFrame:
     """Per run: largest difference, whether all stay below ``tol``, whether all are equal.
 
-    Rows that only ``original`` has are not compared.
+    ``n_rows`` pairs are compared. Rows that only ``original`` has are allowed and
+    counted; rows that only ``imputed`` has are counted and make a run neither close
+    nor exact.
     """
-    left = imputed.select(*on, F.col(value).alias("_a"))
-    right = original.select(*on, F.col(value).alias("_b"))
+    left = imputed.select(*on, F.col(value).alias("_a"), F.lit(True).alias("_in_a"))
+    right = original.select(*on, F.col(value).alias("_b"), F.lit(True).alias("_in_b"))
     gap = F.abs(F.col("_a") - F.col("_b"))
-    return left.join(right, list(on)).groupBy("run").agg(
-        F.count("*").alias("n_rows"),
+    both = F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull()
+    foreign = F.col("_in_b").isNull()
+    return left.join(right, list(on), "full_outer").groupBy("run").agg(
+        F.count_if(both).alias("n_rows"),
+        F.count_if(foreign).alias("n_only_imputed"),
+        F.count_if(F.col("_in_a").isNull()).alias("n_only_original"),
         F.max(gap).alias("max_diff"),
         F.count_if(gap >= tol).alias("n_above"),
-        (F.max(gap) < tol).alias("close"),
-        F.every(F.col("_a") == F.col("_b")).alias("exact"),
+        F.every(F.when(both, F.coalesce(gap < tol, F.lit(False))).otherwise(~foreign)).alias("close"),
+        F.every(
+            F.when(both, F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))).otherwise(~foreign)
+        ).alias("exact"),
     )

@@ -14,6 +14,8 @@ from duoscope.sources.shared import listed
 # Size of a stacked output file, share of training runs.
 MAX_BYTES = 2_500_000_000
 TRAIN_SHARE = 0.6
+#: Batch of files that a list of batches does not have.
+UNLISTED = -1
 
 
 def unpaired_files(left: DataFrame, right: DataFrame, old: str = "_M1_", new: str = "_M2_") -> DataFrame:
@@ -92,8 +94,18 @@ def batch_files(files: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
 
 
 def union_batches(events: DataFrame, batched: DataFrame) -> DataFrame:
-    """Events with the batch of their file; write them ``partitionBy("batch")``."""
-    return events.join(listed(batched.select("name", "batch"), "batches"), "name")
+    """Events with the batch of their file; write them ``partitionBy("batch")``.
+
+    Events of files that are in no batch stay, as batch ``UNLISTED``.
+    """
+    batches = listed(batched.select("name", "batch"), "batches")
+    return events.join(batches, "name", "left").na.fill(UNLISTED, ["batch"])
+
+
+def unlisted_files(events: DataFrame, batched: DataFrame) -> DataFrame:
+    """name, n_rows of the files with events that are in no batch."""
+    rows = events.groupBy("name").agg(F.count("*").alias("n_rows"))
+    return rows.join(batched.select("name"), "name", "left_anti")
 
 
 def write_batches(stacked: DataFrame, path: str, max_records: int = 0) -> None:
@@ -103,8 +115,8 @@ def write_batches(stacked: DataFrame, path: str, max_records: int = 0) -> None:
     ).parquet(path)
 
 
-def size_conserved(before: DataFrame, after: DataFrame, by: str = "batch") -> DataFrame:
-    """Rows times features per batch, before and after stacking."""
+def size_conserved(before: DataFrame, after: DataFrame, by: str = "name") -> DataFrame:
+    """Rows times features per file (or ``by``), of the input and of what was stacked from it."""
 
     def cells(frame: DataFrame, name: str) -> DataFrame:
         return frame.groupBy(by).agg(F.sum(F.size("pix").cast("long")).alias(name))

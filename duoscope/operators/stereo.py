@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions.arrays import interleave
@@ -15,6 +16,14 @@ from duoscope.sources.shared import listed, written
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
 
 
+@dataclass(frozen=True)
+class Stereo:
+    """Stereo rows of the accepted runs, and the status of every run."""
+
+    rows: DataFrame
+    status: DataFrame
+
+
 def positions(events: DataFrame, order: str = "seq") -> DataFrame:
     """run, tel, sseq, seq: the k-th row of each run and telescope, for inputs without a stereo list.
 
@@ -43,17 +52,59 @@ def key_growth(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sums.withColumn("ok", F.col("n_joined") <= F.greatest("n_1", "n_2"))
 
 
-def stereo_join(
-    m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1", check: bool = True
-) -> DataFrame:
-    """One row per stereo event with interleaved features.
+def key_status(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`key_growth` with a ``status`` per run: ``ok``, ``missing_partner`` or ``repeated_keys``."""
+    missing = (F.col("n_1") == 0) | (F.col("n_2") == 0)
+    status = F.when(~F.col("ok"), "repeated_keys").when(missing, "missing_partner").otherwise("ok")
+    return key_growth(m1, m2, keys).withColumn("status", status).drop("ok")
+
+
+def position_status(events: DataFrame, kept: DataFrame) -> DataFrame:
+    """Whether the rows of a run may be paired by position: run, n_1, n_2, tail flags, ``status``.
+
+    Both telescopes need as many rows, and their last two rows must be equal on
+    both or on neither: ``missing_partner``, ``length_differs``, ``tails_differ`` or
+    ``ok``. Features are read for the last two rows of a run alone.
+    """
+    ends = kept.groupBy("run", "tel").agg(F.max("sseq").alias("_end"), F.count("*").alias("_n"))
+    last = kept.join(ends, ["run", "tel"]).filter(F.col("sseq") >= F.col("_end") - 1)
+    columns = [c for c in (*CARRIED, "pix") if c in events.columns]
+    tails = listed(
+        events.select("run", "tel", "seq", *columns).join(
+            last.select("run", "tel", "seq", "sseq"), ["run", "tel", "seq"]
+        ),
+        "tails",
+    )
+    tel = F.col("tel")
+
+    def rows_of(name: str) -> Column:
+        return F.coalesce(F.max(F.when(tel == name, F.col("_n"))), F.lit(0))
+
+    counts = ends.groupBy("run").agg(rows_of("M1").alias("n_1"), rows_of("M2").alias("n_2"))
+    equal = tail_duplicate(tails, columns)
+    differ = ~F.col("tail_dup_1").eqNullSafe(F.col("tail_dup_2"))
+    return counts.join(equal.drop("agree"), "run", "left").withColumn(
+        "status",
+        F.when((F.col("n_1") == 0) | (F.col("n_2") == 0), "missing_partner")
+        .when(F.col("n_1") != F.col("n_2"), "length_differs")
+        .when(differ, "tails_differ")
+        .otherwise("ok"),
+    )
+
+
+def accepted_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
+    return rows.join(status.filter("status = 'ok'").select("run"), "run", "left_semi")
+
+
+def stereo_join(m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1") -> Stereo:
+    """One row per stereo event with interleaved features, and a status per run.
 
     ``on="time"`` joins observed events on their keys, ``on="mc"`` simulated ones,
     ``on="position"`` joins the k-th rows of both telescopes by the ``sseq`` they
     carry (see :func:`stereo_of_kept` for rows that do not). Keys and pointing come from ``keys_from``:
-    usually M1 for observed and M2 for simulated events. ``check`` refuses key
-    joins that would have more rows in a run than its longer input: repeated keys
-    would otherwise multiply.
+    usually M1 for observed and M2 for simulated events. Only runs with status ``ok``
+    are joined: see :func:`key_status`, under which repeated keys cannot multiply
+    events, and :func:`position_status`, under which no row meets another's partner.
     """
     if keys_from not in ("M1", "M2"):
         raise ValueError(f"keys_from must be M1 or M2, not {keys_from}")
@@ -61,11 +112,14 @@ def stereo_join(
     if keys is None:
         raise ValueError(f"on must be time, mc or position, not {on}")
     if on == "position":
+        both = m1.unionByName(m2, allowMissingColumns=True).withColumn("seq", F.col("sseq"))
+        status = position_status(both, both.select("run", "tel", "sseq", "seq"))
         left, right = m1, m2
     else:
-        if check and not key_growth(m1, m2, keys).filter(~F.col("ok")).isEmpty():
-            raise ValueError(f"repeated keys: joining on {keys} would multiply events")
+        status = key_status(m1, m2, keys)
         left, right = without_nan_keys(m1, keys), without_nan_keys(m2, keys)
+    status = listed(status, "stereo-status")
+    left, right = accepted_rows(left, status), accepted_rows(right, status)
     join = ["run", *keys]
     owner, other = (left, right) if keys_from == "M1" else (right, left)
     carried = [c for c in CARRIED if c in owner.columns and c not in join]
@@ -73,7 +127,8 @@ def stereo_join(
     a = owner.select(*join, *positions, *carried, F.col("pix").alias("_own"))
     b = other.select(*join, F.col("pix").alias("_other"))
     pix = ("_own", "_other") if keys_from == "M1" else ("_other", "_own")
-    return a.join(b, join).select(*join, *positions, *carried, interleave(*pix).alias("pix"))
+    rows = a.join(b, join).select(*join, *positions, *carried, interleave(*pix).alias("pix"))
+    return Stereo(rows, status)
 
 
 def attach_position(events: DataFrame, kept: DataFrame) -> DataFrame:
@@ -130,22 +185,18 @@ def tail_duplicate(events: DataFrame, columns: Sequence[str], order: str = "sseq
 def duplicate_count(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per run that repeat an earlier one in all ``columns``.
 
-    Only rows that share a 64-bit hash with another row are compared in full, so
-    the features of unique rows are not shuffled.
+    Rows count as equal if two 64-bit hashes of their columns are, from different
+    seeds: the features are read once and never shuffled, and the counts are combined
+    before the shuffle.
     """
-    tagged = events.select("run", *columns, F.xxhash64(*columns).alias("_hash"))
-    repeated = (
-        tagged.groupBy("run", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    )
-    copies = (
-        tagged.join(repeated, ["run", "_hash"], "left_semi")
-        .groupBy("run", *columns)
+    hashes = [F.xxhash64(F.lit(seed), *columns).alias(f"_h{seed}") for seed in (1, 2)]
+    return (
+        events.select("run", *hashes)
+        .groupBy("run", "_h1", "_h2")
         .agg(F.count("*").alias("_n"))
         .groupBy("run")
-        .agg(F.sum(F.col("_n") - 1).alias("n_duplicates"))
+        .agg(F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("n_duplicates"))
     )
-    sizes = events.groupBy("run").agg(F.count("*").alias("n_rows"))
-    return sizes.join(copies, "run", "left").na.fill(0, ["n_duplicates"])
 
 
 def join_growth(m1: DataFrame, m2: DataFrame, joined: DataFrame, exact: bool = False) -> DataFrame:
@@ -171,13 +222,20 @@ def width_mismatch(events: DataFrame) -> DataFrame:
 
 
 def pair_with_indicator(m1: DataFrame, m2: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of M1 by run, split into those with and without a partner in M2."""
+    """Rows of M1 by run, split into those with and without a partner in M2.
+
+    Both sides are counted per key first, so a frequent key is one row of each.
+    """
+    own = m1.groupBy("run", key).agg(F.count("*").alias("_own"))
     partners = m2.groupBy("run", key).agg(F.count("*").alias("_partners"))
-    paired = m1.join(partners, ["run", key], "left")
-    found = F.col("_partners").isNotNull()
-    return paired.groupBy("run").agg(
-        F.coalesce(F.sum("_partners"), F.lit(0)).alias("n_both"),
-        F.count_if(~found).alias("n_left_only"),
+    alone = F.when(F.col("_partners").isNull(), F.col("_own")).otherwise(0)
+    return (
+        own.join(partners, ["run", key], "left")
+        .groupBy("run")
+        .agg(
+            F.coalesce(F.sum(F.col("_own") * F.col("_partners")), F.lit(0)).alias("n_both"),
+            F.sum(alone).alias("n_left_only"),
+        )
     )
 
 

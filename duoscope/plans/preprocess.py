@@ -1,4 +1,7 @@
-"""The whole way from calibrated events to energies, as one lazy plan."""
+"""The whole way from calibrated events to energies.
+
+Selection stores what several later steps read; joining, scaling and scoring are lazy.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +15,8 @@ from duoscope.operators.matching import DATA_KEYS, MC_KEYS
 from duoscope.operators.normalise import normalize_camera, normalize_pixels
 from duoscope.operators.selection import select_events
 from duoscope.operators.statistics import REAL_PIXELS, feature_stats
-from duoscope.operators.stereo import positions, stereo_of_kept
-from duoscope.sources.shared import written
+from duoscope.operators.stereo import accepted_rows, position_status, positions, stereo_of_kept
+from duoscope.sources.shared import listed, written
 
 METHODS = (None, "pixelwise", "camerawise")
 
@@ -55,7 +58,8 @@ def preprocess(
 
     ``mode`` is ``data`` or ``mc`` and sets the key columns and the telescope whose
     keys are kept. Without ``stereo_keys`` the events count as selected already and
-    are paired by position; without ``make_predict_fn`` nothing is scored. ``stored``
+    are paired by position, in the runs where :func:`position_status` allows it;
+    ``status`` tells about all runs. Without ``make_predict_fn`` nothing is scored. ``stored``
     says that events and stereo keys are tables on disk.
     """
     if mode not in ("data", "mc"):
@@ -63,13 +67,20 @@ def preprocess(
     if normalize not in METHODS:
         raise ValueError(f"normalize must be one of {METHODS}, not {normalize}")
     mc = mode == "mc"
+    if normalize == "camerawise" and not mc:
+        raise ValueError("camera-wise scaling is defined for simulated events")
+    if normalize is not None and norm is None and not mc:
+        raise ValueError("observed events need a norm from simulation")
+    if normalize is None and make_predict_fn is not None:
+        raise ValueError("scores need normalised events")
     keys, owner = (MC_KEYS, "M2") if mc else (DATA_KEYS, "M1")
-    status = None
     if stereo_keys is not None:
         match = select_events(events, stereo_keys, valid, keys, stored=stored)
         status, kept = match.status, match.kept
     else:
-        kept = positions(events)
+        places = positions(events)
+        status = listed(position_status(events, places), "position-status")
+        kept = accepted_rows(places, status)
     stereo = stereo_of_kept(events, kept, keys_from=owner)
     if normalize is None:
         return Preprocessed(status, stereo)
@@ -78,8 +89,6 @@ def preprocess(
         stereo = written(stereo, "stereo")
     norm = resolve_norm(mode, norm, stereo)
     if normalize == "camerawise":
-        if not mc:
-            raise ValueError("camera-wise scaling is defined for simulated events")
         normalized = normalize_camera(stereo, norm, n_real)
     else:
         normalized = normalize_pixels(stereo, norm, mc)

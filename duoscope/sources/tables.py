@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duoscope.functions import names
 from duoscope.sources.events import require_nonempty
+from duoscope.sources.shared import written
 
 # Columns of prediction files, output formats.
 DATA_PREDICTION = ("DL", "eventlinking1", "eventlinking2", "eventlinking3")
@@ -39,6 +40,19 @@ def read_norm(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return spark.read.schema(NORM_SCHEMA).parquet(path)
 
 
+def write_plain_norm(norm: DataFrame, path: str) -> DataFrame:
+    """The exchange layout: one headerless file, mean and std, where the line number is the position.
+
+    A norm has one line per feature and does not grow with the events, so one task
+    writes it.
+    """
+    lines = norm.select("pos", F.concat_ws(" ", F.col("mean").cast("string"), F.col("std").cast("string")).alias("value"))
+    lines.repartitionByRange(1, "pos").sortWithinPartitions("pos").select("value").write.mode(
+        "overwrite"
+    ).text(path)
+    return read_plain_norm(norm.sparkSession, path)
+
+
 def read_plain_norm(spark: SparkSession, path: str) -> DataFrame:
     """A headerless two-column norm file, where the line number is the position.
 
@@ -102,26 +116,34 @@ def write_energies(
     ``impute`` has one number per line, a missing one as ``""`` so that every event
     keeps its line; ``validate`` (simulation only) has
     true and estimated energy with a header. Rows keep their order inside a run.
+    Runs that are written again are replaced, all others stay. The rows are worked out
+    once and both outputs written from the stored result.
     """
     unknown = set(outputs) - {"impute", "validate"}
     if unknown:
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
     paths = {}
-    rows = energies
+    columns = [c for c in ("run", order, "dl", "mc_truth") if c in energies.columns]
+    rows = written(energies.select(*columns), "energies")
     if order in energies.columns:
-        rows = energies.repartitionByRange("run", order).sortWithinPartitions("run", order)
+        rows = rows.repartitionByRange("run", order).sortWithinPartitions("run", order)
+
+    def sink(out: DataFrame):
+        return (
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
+        )
+
     if "impute" in outputs:
         paths["impute"] = f"{path}/impute"
         text = fixed_decimals(impute_value(F.col("dl")))
         line = F.when(text == "", '""').otherwise(text).alias("value")
-        rows.select("run", line).write.mode("overwrite").partitionBy("run").text(paths["impute"])
+        sink(rows.select("run", line)).text(paths["impute"])
     if "validate" in outputs and "mc_truth" in energies.columns:
         paths["validate"] = f"{path}/validate"
-        rows.select(
+        lines = rows.select(
             "run",
             fixed_decimals(F.col("mc_truth")).alias("MCTruth"),
             fixed_decimals(F.col("dl")).alias("DL"),
-        ).write.mode("overwrite").option("emptyValue", "").option("header", "true").partitionBy(
-            "run"
-        ).csv(paths["validate"])
+        )
+        sink(lines).option("emptyValue", "").option("header", "true").csv(paths["validate"])
     return paths

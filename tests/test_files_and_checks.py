@@ -65,8 +65,8 @@ def test_split_by_run(spark, n, share, n_train):
 
 def test_sizes(spark):
     a = spark.createDataFrame([(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1.0])], "batch long, pix array<float>")
-    assert all(r["ok"] for r in fi.size_conserved(a, a).collect())
-    found = {r["batch"]: (r["cells_before"], r["cells_after"], r["ok"]) for r in fi.size_conserved(a, a.filter("batch = 0")).collect()}
+    assert all(r["ok"] for r in fi.size_conserved(a, a, "batch").collect())
+    found = {r["batch"]: (r["cells_before"], r["cells_after"], r["ok"]) for r in fi.size_conserved(a, a.filter("batch = 0"), "batch").collect()}
     assert found == {0: (4, 4, True), 1: (1, 0, False)}
 
 

@@ -161,7 +161,9 @@ def test_energy_difference(spark):
     b = spark.createDataFrame([("r", 0, 1.0), ("r", 1, 2.02), ("r", 2, 9.0), ("s", 0, 1.0)], "run string, seq long, dl double")
     found = {r["run"]: r for r in en.energy_diff(a, b).collect()}
     assert (found["r"]["n_rows"], found["r"]["n_above"], found["r"]["close"], found["r"]["exact"]) == (2, 1, False, False)
-    assert found["s"]["close"] and found["s"]["exact"]
+    assert found["s"]["close"] and found["s"]["exact"] and found["r"]["n_only_original"] == 1
+    more = en.energy_diff(b, a).filter("run = 'r'").first()
+    assert (more["n_only_imputed"], more["close"], more["exact"]) == (1, False, False)
 
 
 def test_scores_of_a_model(spark, events):
@@ -179,5 +181,9 @@ def test_scores_of_a_model(spark, events):
 def test_imputed_by_keys(spark):
     events = spark.createDataFrame([("r", 1.0, 2.0, 3), ("r", NAN, 2.0, 4)], "run string, nanotime double, time2 double, id long")
     energies = events.withColumn("dl", F.lit(8.0))
-    rows = en.impute_energy(events, energies).collect()
-    assert [(r["id"], r["energy_est"]) for r in rows] == [(3, 8.0)]
+    rows = en.impute_energy(events, energies).rows.collect()
+    assert sorted((r["id"], r["energy_est"]) for r in rows) == [(3, 8.0), (4, None)]
+    twice = en.impute_energy(events, energies.unionByName(energies))
+    assert sorted((r["id"], r["energy_est"]) for r in twice.rows.collect()) == [(3, None), (4, None)]
+    found = twice.status.first()
+    assert (found["n_events"], found["n_missing"], found["n_repeated"], found["ok"]) == (2, 1, 1, False)

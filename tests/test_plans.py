@@ -135,11 +135,16 @@ def test_preprocess_refuses_unknown_options(events):
         preprocess("raw", events)
     with pytest.raises(ValueError):
         preprocess("data", events, normalize="linewise")
+    norm = events.limit(0)
+    for late in ({}, {"norm": norm, "normalize": "camerawise"}, {"normalize": None, "make_predict_fn": len}):
+        with pytest.raises(ValueError):
+            preprocess("data", None, **late)
 
 
 def test_steps_can_be_switched_off(events):
     done = preprocess("data", events, normalize=None)
-    assert done.normalized is None and done.energies is None and done.status is None
+    assert done.normalized is None and done.energies is None
+    assert {r["status"] for r in done.status.collect()} == {"ok"}
     assert done.stereo.count() == events.filter("tel = 'M1'").count()
 
 

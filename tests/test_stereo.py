@@ -1,6 +1,7 @@
 import pytest
 
 from duoscope.operators import stereo as st
+from duoscope.plans.preprocess import preprocess
 
 SCHEMA = (
     "run string, tel string, seq long, nanotime double, time2 double, id long, energy double,"
@@ -19,9 +20,9 @@ def row(tel, seq, nano, ident, pix, energy=1.0, zd=20.0):
 def test_interleaved_key_join(spark):
     m1 = frame(spark, [row("M1", 0, 1.0, 1, [1.0, 3.0]), row("M1", 1, 2.0, 2, [5.0, 7.0]), row("M1", 2, 3.0, 3, [0.0, 0.0])])
     m2 = frame(spark, [row("M2", 0, 2.0, 2, [6.0, 8.0], zd=30.0), row("M2", 1, 1.0, 1, [2.0, 4.0]), row("M2", 2, 9.0, 3, [0.0, 0.0])])
-    rows = st.stereo_join(m1, m2, "time").orderBy("id").collect()
+    rows = st.stereo_join(m1, m2, "time").rows.orderBy("id").collect()
     assert [(r["id"], r["pix"], r["zd"]) for r in rows] == [(1, [1.0, 2.0, 3.0, 4.0], 20.0), (2, [5.0, 6.0, 7.0, 8.0], 20.0)]
-    other = st.stereo_join(m1, m2, "time", keys_from="M2").orderBy("id").collect()
+    other = st.stereo_join(m1, m2, "time", keys_from="M2").rows.orderBy("id").collect()
     assert [(r["id"], r["pix"], r["zd"]) for r in other] == [(1, [1.0, 2.0, 3.0, 4.0], 20.0), (2, [5.0, 6.0, 7.0, 8.0], 30.0)]
 
 
@@ -29,13 +30,13 @@ def test_nan_keys_never_join(spark):
     nan = float("nan")
     m1 = frame(spark, [row("M1", 0, nan, 1, [1.0])])
     m2 = frame(spark, [row("M2", 0, nan, 1, [1.0])])
-    assert st.stereo_join(m1, m2, "time").count() == 0
+    assert st.stereo_join(m1, m2, "time").rows.count() == 0
 
 
 def test_simulated_key_join(spark):
     m1 = frame(spark, [row("M1", 0, 1.0, 1, [1.0], energy=5.0), row("M1", 1, 1.0, 1, [2.0], energy=6.0)])
     m2 = frame(spark, [row("M2", 0, 1.0, 1, [9.0], energy=6.0)])
-    rows = st.stereo_join(m1, m2, "mc", keys_from="M2").collect()
+    rows = st.stereo_join(m1, m2, "mc", keys_from="M2").rows.collect()
     assert [(r["energy"], r["pix"]) for r in rows] == [(6.0, [2.0, 9.0])]
 
 
@@ -44,9 +45,34 @@ def test_repeated_keys_are_refused(spark):
     m2 = frame(spark, [row("M2", i, 1.0, 1, [1.0]) for i in range(3)])
     growth = st.key_growth(m1, m2, ["nanotime", "time2", "id"]).first()
     assert (growth["n_1"], growth["n_2"], growth["n_joined"], growth["ok"]) == (3, 3, 9, False)
-    with pytest.raises(ValueError, match="multiply"):
-        st.stereo_join(m1, m2, "time")
-    assert st.stereo_join(m1, m2, "time", check=False).count() == 9
+    clean = row("M1", 9, 2.0, 2, [1.0])
+    m1 = m1.unionByName(frame(spark, [("s", *clean[1:]), ("t", *clean[1:])]))
+    m2 = m2.unionByName(frame(spark, [("s", "M2", *clean[2:])]))
+    joined = st.stereo_join(m1, m2, "time")
+    assert [r["run"] for r in joined.rows.collect()] == ["s"]
+    assert {r["run"]: r["status"] for r in joined.status.collect()} == {
+        "r": "repeated_keys", "s": "ok", "t": "missing_partner"
+    }
+
+
+def test_rows_of_different_events_never_pair(spark):
+    """Without row 1 of M2, every later position would meet another event."""
+    m1 = [row("M1", i, float(i), i, [float(i)]) for i in range(5)]
+    m2 = [row("M2", i, float(i), i, [float(i)]) for i in range(5) if i != 1]
+    same = [("s", t, i, 1.0, 0.0, 1, 1.0, 20.0, 90.0, [1.0]) for t in ("M1", "M2") for i in range(2)]
+    last = [("u", t, i, 1.0, 0.0, 1, 1.0, 20.0, 90.0, [float(i) if t == "M2" else 1.0]) for t in ("M1", "M2") for i in range(2)]
+    alone = [("v", "M2", 0, 1.0, 0.0, 1, 1.0, 20.0, 90.0, [1.0])]
+    events = frame(spark, m1 + m2 + same + last + alone)
+    places = st.positions(events)
+    status = {r["run"]: r["status"] for r in st.position_status(events, places).collect()}
+    assert status == {"r": "length_differs", "s": "ok", "u": "tails_differ", "v": "missing_partner"}
+    done = preprocess("data", events, normalize=None)
+    assert {r["run"] for r in done.stereo.collect()} == {"s"}
+    assert {r["run"]: r["status"] for r in done.status.collect()} == status
+    placed = st.attach_position(events, places)
+    joined = st.stereo_join(placed.filter("tel = 'M1'"), placed.filter("tel = 'M2'"), "position")
+    assert {r["run"] for r in joined.rows.collect()} == {"s"}
+    assert {r["run"]: r["status"] for r in joined.status.collect()} == status
 
 
 def test_position_join_keeps_repeated_rows(spark):
@@ -61,7 +87,7 @@ def test_position_join_keeps_repeated_rows(spark):
     for owner, ident, nano in (("M1", 7, 1.0), ("M2", 8, 2.0)):
         late = st.stereo_of_kept(events, places, owner)
         placed = st.attach_position(events, places)
-        early = st.stereo_join(placed.filter("tel = 'M1'"), placed.filter("tel = 'M2'"), "position", owner)
+        early = st.stereo_join(placed.filter("tel = 'M1'"), placed.filter("tel = 'M2'"), "position", owner).rows
         for rows in (late.collect(), early.collect()):
             assert sorted(r["sseq"] for r in rows) == [0, 1, 2]
             assert {(r["id"], r["nanotime"]) for r in rows} == {(ident, nano)}

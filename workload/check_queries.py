@@ -104,13 +104,14 @@ def batch_files(spark, sf_dir):
 
 
 def stacked(spark, sf_dir):
-    """Events with features, with the batch of their file."""
+    """Events with features and the name of their file; a list of batches that misses some files."""
     name = F.concat(F.lit("20240101_"), "tel", F.lit("_"), "run", F.lit("."), "subrun", F.lit("_Y_Src.csv"))
     rows = t.calib_events(spark, sf_dir).withColumn("name", name)
-    return fi.union_batches(rows, fi.batch_files(t.file_names(spark, sf_dir), 1_000_000))
+    return rows, fi.batch_files(t.file_names(spark, sf_dir), 1_000_000).filter("batch % 5 <> 3")
 
 
-STACKED = """stacked as (select c.run, c.tel, c.seq, c.event_id, b.batch from calib c join batched b
+STACKED = """stacked as (select c.run, c.tel, c.seq, c.event_id, b.name, case when b.batch % 5 = 3 then -1
+  else b.batch end as batch from calib c join batched b
   on b.name = '20240101_' || c.tel || '_' || c.run || '.' || c.subrun || '_Y_Src.csv')"""
 
 
@@ -123,7 +124,7 @@ STACKED = """stacked as (select c.run, c.tel, c.seq, c.event_id, b.batch from ca
     )
 )
 def union_batches(spark, sf_dir):
-    return stacked(spark, sf_dir).select("run", "tel", "seq", "batch")
+    return fi.union_batches(*stacked(spark, sf_dir)).select("run", "tel", "seq", "batch")
 
 
 @query(
@@ -131,18 +132,29 @@ def union_batches(spark, sf_dir):
         *FILE_PARTS,
         BATCHED,
         STACKED,
-        select="""select cast(batch as bigint) as batch, count(*) * 64 as cells_before, count(*) * 64 as cells_after,
- true as ok from stacked group by batch""",
+        select="select name, count(*) as n_rows from stacked where batch = -1 group by name",
+    )
+)
+def unlisted_files(spark, sf_dir):
+    return fi.unlisted_files(*stacked(spark, sf_dir))
+
+
+@query(
+    q.sql(
+        *FILE_PARTS,
+        BATCHED,
+        STACKED,
+        select="""select name, count(*) * 64 as cells_before, count(*) * 64 as cells_after,
+ true as ok from stacked group by name""",
     )
 )
 def size_conserved(spark, sf_dir):
     from duoscope.sources.shared import shared_folder
 
     path = shared_folder(spark, "batches")
-    rows = stacked(spark, sf_dir)
-    fi.write_batches(rows, path, 100_000)
-    after = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("long"))
-    return fi.size_conserved(rows, after)
+    rows, batched = stacked(spark, sf_dir)
+    fi.write_batches(fi.union_batches(rows, batched), path, 100_000)
+    return fi.size_conserved(rows, spark.read.parquet(path))
 
 
 @query(

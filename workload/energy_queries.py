@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duoscope.operators import energy as en
 from duoscope.plans.energies import energies as energies_of
+from duoscope.sources.shared import shared_folder
 from workload import sql as q
 from workload import tables as t
 from workload.norm_queries import mc_norm
@@ -101,17 +102,34 @@ def score(spark, sf_dir):
 @query(
     q.sql(
         *PRED,
-        select=f"""select run, seq, id, nanotime, {q.r6('value')} as energy_est from pred
- where not mc and value > 20""",
+        select=f"""select run, seq, id, nanotime,
+ case when value > 20 and id % 19 <> 0 then {q.r6('value')} end as energy_est from pred where not mc""",
     )
 )
 def impute_energy(spark, sf_dir):
-    """Estimates by event keys; events without one drop out."""
+    """Estimates by event keys; some events have none, some keys two."""
+    joined = imputed(spark, sf_dir).rows
+    return joined.select("run", "seq", "id", "nanotime", F.round("energy_est", 6).alias("energy_est"))
+
+
+def imputed(spark, sf_dir):
     energies = en.adjust_energy(t.predictions(spark, sf_dir), t.energy_norm(spark, sf_dir))
-    events = t.predictions(spark, sf_dir).drop("dl")
     known = energies.filter("nanotime > 20")
-    joined = en.impute_energy(events, known)
-    return joined.select("run", "seq", "id", "nanotime", F.round("energy_est", 6).alias("energy_est"))
+    known = known.unionByName(known.filter("id % 19 = 0").withColumn("dl", F.col("dl") + 1))
+    return en.impute_energy(t.predictions(spark, sf_dir).drop("dl"), known)
+
+
+@query(
+    q.sql(
+        *PRED,
+        select="""select run, count(*) as n_events, count(*) filter (where value <= 20) as n_missing,
+ count(*) filter (where value > 20 and id % 19 = 0) as n_repeated,
+ bool_and(value > 20 and id % 19 <> 0) as ok from pred where not mc group by run""",
+    )
+)
+def impute_energy_status(spark, sf_dir):
+    """Per run: events without an estimate, and events whose keys have two."""
+    return imputed(spark, sf_dir).status
 
 
 @query(
@@ -123,15 +141,18 @@ def impute_energy(spark, sf_dir):
 def impute_energy_by_position(spark, sf_dir):
     energies = en.adjust_energy(t.predictions(spark, sf_dir), t.energy_norm(spark, sf_dir))
     events = t.predictions(spark, sf_dir).select("run", "seq")
-    joined = en.impute_energy(events, energies, on=("run", "seq"))
+    joined = en.impute_energy(events, energies, on=("run", "seq")).rows
     return joined.select("run", "seq", F.round("energy_est", 6).alias("energy_est"))
 
 
 @query(
-    """select lpad(cast(user_id as varchar), 8, '0') as run, count(*) as n_rows,
- round(max(d), 6) as max_diff, count(*) filter (where d >= 0.015) as n_above, max(d) < 0.015 as close, false as exact
- from (select user_id, abs((value + case when event_id % 50 = 0 then 0.02 else 0.001 end) - value) as d from events)
- group by user_id"""
+    """select lpad(cast(user_id as varchar), 8, '0') as run, count(*) filter (where a and b) as n_rows,
+ count(*) filter (where a and not b) as n_only_imputed, count(*) filter (where b and not a) as n_only_original,
+ round(max(case when a and b then d end), 6) as max_diff, count(*) filter (where a and b and d >= 0.015) as n_above,
+ bool_and(case when a and b then d < 0.015 else b end) as close, bool_and(case when a and b then d = 0 else b end) as exact
+ from (select user_id, event_id % 13 <> 0 as a, event_id % 97 <> 0 as b,
+  abs((value + case when user_id % 5 = 0 then 0.0 when event_id % 50 = 0 then 0.02 else 0.001 end) - value) as d from events)
+ where a or b group by user_id"""
 )
 def energy_diff(spark, sf_dir):
     events = t.table(spark, sf_dir, "events").select(
@@ -139,21 +160,28 @@ def energy_diff(spark, sf_dir):
         F.col("event_id").alias("seq"),
         F.col("value").alias("dl"),
     )
-    shift = F.when(F.col("seq") % 50 == 0, F.lit(0.02)).otherwise(F.lit(0.001))
-    imputed = events.withColumn("dl", F.col("dl") + shift)
-    return en.energy_diff(imputed, events).withColumn("max_diff", F.round("max_diff", 6))
+    same = F.col("run").cast("long") % 5 == 0
+    shift = F.when(same, 0.0).when(F.col("seq") % 50 == 0, 0.02).otherwise(0.001)
+    imputed = events.filter("seq % 13 <> 0").withColumn("dl", F.col("dl") + shift)
+    found = en.energy_diff(imputed, events.filter("seq % 97 <> 0"))
+    return found.withColumn("max_diff", F.round("max_diff", 6))
 
 
 @query(
     q.sql(
         *PRED,
         select=f"""select run, row_number() over (partition by run order by seq) - 1 as seq, id,
- {q.r6('value')} as dl from pred where not mc""",
+ {q.r6('value')} as dl, count(*) over (partition by run) as n_lines from pred where not mc""",
     )
 )
 def energies(spark, sf_dir):
-    """Prediction files to adjusted energies, in file order."""
+    """Prediction files to adjusted energies, in file order, and the lines written for each run."""
+    out = shared_folder(spark, "energies")
     rows = energies_of(
-        spark, prediction_files(spark, sf_dir, False), t.energy_norm(spark, sf_dir), "data"
+        spark, prediction_files(spark, sf_dir, False), t.energy_norm(spark, sf_dir), "data", out
+    )
+    lines = spark.read.text(f"{out}/impute")
+    kept = lines.groupBy("run").agg(F.count("*").alias("n_lines"))
+    return rows.join(kept, "run", "left").select(
+        "run", "seq", "id", F.round("dl", 6).alias("dl"), "n_lines"
     )
-    return rows.select("run", "seq", "id", F.round("dl", 6).alias("dl"))

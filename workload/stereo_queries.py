@@ -27,7 +27,7 @@ def keyed(spark, sf_dir, tel: str):
     if tel == "M2":
         late = F.col("value") > 400
         rows = rows.withColumn("time2", F.when(late, F.col("time2") + 1).otherwise(F.col("time2")))
-    return rows.filter(F.col("user_id") % 10 != 7)
+    return rows
 
 
 STEREO_DIGEST = """stereo_digest as (
@@ -37,15 +37,32 @@ STEREO_DIGEST = """stereo_digest as (
  join digest d2 on d2.vec_id = ({e2} * 7 + 3) % (select count(*) from embeddings))"""
 
 
+KEYED = """pairs as (select a.run, a.nanotime, a.time2, a.id, a.event_id as e1, b.event_id as e2
+ from calib a join calib b on a.run = b.run and a.nanotime = b.nanotime and a.id = b.id
+  and a.time2 = case when b.value > 400 then b.time2 + 1 else b.time2 end
+ where a.tel = 'M1' and b.tel = 'M2'),
+ key_state as (select c.run, n_1, n_2, coalesce(n_joined, 0) as n_joined,
+  case when coalesce(n_joined, 0) > greatest(n_1, n_2) then 'repeated_keys'
+   when n_1 = 0 or n_2 = 0 then 'missing_partner' else 'ok' end as status
+  from (select run, count(*) filter (where tel = 'M1') as n_1, count(*) filter (where tel = 'M2') as n_2
+   from calib group by run) c left join (select run, count(*) as n_joined from pairs group by run) j
+  on j.run = c.run)"""
+
+
+@query(q.sql(q.BASE, q.CALIB, KEYED, select="select * from key_state"))
+def stereo_key_status(spark, sf_dir):
+    """Every run; few key values would multiply the events of some."""
+    keys = ["nanotime", "time2", "id"]
+    return st.key_status(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), keys)
+
+
 @query(
     q.sql(
         q.FEATURES,
         q.BASE,
         q.CALIB,
-        """joined as (select a.run, a.nanotime, a.time2, a.id, a.event_id as e1, b.event_id as e2
- from calib a join calib b on a.run = b.run and a.nanotime = b.nanotime and a.id = b.id
-  and a.time2 = case when b.value > 400 then b.time2 + 1 else b.time2 end
- where a.tel = 'M1' and b.tel = 'M2' and a.user_id % 10 <> 7)""",
+        KEYED,
+        """joined as (select * from pairs where run in (select run from key_state where status = 'ok'))""",
         STEREO_DIGEST.format(
             columns="run, nanotime, time2, id, cast(e1 % 46 as double) as zd, cast(e1 % 360 as double) as az",
             source="joined",
@@ -56,7 +73,7 @@ STEREO_DIGEST = """stereo_digest as (
     )
 )
 def stereo_join_time(spark, sf_dir):
-    joined = st.stereo_join(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), "time")
+    joined = st.stereo_join(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), "time").rows
     return joined.select("run", "nanotime", "time2", "id", "zd", "az", *digest()).drop("n_features")
 
 
@@ -72,7 +89,7 @@ def stereo_join_time(spark, sf_dir):
 )
 def stereo_join_mc(spark, sf_dir):
     rows = t.paired(spark, sf_dir, True).withColumn("energy", F.col("value"))
-    joined = st.stereo_join(t.telescope(rows, "M1"), t.telescope(rows, "M2"), "mc")
+    joined = st.stereo_join(t.telescope(rows, "M1"), t.telescope(rows, "M2"), "mc").rows
     return joined.select("run", "energy", "id", "zd", "az", *digest()).drop("n_features")
 
 
@@ -102,14 +119,29 @@ def stereo_join_selected(spark, sf_dir):
 
 POSITIONED = """positioned as (
  select c.*, row_number() over (partition by run, tel order by seq) - 1 as pos
- from calib c where user_id % 10 in (0, 1, 2, 9)),
+ from calib c where (event_id % 7 <> 0 and event_id % 11 <> 0) or user_id % 10 = 3),
+ place_state as (select run, n_1, n_2, case when n_1 = 0 or n_2 = 0 then 'missing_partner'
+   when n_1 <> n_2 then 'length_differs' else 'ok' end as status
+  from (select run, count(*) filter (where tel = 'M1') as n_1, count(*) filter (where tel = 'M2') as n_2
+   from positioned group by run)),
  both_sides as (select a.run, a.pos as sseq, {keys} as id, a.event_id as e1, b.event_id as e2
- from positioned a join positioned b on a.run = b.run and a.pos = b.pos and a.tel = 'M1' and b.tel = 'M2')"""
+ from positioned a join positioned b on a.run = b.run and a.pos = b.pos and a.tel = 'M1' and b.tel = 'M2'
+  and a.run in (select run from place_state where status = 'ok'))"""
 
 
-def positioned(spark, sf_dir, keys_from: str):
-    rows = t.calib_events(spark, sf_dir).filter((F.col("user_id") % 10).isin(0, 1, 2, 9))
-    return st.stereo_of_kept(rows, st.positions(rows), keys_from)
+def aligned(spark, sf_dir):
+    """Events that both telescopes saw, but in some runs those that one of them saw."""
+    both = (F.col("event_id") % 7 != 0) & (F.col("event_id") % 11 != 0)
+    return t.calib_events(spark, sf_dir).filter(both | (F.col("user_id") % 10 == 3))
+
+
+@query(
+    q.sql(q.BASE, q.CALIB, POSITIONED.format(keys="a.id"), select="select run, n_1, n_2, status from place_state")
+)
+def stereo_position_status(spark, sf_dir):
+    """Every run: whether its rows may be paired by position."""
+    rows = aligned(spark, sf_dir)
+    return st.position_status(rows, st.positions(rows)).select("run", "n_1", "n_2", "status")
 
 
 @query(
@@ -123,9 +155,9 @@ def positioned(spark, sf_dir, keys_from: str):
     )
 )
 def stereo_join_position(spark, sf_dir):
-    rows = t.calib_events(spark, sf_dir).filter((F.col("user_id") % 10).isin(0, 1, 2, 9))
+    rows = aligned(spark, sf_dir)
     placed = st.attach_position(rows, st.positions(rows))
-    joined = st.stereo_join(t.telescope(placed, "M1"), t.telescope(placed, "M2"), "position")
+    joined = st.stereo_join(t.telescope(placed, "M1"), t.telescope(placed, "M2"), "position").rows
     return joined.select("run", "sseq", "id", *digest()).drop("n_features")
 
 
@@ -140,7 +172,10 @@ def stereo_join_position(spark, sf_dir):
     )
 )
 def stereo_join_position_m2(spark, sf_dir):
-    joined = positioned(spark, sf_dir, "M2")
+    rows = aligned(spark, sf_dir)
+    places = st.positions(rows)
+    kept = st.accepted_rows(places, st.position_status(rows, places))
+    joined = st.stereo_of_kept(rows, kept, "M2")
     return joined.select("run", "sseq", "id", *digest()).drop("n_features")
 
 
@@ -218,7 +253,7 @@ GROWTH = """counts as (select run, count(*) filter (where tel = 'M1') as n_1,
   count(*) filter (where tel = 'M2') as n_2 from calib group by run),
  joined as (select a.run, count(*) as n_joined from calib a join calib b
   on a.run = b.run and a.nanotime = b.nanotime and a.time2 = b.time2 and a.id = b.id
-  where a.tel = 'M1' and b.tel = 'M2' and a.user_id % 10 <> 7 group by a.run)"""
+  where a.tel = 'M1' and b.tel = 'M2' group by a.run)"""
 
 
 @query(
@@ -227,12 +262,11 @@ GROWTH = """counts as (select run, count(*) filter (where tel = 'M1') as n_1,
         q.CALIB,
         GROWTH,
         select="""select c.run, n_1, n_2, coalesce(n_joined, 0) as n_joined,
- coalesce(n_joined, 0) <= greatest(n_1, n_2) as ok from counts c left join joined j on j.run = c.run
- where cast(c.run as bigint) % 10 <> 7""",
+ coalesce(n_joined, 0) <= greatest(n_1, n_2) as ok from counts c left join joined j on j.run = c.run""",
     )
 )
 def join_growth(spark, sf_dir):
-    rows = t.calib(spark, sf_dir).filter(F.col("user_id") % 10 != 7)
+    rows = t.calib(spark, sf_dir)
     m1, m2 = t.telescope(rows, "M1"), t.telescope(rows, "M2")
     joined = m1.join(m2.select("run", "nanotime", "time2", "id"), ["run", "nanotime", "time2", "id"])
     return st.join_growth(m1, m2, joined)
