@@ -30,12 +30,13 @@ def base_name(name) -> Column:
 
 
 def source_name(path) -> Column:
-    """The path element that carries the step letter.
+    """The last path element that carries a step letter.
 
     A file written by Spark is a directory of parts, possibly a ``key=value``
-    one, so the name may sit above the last element.
+    one, so the name may sit above the last element; folders above it may carry
+    step letters too.
     """
-    return F.regexp_extract(path, r"(?:^|/)(?:\w+=)?([^/=]*_[YISQ]_[^/]*)", 1)
+    return F.regexp_extract(path, r"^(?:.*/)?(?:\w+=)?([^/=]*_[YISQ]_[^/]*)", 1)
 
 
 def _has_step(name, step: str) -> Column:

@@ -51,42 +51,81 @@ def require_nonempty(
     raise FileNotFoundError(f"no input below {path}; {hint}: {folder}")
 
 
-def _cell(parts, index) -> Column:
-    """Number at a position (from the end when negative); text that is no number is NaN."""
-    raw = F.trim(F.element_at(parts, index + 1 if index >= 0 else index))
-    return F.coalesce(raw.try_cast("double"), F.lit(float("nan")))
+def _cell(cells, index: int, size=None) -> Column:
+    """Number at a position, or at the end with ``size``; what is missing or no number is NaN."""
+    at = F.lit(index) if size is None else size + index
+    return F.coalesce(F.get(cells, at), F.lit(float("nan")))
 
 
-def _numbers(parts, first: int, drop_last: int = 2) -> Column:
-    """Features between the leading keys and the pointing."""
-    body = F.slice(parts, first + 1, F.size(parts) - first - drop_last)
-    return F.transform(
-        body, lambda x: F.coalesce(F.trim(x).try_cast("float"), F.lit(float("nan")).cast("float"))
-    )
+def _numbers(cells, size, first) -> Column:
+    """Features between the leading keys and the pointing; none on a line that is too short."""
+    body = F.slice(cells, first + 1, F.greatest(size - first - 2, F.lit(0)))
+    return F.transform(body, lambda x: F.coalesce(x, F.lit(float("nan")))).cast("array<float>")
+
+
+def not_blank() -> Column:
+    return F.col("value").rlike(r"\S")
 
 
 def parse_calib(lines: DataFrame) -> DataFrame:
     """Text lines with their file columns to event rows; works on batch and streaming scans.
 
     Observed rows are ``nanotime, time2, id, features.., zd, az``, simulated ones
-    ``energy, id, features.., zd, az``; the file name tells which.
+    ``energy, id, features.., zd, az``; the file name tells which. Blank lines are
+    no rows. On a line with too few cells, keys that are not there are NaN and there
+    are no features; :func:`malformed_lines` counts such lines. Each line is split
+    and its cells are read as numbers once.
     """
-    mc, parts = F.col("is_mc"), F.split("value", ",")
-    id_cell = F.when(mc, _cell(parts, 1)).otherwise(_cell(parts, 2))
-    return lines.withColumn("is_mc", names.is_mc(F.col("name"))).select(
+    split = lines.filter(not_blank()).select(
+        "*",
+        names.is_mc(F.col("name")).alias("is_mc"),
+        F.split("value", ",").try_cast("array<double>").alias("_cells"),
+    )
+    mc, cells, size = F.col("is_mc"), F.col("_cells"), F.size("_cells")
+    id_cell = F.when(mc, _cell(cells, 1)).otherwise(_cell(cells, 2))
+    return split.select(
         "name",
         names.run_of(F.col("name")).alias("run"),
         names.subrun_of(F.col("name")).alias("subrun"),
         names.telescope_of(F.col("name")).alias("tel"),
         "is_mc",
         *[c for c in FILE_ORDER if c in lines.columns],
-        F.when(~mc, _cell(parts, 0)).alias("nanotime"),
-        F.when(~mc, _cell(parts, 1)).alias("time2"),
+        F.when(~mc, _cell(cells, 0)).alias("nanotime"),
+        F.when(~mc, _cell(cells, 1)).alias("time2"),
         id_cell.try_cast("long").alias("id"),
-        F.when(mc, _cell(parts, 0)).alias("energy"),
-        _cell(parts, -2).alias("zd"),
-        _cell(parts, -1).alias("az"),
-        F.when(mc, _numbers(parts, 2)).otherwise(_numbers(parts, 3)).alias("pix"),
+        F.when(mc, _cell(cells, 0)).alias("energy"),
+        _cell(cells, -2, size).alias("zd"),
+        _cell(cells, -1, size).alias("az"),
+        _numbers(cells, size, F.when(mc, 2).otherwise(3)).alias("pix"),
+    )
+
+
+def calib_text(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the event files with the name and path of their file; blank ones left out."""
+    lines = require_nonempty(spark, path, "text", recursiveFileLookup="true").filter(not_blank())
+    return lines.select(
+        "value",
+        names.source_name(F.col("_metadata.file_path")).alias("name"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+    )
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """Per name: lines, cells of the longest, lines that have fewer, and lines too short for any feature."""
+    cells = F.size(F.split("value", ","))
+    least = F.when(names.is_mc(F.col("name")), 5).otherwise(6)
+    counted = lines.filter(not_blank()).groupBy("name", cells.alias("_cells"), least.alias("_least"))
+    sizes = counted.agg(F.count("*").alias("_n"))
+    longest = sizes.groupBy("name").agg(F.max("_cells").alias("n_cells"))
+    return (
+        sizes.join(longest, "name")
+        .groupBy("name", "n_cells")
+        .agg(
+            F.sum("_n").alias("n_lines"),
+            F.sum(F.when(F.col("_cells") < F.col("n_cells"), F.col("_n")).otherwise(0)).alias("n_short"),
+            F.sum(F.when(F.col("_cells") < F.col("_least"), F.col("_n")).otherwise(0)).alias("n_empty"),
+        )
     )
 
 
@@ -96,16 +135,8 @@ def read_calib(spark: SparkSession, path: str) -> DataFrame:
     ``file``, ``split_start`` and ``split_row`` give the position of each row in
     its run; see :func:`with_seq`.
     """
-    lines = require_nonempty(spark, path, "text", recursiveFileLookup="true")
-    return parse_calib(
-        lines.select(
-            "value",
-            names.source_name(F.col("_metadata.file_path")).alias("name"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("split_row"),
-        )
-    )
+    lines = calib_text(spark, path)
+    return parse_calib(lines.select("*", F.monotonically_increasing_id().alias("split_row")))
 
 
 def with_seq(
@@ -142,13 +173,19 @@ def with_seq(
 def read_stereo_keys(spark: SparkSession, path: str, mc: bool = False) -> DataFrame:
     """Scans headered key files; one row per stereo event and telescope.
 
-    ``sseq`` is the position of the event in its run.
+    Columns go by their names in the header, in any order; a missing one is an
+    error, others are not read. All files of one scan need the same header, which
+    the reader checks. ``sseq`` is the position of the event in its run.
     """
     columns = MC_KEY_COLUMNS if mc else DATA_KEY_COLUMNS
-    schema = ", ".join(f"`{c}` double" for c in columns)
-    lines = require_nonempty(spark, path, "csv", schema, recursiveFileLookup="true", header="true")
+    options = {"recursiveFileLookup": "true", "header": "true", "enforceSchema": "false"}
+    header = require_nonempty(spark, path, "csv", **options).columns
+    if absent := [c for c in columns if c not in header]:
+        raise ValueError(f"no columns {absent} in the header of {path}")
+    schema = ", ".join(f"`{c}` {'double' if c in columns else 'string'}" for c in header)
+    lines = spark.read.format("csv").options(**options).schema(schema).load(path)
     rows = lines.select(
-        "*",
+        *columns,
         names.run_of(names.source_name(F.col("_metadata.file_path"))).alias("run"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),

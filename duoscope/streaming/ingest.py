@@ -1,7 +1,6 @@
 """Incremental landing of calibrated event files.
 
-The reference point is a batch re-run that skips the runs already done. Here the
-file source remembers in its checkpoint which files it has landed, so a re-run
+Instead of a batch re-run that skips the runs already done, the file source remembers in its checkpoint which files it has landed, so a re-run
 reads the new ones only.
 """
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duoscope.functions import names
-from duoscope.sources.events import parse_calib, with_seq
+from duoscope.sources.events import not_blank, parse_calib, with_seq
 
 
 def land_calib(spark: SparkSession, path: str, table: str, checkpoint: str) -> None:
@@ -33,7 +32,7 @@ def land_calib(spark: SparkSession, path: str, table: str, checkpoint: str) -> N
     )
 
     def land(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("split_row", F.monotonically_increasing_id())
+        rows = batch.filter(not_blank()).withColumn("split_row", F.monotonically_increasing_id())
         parse_calib(rows).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     query = (

@@ -96,3 +96,9 @@ def test_source_name_of_spark_folders(spark):
     assert one(spark, path, names.source_name(F.col("name"))) == "20240101_M1_00000001.001_Y_Src.csv"
     path = "file:/x/2024_01_01/20240101_M1_00000001.001_Y_Src.csv"
     assert one(spark, path, names.source_name(F.col("name"))) == "20240101_M1_00000001.001_Y_Src.csv"
+
+
+def test_source_name_below_folders_with_step_letters(spark):
+    name = "20240101_M1_00000001.001_Y_Src.csv"
+    for path in (f"/x/good_S_archive/{name}", f"/x/all_Q_y/name={name}/part-0.csv", f"/a_I_b/c_S_d/{name}/part-1"):
+        assert one(spark, path, names.source_name(F.col("name"))) == name

@@ -208,3 +208,40 @@ def test_prediction_modes(spark):
     assert [r["name"] for r in en.prediction_inputs(files, "mc").collect()] == ["b_validation_val.txt"]
     with pytest.raises(ValueError):
         en.prediction_inputs(files, "raw")
+
+
+def test_blank_and_torn_lines(spark, folder):
+    good = [x.replace("bad", "2.0") for x in data_lines(0, 3)]
+    name = DATA_NAME.format(tel="M1", sub="001")
+    put(folder, name, [good[0], "", "  ", good[1], "7.5", "8.5,8,9", "1,2,3,4,5,6,7,8,9,10,11", good[2]])
+    rows = ev.with_seq(ev.read_calib(spark, folder)).orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(6))
+    assert [r["id"] for r in rows] == [0, 1, None, 9, 3, 2]
+    assert [len(r["pix"]) for r in rows] == [4, 4, 0, 0, 6, 4]
+    assert rows[2]["nanotime"] == 7.5 and rows[2]["time2"] != rows[2]["time2"]
+    found = ev.malformed_lines(ev.calib_text(spark, folder)).first()
+    assert (found["n_lines"], found["n_cells"], found["n_short"], found["n_empty"]) == (6, 11, 5, 2)
+
+
+def test_keys_go_by_the_header(spark, folder):
+    put(folder, "20240101_05057144_S_Src_mergecols.csv", ["id_1,other,nanotime_1,time2_1,id_2,time2_2,nanotime_2", "7,x,1.5,2,8,4,3.5"])
+    rows = {r["tel"]: (r["nanotime"], r["time2"], r["id"]) for r in ev.read_stereo_keys(spark, folder).collect()}
+    assert rows == {"M1": (1.5, 2.0, 7), "M2": (3.5, 4.0, 8)}
+    put(folder, "20240102_05057145_S_Src_mergecols.csv", ["nanotime_1,other,id_1,time2_1,id_2,time2_2,nanotime_2", "7,x,1.5,2,8,4,3.5"])
+    with pytest.raises(Exception, match="CSV header"):
+        ev.read_stereo_keys(spark, folder).collect()
+
+
+def test_energies_of_other_runs_stay(spark, folder):
+    for run, values in (("r1", [1.0, 2.0]), ("r2", [3.0]), ("r1", [4.0])):
+        rows = spark.createDataFrame([(run, i, v) for i, v in enumerate(values)], "run string, seq long, dl double")
+        path = tab.write_energies(rows, f"{folder}/out")["impute"]
+    lines = sorted((r["run"], r["value"]) for r in spark.read.text(path).collect())
+    assert lines == [("r1", "4.00000000"), ("r2", "3.00000000")]
+
+
+def test_plain_norm(spark, folder):
+    norm = spark.createDataFrame([(2, 0.5, 3.0), (0, 1.5, 1.0), (1, -2.0, 0.0)], "pos int, mean double, std double")
+    again = tab.write_plain_norm(norm, f"{folder}/norm")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, norm.collect()))
+    assert len([f for f in os.listdir(f"{folder}/norm") if f.startswith("part-")]) == 1

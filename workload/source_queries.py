@@ -61,6 +61,24 @@ def read_calib(spark, sf_dir):
     return ev.read_calib(spark, day_tree(spark, sf_dir)).select(*DAY_COLUMNS, *digest())
 
 
+@query(
+    q.sql(
+        q.DAYS,
+        select="""select name, 69 as n_cells, count(*) + count(*) filter (where id % 9 = 0) as n_lines,
+ count(*) filter (where id % 9 = 0) as n_short, count(*) filter (where id % 18 = 0) as n_empty from days group by name""",
+    )
+)
+def malformed_lines(spark, sf_dir):
+    """Every ninth line comes again, cut in the features or after the first key; blank lines between."""
+    lines = ev.calib_text(spark, day_tree(spark, sf_dir))
+    number = F.split("value", ",")[2].cast("long")
+    parts = [F.substring_index("value", ",", n) for n in (1, 20)]
+    cut = F.when(number % 2 == 0, parts[0]).otherwise(parts[1])
+    torn = lines.filter(number % 9 == 0).withColumn("value", cut)
+    blank = lines.limit(5).withColumn("value", F.lit("  "))
+    return ev.malformed_lines(lines.unionByName(torn).unionByName(blank))
+
+
 @query(
     q.sql(
         q.DAYS,
