@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import WORD_TABLE, ship, utf8
@@ -26,6 +26,8 @@ ROWS = 6
 SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 UNIT = 2.0**-53
+#: Rows of links or labels that are worth a task.
+TASK_ROWS = 200_000
 
 
 def mixed(x):
@@ -154,8 +156,29 @@ def band_keys(names, bands: int, rows: int):
     return key.view(np.int64)
 
 
+def sketch(names):
+    """Four bits of each coordinate, sixteen coordinates to a signed 64-bit number."""
+    import numpy as np
+
+    # The lowest bits choose the coordinate and say nothing more.
+    bits = ((names >> np.uint64(40)) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
+
+
+def may_be(a: str, b: str, size: int, least: float) -> Column:
+    """Whether two sketches allow a similarity of ``least``: within four standard errors of it."""
+    differing = F.lit(0)
+    for k in range(size // 16):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        differing = differing + F.bit_count(x)
+    equal = least + (1 - least) / 16
+    return differing <= F.lit(int(size * (1 - equal) + 4 * math.sqrt(size * equal * (1 - equal))))
+
+
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id``, ``key`` (digest of the text), ``n`` (weight) and ``bands`` of each row."""
+    """``doc_id``, ``key`` (digest of the text), ``n`` (weight), ``bands`` and ``sketch`` of each row."""
     import numpy as np
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -163,7 +186,7 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches):
         tables = list(powers(SLICE_BYTES))
         for batch in batches:
-            counts, keys = [], []
+            counts, keys, sketches = [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(word_hashes(text, tables))
                 counts.append(len(found))
@@ -171,16 +194,19 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     elements, weights = np.unique(found, return_counts=True)
                     names = signature(elements, weights.astype(float), bands * rows)
                     keys.append(band_keys(names, bands, rows).tolist())
+                    sketches.append(sketch(names).tolist())
                 else:
                     keys.append([])
+                    sketches.append([])
+            lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "key", "n", "bands"],
+                 pa.array(keys, lists), pa.array(sketches, lists)],
+                ["doc_id", "key", "n", "bands", "sketch"],
             )
 
     keyed = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    return keyed.mapInArrow(run, f"doc_id {kind}, key string, n long, bands array<long>")
+    return keyed.mapInArrow(run, f"doc_id {kind}, key string, n long, bands array<long>, sketch array<long>")
 
 
 def similarity(a, b) -> float:
@@ -216,40 +242,32 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return whole.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more tasks than its number of rows calls for."""
+    return df.coalesce(max(1, math.ceil(rows / TASK_ROWS)))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``comp``: the smallest node that links lead to, for all nodes with links.
 
-    Each round takes the smallest label of the neighbours and then the label of that
-    label; rounds grow with the logarithm of the longest chain. Labels are stored
-    between rounds.
+    Each round takes the smallest label of a node and its neighbours and then the
+    label of that label; rounds grow with the logarithm of the longest chain. Labels
+    are stored between rounds.
     """
-    both = written(
-        links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("l"))
-        .select("l.a", "l.b")
-        .distinct(),
-        "links",
-    )
-    labels = written(
-        both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")),
-        "labels",
-    )
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.select(F.explode(ends).alias("l")).select("l.a", "l.b"), "links")
+    rows = both.count()
+    start = both.groupBy("a").agg(F.min("b").alias("m"))
+    labels = written(small(start.select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), rows), "labels")
     while True:
-        around = (
-            both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
-            .groupBy("a")
-            .agg(F.min("comp").alias("near"))
-            .withColumnRenamed("a", "node")
-        )
-        nearer = labels.join(around, "node").select(
-            "node", "comp", F.least("comp", "near").alias("at")
+        told = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").select(
+            F.col("a").alias("node"), "comp", F.lit(None).cast("long").alias("old")
         )
+        own = labels.select("node", "comp", F.col("comp").alias("old"))
+        nearer = told.unionByName(own).groupBy("node").agg(F.min("comp").alias("at"), F.max("old").alias("old"))
         jump = labels.select(F.col("node").alias("at"), F.col("comp").alias("beyond"))
-        new = written(
-            nearer.join(jump, "at", "left").select(
-                "node", F.col("comp").alias("old"), F.least("at", "beyond").alias("comp")
-            ),
-            "labels",
-        )
+        new = nearer.join(jump, "at", "left").select("node", "old", F.least("at", "beyond").alias("comp"))
+        new = written(small(new, rows), "labels")
         labels = new.select("node", "comp")
         if new.filter("comp < old").isEmpty():
             return labels
@@ -257,36 +275,41 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """``doc_id``, ``key``, ``comp`` of each row, and the verified links between texts.
+) -> DataFrame:
+    """``doc_id``, ``key``, ``comp`` of each row.
 
     Documents whose five-word runs have a weighted Jaccard similarity of ``least`` are
     linked, and links join them into classes; ``comp`` numbers the class and is null
     for texts without words (null and empty ones too), which are no copies of
     anything. Rows that repeat are in one class. Other columns are left out.
 
-    Equal texts are one node. In each band's bucket all nodes are compared with its
-    smallest. Where that leaves a bucket in several classes, all pairs between
-    different classes are compared too; pairs within a class need not be. Lengths
-    that rule the similarity out are not compared. So no class that candidates can
-    give is missed, and a bucket of near copies costs as many pairs as it has members.
+    Equal texts are one node. In each band's bucket all nodes are compared with one
+    of them, chosen by a hash so that a node meets others in each band. Where that
+    leaves a bucket in several classes, the pairs between classes are compared as
+    well, unless their signatures agree so rarely that a similarity of ``least`` is
+    four standard errors away; pairs within a class need not be. Lengths that rule
+    the similarity out are not compared. So a bucket of near copies costs as many
+    pairs as it has members, and those that are linked to none of them cost more.
     """
+    if bands * rows % 16:
+        raise ValueError("bands times rows must be a multiple of 16")
     rowwise = written(signed(docs, bands, rows), "signatures")
     nodes = written(
         rowwise.filter("n > 0")
         .groupBy("key")
-        .agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .agg(*[F.first(c).alias(c) for c in ("n", "bands", "sketch")])
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     members = nodes.select(F.explode("bands").alias("bucket"), "node", "n")
-    shared = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("k"))
-    shared = written(shared.filter("k > 1").select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("m")), "buckets")
+    order = F.struct(F.xxhash64("bucket", "node"), "node", "n")
+    shared = members.groupBy("bucket").agg(F.min(order).alias("p"), F.count("*").alias("k"))
+    shared = shared.filter("k > 1").select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
     inside = written(members.join(shared, "bucket"), "members")
     close = F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
     first = written(
-        inside.filter((F.col("pivot") < F.col("node")) & close)
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        inside.filter((F.col("pivot") != F.col("node")) & close)
+        .select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
         .distinct(),
         "pairs",
     )
@@ -298,32 +321,45 @@ def near_duplicates(
         .agg(F.first("text").alias("text")),
         "texts",
     )
-    links = written(verified(first, texts, least), "links")
-    classes = components(links)
+    classes = components(verified(first, texts, least))
     placed = inside.join(classes, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     several = (
         placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
     )
-    open_members = written(
-        placed.join(several.select("bucket"), "bucket").select("bucket", "node", "n", "comp"), "open"
+    left = written(
+        placed.join(several.select("bucket"), "bucket")
+        .join(nodes.select("node", "sketch"), "node")
+        .select("bucket", "node", "n", "comp", "sketch"),
+        "open",
     )
-    other = open_members.select(
-        "bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b")
+    right = left.select(
+        "bucket",
+        F.col("node").alias("b"),
+        F.col("n").alias("m"),
+        F.col("comp").alias("comp_b"),
+        F.col("sketch").alias("sketch_b"),
     )
+    likely = may_be("sketch", "sketch_b", bands * rows, least)
     second = (
-        open_members.withColumnRenamed("node", "a")
-        .join(other, "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & close)
+        left.withColumnRenamed("node", "a")
+        .join(right, "bucket")
+        .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & close & likely)
         .select("a", "b")
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
     more = written(verified(second, texts, least), "links")
-    links = links.unionByName(more)
-    classes = components(links)
-    numbered = nodes.select("key", "node").join(classes, "node", "left")
-    of_key = numbered.select("key", F.coalesce("comp", "node").alias("comp"))
-    return rowwise.select("doc_id", "key").join(of_key, "key", "left"), links
+    names = nodes.select("key", "node").join(classes, "node", "left")
+    names = names.select("key", F.coalesce("comp", "node").alias("comp"))
+    if not more.isEmpty():
+        # Links between classes: the classes are the nodes of a smaller graph.
+        of_node = left.select("node", "comp").distinct()
+        ends = more.join(of_node.toDF("a", "x"), "a").join(of_node.toDF("b", "y"), "b")
+        joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        names = names.join(joined.toDF("comp", "whole"), "comp", "left").select(
+            "key", F.coalesce("whole", "comp").alias("comp")
+        )
+    return rowwise.select("doc_id", "key").join(names, "key", "left")
 
 
 def classes(docs: DataFrame, **limits) -> DataFrame:
@@ -332,7 +368,7 @@ def classes(docs: DataFrame, **limits) -> DataFrame:
     A row without near copies is a class of its own; null ids are no class's name as
     long as another id is there.
     """
-    found, _ = near_duplicates(docs, **limits)
+    found = near_duplicates(docs, **limits)
     stored = written(found, "classes")
     named = stored.filter("comp is not null").groupBy("comp").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")
@@ -350,7 +386,7 @@ def deduplicated(docs: DataFrame, **limits) -> DataFrame:
     Of rows with one id the one with the smallest text digest stays, of equal rows one.
     Texts without words all stay.
     """
-    found, _ = near_duplicates(docs, **limits)
+    found = near_duplicates(docs, **limits)
     stored = written(found, "classes")
     kept = (
         stored.filter("comp is not null")

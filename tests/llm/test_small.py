@@ -393,3 +393,19 @@ def test_links_across_long_chains(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (103, 100)]
     got = {r.node: r.comp for r in minhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 104)}}
+
+
+def test_sketches_keep_similar_pairs(spark):
+    r = np.random.default_rng(2)
+    rows, want = [], []
+    for k in range(60):
+        a = np.unique(r.integers(0, 1 << 62, 200)).astype(np.uint64)
+        b = a.copy()
+        cut = [10, 22, 120][k % 3]  # similarities of 0.90, 0.80 and 0.25
+        b[:cut] += np.uint64(1)
+        names = [minhash.signature(x, np.ones(len(x)), 192) for x in (a, b)]
+        rows.append((k, *(minhash.sketch(n).tolist() for n in names)))
+        want.append(k % 3 < 2)
+    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
+    got = [x.m for x in df.orderBy("k").select(minhash.may_be("a", "b", 192, 0.8).alias("m")).collect()]
+    assert got == want
