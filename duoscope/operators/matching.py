@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duoscope.operators.ordering import BLOCK_ROWS, block_of, fit_one_block, with_occurrence
+from duoscope.operators.ordering import BLOCK_ROWS, block_of, with_occurrence
 from duoscope.sources.shared import shared_folder, written
 
 # Key columns of observed and simulated events.
@@ -49,11 +49,11 @@ def without_nan_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return kept
 
 
-def _occurrence_map(calib, stereo, keys, block_rows, one_block) -> DataFrame:
+def _occurrence_map(calib, stereo, keys, block_rows) -> DataFrame:
     """run, tel, sseq and the seq of the same occurrence of the same keys (or null)."""
 
     def numbered(rows, seq):
-        return with_occurrence(rows, GROUP, keys, seq, block_rows, one_block=one_block)
+        return with_occurrence(rows, GROUP, keys, seq, block_rows)
 
     left, right = numbered(stereo, "sseq"), numbered(without_nan_keys(calib, keys), "seq")
     return left.join(right, [*GROUP, *keys, "occ"], "left").select(*GROUP, "sseq", "seq")
@@ -143,43 +143,57 @@ def walker(keys: Sequence[str]):
     return walk
 
 
-def _walk_runs(calib, stereo, runs, keys, block_rows, one_block) -> DataFrame:
+def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
     """Matched pairs of ``runs``; one block of calibrated rows of every run per step.
 
     A block matches at most as many stereo rows as it has calibrated rows, so
-    each step reads a bounded slice of both sides. What carries over to the next
-    step is the number of the first open stereo row of each run.
+    each step reads a bounded slice of both sides, which are stored by block. What
+    carries over to the next step is the number of the first open stereo row of each
+    run; runs that end before a block take no part in it.
     """
     spark = calib.sparkSession
     path = shared_folder(spark, "walk")
     schema = "run string, tel string, sseq long, seq long"
-    calib = calib.join(runs, list(GROUP), "left_semi").withColumn("block", block_of("seq", block_rows))
-    stereo = stereo.join(runs, list(GROUP), "left_semi")
-    blocks = [0]
-    if not one_block:
-        calib, stereo = written(calib, "walk-calib"), written(stereo, "walk-stereo")
-        listing = calib.select("block").distinct().orderBy("block")
-        blocks = [row[0] for row in listing.toLocalIterator()]
+
+    def by_block(rows: DataFrame, position: str, label: str) -> DataFrame:
+        rows = rows.join(runs, list(GROUP), "left_semi").withColumn("block", block_of(position, block_rows))
+        place = shared_folder(spark, label)
+        rows.write.partitionBy("block").parquet(place)
+        return spark.read.schema(rows.schema).parquet(place)
+
+    calib, stereo = by_block(calib, "seq", "walk-calib"), by_block(stereo, "sseq", "walk-stereo")
+    listing = calib.select("block").distinct().orderBy("block")
+    blocks = [row[0] for row in listing.toLocalIterator()]
     open_rows = runs.select(*GROUP, F.lit(0).cast("long").alias("_open"))
     # A few bytes of keys keep a task busy: no merging of small partitions here.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for step, block in enumerate(blocks):
-        ahead = stereo.join(open_rows, list(GROUP)).filter(
-            (F.col("sseq") >= F.col("_open")) & (F.col("sseq") < F.col("_open") + block_rows)
+        here = calib.filter(F.col("block") == block)
+        # No more stereo rows can be matched than there are calibrated rows so far.
+        ahead = (
+            stereo.filter(F.col("block") <= block)
+            .join(open_rows, list(GROUP))
+            .filter((F.col("sseq") >= F.col("_open")) & (F.col("sseq") < F.col("_open") + block_rows))
+            .join(here.select(*GROUP).distinct(), list(GROUP), "left_semi")
+            .drop("block")
         )
         pairs = (
-            calib.filter(F.col("block") == block)
+            here.drop("block")
             .repartition(tasks, *GROUP)
             .groupBy(*GROUP)
             .cogroup(ahead.drop("_open").repartition(tasks, *GROUP).groupBy(*GROUP))
             .applyInArrow(walker(keys), schema)
         )
         pairs.write.parquet(f"{path}/step={step}")
-        done = spark.read.schema(schema).parquet(f"{path}/step=*")
-        open_rows = (
-            runs.join(done, list(GROUP), "left")
-            .groupBy(*GROUP)
-            .agg((F.coalesce(F.max("sseq"), F.lit(-1)) + 1).alias("_open"))
+        if step + 1 == len(blocks):
+            break
+        done = spark.read.schema(schema).parquet(f"{path}/step={step}")
+        reached = done.groupBy(*GROUP).agg((F.max("sseq") + 1).alias("_next"))
+        open_rows = written(
+            open_rows.join(reached, list(GROUP), "left").select(
+                *GROUP, F.coalesce("_next", "_open").alias("_open")
+            ),
+            "walk-open",
         )
     return spark.read.schema(schema).parquet(f"{path}/step=*")
 
@@ -204,8 +218,7 @@ def match_events(
     stereo = stereo.select(*GROUP, "sseq", *keys)
     if not stored:
         calib, stereo = written(calib, "calib-keys"), written(stereo, "stereo-keys")
-    one_block = fit_one_block({"seq": calib, "sseq": stereo}, block_rows)
-    mapping = written(_occurrence_map(calib, stereo, keys, block_rows, one_block), "match")
+    mapping = written(_occurrence_map(calib, stereo, keys, block_rows), "match")
 
     n_calib = calib.groupBy(*GROUP).agg(F.count("*").alias("n_calib"))
     last_only = (F.col("n_missing") == 1) & (F.col("last_missing") == F.col("n_ref") - 1)
@@ -230,7 +243,7 @@ def match_events(
     )
     to_walk = shape.filter("status = 'walk'").select(*GROUP)
     if not to_walk.isEmpty():
-        walked = _walk_runs(calib, stereo, to_walk, keys, block_rows, one_block)
+        walked = _walk_runs(calib, stereo, to_walk, keys, block_rows)
         found = walked.groupBy(*GROUP).agg(
             F.count("*").alias("_found"), F.max("seq").alias("_last_seq")
         )

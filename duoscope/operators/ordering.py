@@ -9,7 +9,6 @@ runs over the whole group.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,19 +83,15 @@ def with_occurrence(
     seq: str,
     block_rows: int = BLOCK_ROWS,
     out: str = "occ",
-    one_block: bool = False,
 ) -> DataFrame:
     """Adds the 1-based count of earlier rows of the group with the same keys.
 
     Only groups longer than one block need offsets between blocks, so the counts
-    per key and block are taken from those groups alone. ``one_block`` says that
-    the caller has checked that there are none.
+    per key and block are taken from those groups alone.
     """
     tagged = df.withColumn("_block", block_of(seq, block_rows))
     local = Window.partitionBy(*group, *keys, "_block").orderBy(seq)
     placed = tagged.withColumn("_local", F.row_number().over(local))
-    if one_block:
-        return placed.select(*df.columns, F.col("_local").cast("long").alias(out))
     long_groups = (
         tagged.groupBy(*group).agg(F.max("_block").alias("_last")).filter("_last > 0").select(*group)
     )
@@ -121,13 +116,6 @@ def with_occurrence(
     )
 
 
-def fit_one_block(tables: dict[str, DataFrame], block_rows: int = BLOCK_ROWS) -> bool:
-    """Whether no group of any table is longer than one block; keys are the position columns."""
-    tops = [table.agg(F.max(seq).alias("top")) for seq, table in tables.items()]
-    last = reduce(DataFrame.unionByName, tops).agg(F.max("top")).first()[0]
-    return last is None or last < block_rows
-
-
 def running_max(
     df: DataFrame,
     group: Sequence[str],

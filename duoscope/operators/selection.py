@@ -28,17 +28,10 @@ from duoscope.sources.shared import listed, written
 
 def keep_valid_subruns(events: DataFrame, valid: DataFrame) -> DataFrame:
     """Rows of the run/subrun pairs that exist after cleaning."""
-    pairs = listed(valid.select("run", "subrun").distinct(), "valid")
+    pairs = valid.select("run", "subrun").distinct()
     return events.join(pairs, ["run", "subrun"], "left_semi")
 
 
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """``df`` itself, or an error when nothing is left."""
-    if df.isEmpty():
-        raise ValueError(f"no {what} left")
-    return df
-
-
 def complete_runs(files: DataFrame, valid: DataFrame) -> DataFrame:
     """Per run and telescope: files present, valid subruns, and whether none is missing.
 
@@ -109,6 +102,7 @@ def cleaning_diff(kept_a: DataFrame, kept_b: DataFrame) -> DataFrame:
 
 
 def events_in_diff(events: DataFrame, diff: DataFrame) -> DataFrame:
+    """The events, features included, that exactly one of two cleaning levels keeps."""
     return events.join(diff, [*GROUP, "seq"], "left_semi")
 
 
@@ -205,6 +199,8 @@ def select_events(
     if valid is not None:
         narrow = keep_valid_subruns(narrow, valid)
         completeness = listed(complete_runs(narrow.select(*GROUP, "subrun"), valid), "complete")
+        if completeness.filter("n_files > 0").isEmpty():
+            raise ValueError("no events left in valid subruns")
         usable = completeness.filter("complete").select(*GROUP)
         wanted = stereo.join(usable, list(GROUP), "left_semi")
         narrow = narrow.join(usable, list(GROUP), "left_semi")

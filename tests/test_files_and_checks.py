@@ -100,8 +100,10 @@ def test_subruns_and_completeness(spark):
     assert sel.keep_valid_subruns(files, valid).count() == 3
     found = {(r["run"], r["tel"]): r["complete"] for r in sel.complete_runs(files, valid).collect()}
     assert found == {("a", "M1"): True, ("a", "M2"): False, ("c", "M1"): False, ("c", "M2"): False}
-    with pytest.raises(ValueError, match="no files left"):
-        sel.require_rows(sel.keep_valid_subruns(files.filter("run = 'b'"), valid), "files")
+    with pytest.raises(ValueError, match="no events left"):
+        keys = [F.lit(1.0).alias(k) for k in ("nanotime", "time2")] + [F.lit(1).cast("long").alias("id")]
+        events = files.filter("run = 'b'").select("run", "tel", "subrun", F.lit(0).cast("long").alias("seq"), *keys)
+        sel.select_events(events, events.withColumnRenamed("seq", "sseq"), valid)
 
 
 def test_small_selections(spark):

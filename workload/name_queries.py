@@ -208,3 +208,16 @@ def is_mc(spark, sf_dir):
 def batch_key(spark, sf_dir):
     shapes = [s for s in ALL if s != SELECTED]
     return listed(spark, sf_dir, shapes).select("name", names.batch_key(F.col("name")).alias("batch"))
+
+
+@query(
+    q.sql(
+        *FILE_PARTS,
+        select="""select replace(name, '_Y_Src.csv', '_Y_Src-W0.40+215.csv') as name, run, subrun, tel, 'Y' as step, false as is_mc
+ from files""",
+    )
+)
+def name_parts(spark, sf_dir):
+    """All columns that a calibrated file's name carries."""
+    files = t.file_names(spark, sf_dir).select(fill(CALIBRATED).alias("name"))
+    return names.with_name_parts(files)

@@ -14,6 +14,7 @@ from workload import name_queries as n
 from workload import sql as q
 from workload import tables as t
 from workload.registry import query
+from workload.source_queries import digest
 
 MATCH = (q.BASE, q.CALIB, q.stereo(), q.walk())
 SELECT = (
@@ -152,6 +153,30 @@ def cleaning_diff(spark, sf_dir):
     return sel.cleaning_diff(loose.kept, strict.kept)
 
 
+@query(
+    q.sql(
+        *MATCH,
+        q.stereo(8, "strict"),
+        q.walk("calib", "strict_keys", "swalk"),
+        q.FEATURES,
+        q.CALIB_DIGEST,
+        """differ as (select coalesce(a.run, b.run) as run, coalesce(a.tel, b.tel) as tel, coalesce(a.seq, b.seq) as seq
+ from (select distinct run, tel, seq from walk_kept) a
+ full join (select distinct run, tel, seq from swalk_kept) b
+  on a.run = b.run and a.tel = b.tel and a.seq = b.seq
+ where a.seq is null or b.seq is null)""",
+        select="""select d.run, d.tel, d.seq, d.event_id, d.pix_sum, d.pix_moment from calib_digest d
+ join differ f on f.run = d.run and f.tel = d.tel and f.seq = d.seq""",
+        recursive=True,
+    )
+)
+def events_in_diff(spark, sf_dir):
+    """The events themselves on which two cleaning levels differ."""
+    diff = sel.cleaning_diff(matched(spark, sf_dir).kept, matched(spark, sf_dir, 8.0).kept)
+    rows = sel.events_in_diff(t.calib_events(spark, sf_dir), diff)
+    return rows.select("run", "tel", "seq", "event_id", *digest()).drop("n_features")
+
+
 @query(
     select_sql(
         select="""select p.run, p.seq, p.value from (select distinct run, seq0 as seq, value from base) p

@@ -215,7 +215,10 @@ def key_columns(spark, sf_dir):
 )
 def write_events(spark, sf_dir):
     rows = t.calib_events(spark, sf_dir).withColumn("pix", F.col("pix").cast("array<double>"))
-    stored = ev.write_events(rows, shared_folder(spark, "events"), by=("tel",))
+    path = shared_folder(spark, "events")
+    for tel in ("M1", "M2"):  # the second write leaves the runs of the first alone
+        ev.write_events(t.telescope(rows, tel), path, by=("run", "tel"))
+    stored = ev.read_events(spark, path, rows)
     return stored.select("run", "tel", "seq", "event_id", *digest())
 
 
@@ -234,6 +237,22 @@ def norm_round_trip(spark, sf_dir):
     return stored.select("pos", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
+@query(
+    q.sql(
+        q.side(True),
+        q.FEATURES,
+        q.longform(),
+        q.stats("ev", "longform", True, "norm"),
+        select=f"select cast(pos as int) as pos, {q.r6('mean')} as mean, {q.r6('std')} as std from norm",
+    )
+)
+def plain_norm_round_trip(spark, sf_dir):
+    """The layout for exchange: one file of two columns."""
+    norm = statistics.feature_stats(t.stereo_rows(spark, sf_dir, True), mc=True)
+    stored = tab.write_plain_norm(norm, shared_folder(spark, "plain-norm"))
+    return stored.select("pos", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
 def prediction_files(spark, sf_dir, mc: bool) -> str:
     """Space-separated predictions, one file per run."""
     if mc:
