@@ -170,6 +170,17 @@ def with_seq(
     )
 
 
+def store_calib(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Event files to an event table by run, written once, and its rows with ``seq``.
+
+    The table keeps each row's place in its file; positions come from a narrow join
+    with one row per split, so no second copy of the features is made.
+    """
+    rows = read_calib(spark, path)
+    rows.write.mode("overwrite").partitionBy("run").parquet(table)
+    return with_seq(spark.read.schema(rows.schema).parquet(table), stored=True)
+
+
 def read_stereo_keys(spark: SparkSession, path: str, mc: bool = False) -> DataFrame:
     """Scans headered key files; one row per stereo event and telescope.
 
@@ -284,9 +295,23 @@ def write_filtered(kept_events: DataFrame, path: str) -> DataFrame:
     return write_events(kept_events, path, ("run", "tel"), gather=True)
 
 
-def write_event_buckets(events: DataFrame, table: str, buckets: int, by: Sequence[str] = ("run", "tel", "seq")) -> DataFrame:
-    """Writes a bucketed table: joins on ``by`` then leave the features where they are."""
-    narrowed(events).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
+def write_event_buckets(
+    events: DataFrame,
+    table: str,
+    buckets: int,
+    by: Sequence[str] = ("run", "tel", "seq"),
+    path: str | None = None,
+) -> DataFrame:
+    """Writes a bucketed table: joins on ``by`` then leave the features where they are.
+
+    Rows are dealt to their buckets first, so that there is one file per bucket and
+    not one per task and bucket. ``path`` is where the table lies, the warehouse
+    without one.
+    """
+    writer = narrowed(events).repartition(buckets, *by).write.mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
     return events.sparkSession.table(table)
 
 

@@ -87,7 +87,7 @@ def malformed_lines(spark, sf_dir):
     )
 )
 def with_seq(spark, sf_dir):
-    rows = ev.with_seq(ev.read_calib(spark, day_tree(spark, sf_dir)))
+    rows = ev.store_calib(spark, day_tree(spark, sf_dir), shared_folder(spark, "calib"))
     return rows.select("name", "tel", "id", "seq")
 
 
