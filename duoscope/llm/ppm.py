@@ -313,20 +313,23 @@ def score(
             for rows, parts in groups(texts, model.order):
                 codes, starts = grams(parts, model.order)
                 np.add.at(scores, rows, np.add.reduceat(model.log10(codes), starts))
-            sums, tokens, hits, rare = [], [], [], []
+            sums, tokens, hits, rare, ends_at = [], [], [], [], [0]
             for text in texts:
                 tf = Counter(text.split())
                 found = [(hot[w], k) for w, k in tf.items() if w in hot]
-                pairs = np.array([*found, (ends, 1)], float)
-                sums.append(float(pairs[:, 1] @ np.log10((pairs[:, 0] + BASE) / below)))
+                seen = np.array([*found, (ends, 1)], float)
+                sums.append(float(seen[:, 1] @ np.log10((seen[:, 0] + BASE) / below)))
                 tokens.append(sum(tf.values()) + 1)
                 hits.append(sum(k for _, k in found) + (ends > 0))
-                rare.append([{"word": w, "tf": k} for w, k in tf.items() if w not in hot])
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
+                rare += [(w, k) for w, k in tf.items() if w not in hot]
+                ends_at.append(len(rare))
+            cells = [pa.array([w for w, _ in rare], pa.binary()), pa.array([k for _, k in rare], pa.int64())]
+            pairs = pa.StructArray.from_arrays(cells, ["word", "tf"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column(training), pa.array(tokens, pa.int64()),
                  pa.array(hits, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores),
-                 pa.array([len(t) for t in texts], pa.int64()), pa.array(rare, kind)],
+                 pa.array([len(t) for t in texts], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), pairs)],
                 ["doc_id", training, "n_tokens", "hits", "sums", "score", "n_bytes", "rare"],
             )
 
