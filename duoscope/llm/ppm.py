@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from duoscope.llm.common import ship, utf8
 from duoscope.sources.shared import written
 
-ORDER = 4
+ORDER = 5
 #: The model goes to every task: it has at most this many (context, byte) entries. A
 #: shorter order is taken where a longer one has more; order 1 has 65,536 at most.
 MAX_ENTRIES = 1 << 22
 #: Before and after each text; never a byte of UTF-8.
 END = 255
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Words that go to every task with their counts, and their longest size.
 HOT_WORDS = 200_000
 HOT_BYTES = 64
@@ -133,6 +133,7 @@ class Model:
         top = self.levels[0]
         owner = np.searchsorted(top[2], top[0] >> 8)
         self.value = np.log10(top[1] / (top[3] + top[4])[owner]) if len(top[0]) else np.zeros(0)
+        top[1] = None  # all that is asked of the longest contexts
         self.bits = max(4, int(4 * len(top[0])).bit_length())
         self.slots = np.full(1 << self.bits, -1, np.int32)
         left = np.arange(len(top[0]), dtype=np.int32)
