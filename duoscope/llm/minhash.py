@@ -28,6 +28,8 @@ BASE = 0x9E3779B97F4A7C15
 UNIT = 2.0**-53
 #: Rows of links or labels that are worth a task.
 TASK_ROWS = 200_000
+#: Shingles that a comparing task keeps, besides those of the two texts at hand.
+HELD_SHINGLES = 2_000_000
 
 
 def mixed(x):
@@ -209,31 +211,54 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return keyed.mapInArrow(run, f"doc_id {kind}, key string, n long, bands array<long>, sketch array<long>")
 
 
+def multiset(text: str | None, tables: list):
+    """Different hashes of the text's shingles, how often each comes, and how many there are."""
+    import numpy as np
+
+    found = shingles(word_hashes(text, tables))
+    unique, counts = np.unique(found, return_counts=True)
+    return unique, counts, len(found)
+
+
 def similarity(a, b) -> float:
-    """Weighted Jaccard of two multisets of hashes."""
+    """Weighted Jaccard of two multisets."""
     import numpy as np
 
-    left, n_left = np.unique(a, return_counts=True)
-    right, n_right = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(n_left[i], n_right[j]).sum())
-    return shared / (len(a) + len(b) - shared)
+    place = np.searchsorted(a[0], b[0])
+    place[place == len(a[0])] = 0
+    same = a[0][place] == b[0]
+    shared = int(np.minimum(a[1][place[same]], b[1][same]).sum())
+    return shared / (a[2] + b[2] - shared)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs ``a``, ``b`` whose texts are as similar as ``least``; ``texts``: ``node``, ``text``."""
+    """The pairs ``a``, ``b`` whose texts are as similar as ``least``; ``texts``: ``node``, ``text``.
+
+    A task keeps the shingles of the texts it has met, up to ``HELD_SHINGLES``: pairs
+    of one group meet the same ones again and again.
+    """
 
     def run(batches):
         tables = list(powers(SLICE_BYTES))
-        last, hashes = None, None
+        held: dict[int, tuple] = {}
+        size = 0
+
+        def of(node: int, text):
+            nonlocal size
+            if node not in held:
+                if size >= HELD_SHINGLES:
+                    held.clear()
+                    size = 0
+                held[node] = multiset(text.as_py(), tables)
+                size += len(held[node][0])
+            return held[node]
+
         for batch in batches:
-            keep = []
-            columns = [batch.column(c) for c in ("a", "left", "right")]
-            for k in range(batch.num_rows):
-                node, left, right = (c[k].as_py() for c in columns)
-                if node != last:
-                    last, hashes = node, shingles(word_hashes(left, tables))
-                keep.append(similarity(hashes, shingles(word_hashes(right, tables))) >= least)
+            a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
+            left, right = batch.column("left"), batch.column("right")
+            keep = [
+                similarity(of(x, left[k]), of(y, right[k])) >= least for k, (x, y) in enumerate(zip(a, b))
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     whole = pairs.join(
