@@ -237,6 +237,23 @@ def test_shorter_order_beyond_the_bound(spark):
     assert np.allclose(np.add.reduceat(model.log10(codes), starts), [plain.ppm(texts, 1)(t) for t in texts])
 
 
+def test_order_holds_beyond_four_million_entries(spark):
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    r = np.random.default_rng(3)
+    texts = [letters[r.integers(0, 36, 100_000)].tobytes() for _ in range(46)]
+    rows = [(k, t.decode(), k % 23 != 0) for k, t in enumerate(texts)]
+    marked = spark.createDataFrame(rows, "doc_id long, text string, training boolean").repartition(4)
+    got = {x.doc_id: x.score for x in ppm.score(marked, "training").collect()}
+    taught = [t for k, t in enumerate(texts) if k % 23]
+    held = [ppm.grams(parts, 5)[0] for _, parts in ppm.groups(taught, 5)]
+    codes, counts = np.unique(np.concatenate(held), return_counts=True)
+    assert len(codes) > 1 << 22
+    model = ppm.Model(codes, counts, 5)
+    for k in (0, 1, 23, 45):
+        want = sum(model.log10(ppm.grams(parts, 5)[0]).sum() for _, parts in ppm.groups([texts[k]], 5))
+        assert np.isclose(got[k], want)
+
+
 def test_simhash(docs, empty):
     got = simhash.fingerprints(docs).collect()
     assert len(got) == len(ROWS) and simhash.fingerprints(empty).count() == 0
