@@ -306,6 +306,25 @@ def test_repeats_in_random_text(spark):
     assert got == sorted(plain.repeats(rows, 24).values(), key=repr)
 
 
+def test_phrase_with_other_neighbours_leaves_its_bucket(spark, monkeypatch):
+    r = random.Random(8)
+    noise = lambda: "".join(r.choices("abcdefghijklmnop", k=60))
+    phrase = "THIS COMES WITH A NOTICE THAT ALL SHARE"
+    tail = noise()
+    rows = [(k, noise() + phrase + (tail if k % 20 == 0 else noise())) for k in range(300)]
+    judge = repeats.removals
+
+    def bounded(table, *rest):
+        assert sum(len(t.as_py()) for t in table.column("texts")) <= 6000
+        return judge(table, *rest)
+
+    monkeypatch.setattr(repeats, "removals", bounded)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = repeats.without_repeats(df, shard_bytes=2000, hash_bytes=4000, bucket_bytes=2000, block_bytes=1000)
+    got = by_row(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(plain.repeats(rows, 50).values(), key=repr)
+
+
 TEACH = {
     "en": "the quick brown fox jumps over the lazy dog and then with that other thing",
     "fr": "le vif renard brun saute par dessus le chien paresseux et puis avec cette autre chose",
