@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duoscope.llm import automaton, bpe, language, licences, minhash, pii, ppm, repeats, simhash, urls
-from duoscope.llm.common import crc_mod, documents
+from duoscope.llm import (
+    automaton,
+    bpe,
+    counts,
+    language,
+    licences,
+    minhash,
+    pii,
+    ppm,
+    repeats,
+    runs,
+    simhash,
+    urls,
+    variants,
+)
+from duoscope.llm.common import crc_mod, documents, id_text
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+VOCABULARY = "word_bpe_49k.json"
+#: Texts with more tokens are over the limit.
+TOKEN_LIMIT = 2048
 
 
 def op1_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +120,44 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(documents(spark, sf_dir))
 
 
+def op11_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document by the crc32 of its id ends in repeats of a stretch of its own."""
+    h = F.crc32(id_text().cast("binary"))
+    g = F.floor(h / 10)
+
+    def first(n: Column) -> Column:
+        return F.when(n > 0, g % n).otherwise(0)
+
+    def period(n: Column) -> Column:
+        return 1 + F.floor((n - first(n)) / (3 + g % 8))
+
+    edited = F.when(h % 10 == 0, runs.with_repeated_words(F.col("text"), first, period)).otherwise(F.col("text"))
+    found = runs.periodic_runs(documents(spark, sf_dir).select("doc_id", edited.alias("text")))
+    best = found.withColumn("best", runs.best_run())
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.runs_text().cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_prefix_suffix_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(documents(spark, sf_dir), misspelt=variants.MISSPELT)
+    return variants.spelling_groups(words)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = counts.read_vocabulary(public_tokenizers.path(VOCABULARY))
+    return counts.count_tokens(documents(spark, sf_dir), vocabulary).withColumn(
+        "over_limit", F.col("n_tokens") > TOKEN_LIMIT
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +171,9 @@ QUERIES = {
         op8_language_mixture,
         op9_association_rules,
         op10_dart_minhash,
+        op11_synchronised_runs,
+        op12_prefix_suffix_variants,
+        op13_token_counts,
     )
 }
 ORACLES: dict[str, str] = {op1_licence_digests.__name__: licences.scan_sql()}
