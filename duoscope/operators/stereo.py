@@ -14,14 +14,17 @@ from duoscope.operators.ordering import block_of, number_rows
 from duoscope.sources.shared import listed, written
 
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
+REPEATED = "n_1 > 1 or n_2 > 1"
+QUARANTINES = ("run", "keys")
 
 
 @dataclass(frozen=True)
 class Stereo:
-    """Stereo rows of the accepted runs, and the status of every run."""
+    """Stereo rows of the accepted runs, the status of every run, and for key joins the repeated keys."""
 
     rows: DataFrame
     status: DataFrame
+    repeated: DataFrame | None = None
 
 
 def positions(events: DataFrame, order: str = "seq") -> DataFrame:
@@ -33,30 +36,61 @@ def positions(events: DataFrame, order: str = "seq") -> DataFrame:
     return written(number_rows(keys, ["run", "tel"], [block_of("seq")], ["seq"], "sseq"), "positions")
 
 
-def key_growth(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per run of both telescopes and of their join on ``keys``, without joining rows.
-
-    A key that occurs a times in M1 and b times in M2 gives a * b rows.
-    """
+def key_counts(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """run, keys, n_1, n_2: how often every key occurs in each telescope; rows are not joined."""
     join = ["run", *keys]
 
     def counted(events: DataFrame, name: str) -> DataFrame:
         return without_nan_keys(events.select(*join), keys).groupBy(*join).agg(F.count("*").alias(name))
 
-    per_key = counted(m1, "_n1").join(counted(m2, "_n2"), join, "full_outer").na.fill(0, ["_n1", "_n2"])
-    sums = per_key.groupBy("run").agg(
-        F.sum("_n1").alias("n_1"),
-        F.sum("_n2").alias("n_2"),
-        F.sum(F.col("_n1") * F.col("_n2")).alias("n_joined"),
+    return counted(m1, "n_1").join(counted(m2, "n_2"), join, "full_outer").na.fill(0, ["n_1", "n_2"])
+
+
+def _per_run(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("run").agg(
+        F.sum("n_1").alias("n_1"),
+        F.sum("n_2").alias("n_2"),
+        F.sum(F.col("n_1") * F.col("n_2")).alias("n_joined"),
+        F.count_if(F.expr(REPEATED)).alias("n_repeated"),
     )
+
+
+def key_growth(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per run of both telescopes and of their join on ``keys``, without joining rows.
+
+    A key that occurs a times in M1 and b times in M2 gives a * b rows. ``ok`` says that
+    the join is no longer than the longer telescope. That alone does not rule out
+    wrong pairs: see :func:`key_status`.
+    """
+    sums = _per_run(key_counts(m1, m2, keys)).drop("n_repeated")
     return sums.withColumn("ok", F.col("n_joined") <= F.greatest("n_1", "n_2"))
 
 
-def key_status(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """:func:`key_growth` with a ``status`` per run: ``ok``, ``missing_partner`` or ``repeated_keys``."""
+def repeated_keys(m1: DataFrame, m2: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """run, keys, n_1, n_2 of the keys that occur more than once in a telescope: no pair of them is certain."""
+    return key_counts(m1, m2, keys).filter(REPEATED)
+
+
+def _key_status(counts: DataFrame, quarantine: str) -> DataFrame:
+    sums = _per_run(counts)
     missing = (F.col("n_1") == 0) | (F.col("n_2") == 0)
-    status = F.when(~F.col("ok"), "repeated_keys").when(missing, "missing_partner").otherwise("ok")
-    return key_growth(m1, m2, keys).withColumn("status", status).drop("ok")
+    held = F.when(F.col("n_repeated") > 0, "repeated_keys" if quarantine == "run" else "keys_held_back")
+    named = F.when(missing, "missing_partner").otherwise(F.coalesce(held, F.lit("ok")))
+    return sums.withColumn("status", F.coalesce(held, named) if quarantine == "run" else named)
+
+
+def key_status(m1: DataFrame, m2: DataFrame, keys: Sequence[str], quarantine: str = "run") -> DataFrame:
+    """Per run the sizes of :func:`key_growth`, the number of repeated keys, and a ``status``.
+
+    Both telescopes must be free of repeated keys: one key that occurs twice in either of
+    them makes the run ``repeated_keys``, however short its join is, as repeats can hide behind
+    events without a partner. Else a run is ``missing_partner`` or ``ok``. With
+    ``quarantine="keys"`` only the events with such keys are held back, and the run is
+    ``keys_held_back``.
+    """
+    if quarantine not in QUARANTINES:
+        raise ValueError(f"quarantine must be one of {QUARANTINES}, not {quarantine}")
+    return _key_status(key_counts(m1, m2, keys), quarantine)
 
 
 def position_status(events: DataFrame, kept: DataFrame) -> DataFrame:
@@ -93,19 +127,26 @@ def position_status(events: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def accepted_rows(rows: DataFrame, status: DataFrame) -> DataFrame:
-    return rows.join(status.filter("status = 'ok'").select("run"), "run", "left_semi")
+    good = F.col("status").isin("ok", "keys_held_back")
+    return rows.join(status.filter(good).select("run"), "run", "left_semi")
 
 
-def stereo_join(m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1") -> Stereo:
+def stereo_join(
+    m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: str = "M1", quarantine: str = "run"
+) -> Stereo:
     """One row per stereo event with interleaved features, and a status per run.
 
     ``on="time"`` joins observed events on their keys, ``on="mc"`` simulated ones,
     ``on="position"`` joins the k-th rows of both telescopes by the ``sseq`` they
     carry (see :func:`stereo_of_kept` for rows that do not). Keys and pointing come from ``keys_from``:
     usually M1 for observed and M2 for simulated events. Only runs with status ``ok``
-    are joined: see :func:`key_status`, under which repeated keys cannot multiply
-    events, and :func:`position_status`, under which no row meets another's partner.
+    are joined: see :func:`key_status`, under which every joined key occurs once in each
+    telescope, and :func:`position_status`, under which no row meets another's partner.
+    A repeated key holds up its run, or with ``quarantine="keys"`` its own events alone;
+    ``repeated`` lists such keys.
     """
+    if quarantine not in QUARANTINES:
+        raise ValueError(f"quarantine must be one of {QUARANTINES}, not {quarantine}")
     if keys_from not in ("M1", "M2"):
         raise ValueError(f"keys_from must be M1 or M2, not {keys_from}")
     keys = {"time": DATA_KEYS, "mc": MC_KEYS, "position": ("sseq",)}.get(on)
@@ -114,13 +155,17 @@ def stereo_join(m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: s
     if on == "position":
         both = m1.unionByName(m2, allowMissingColumns=True).withColumn("seq", F.col("sseq"))
         status = position_status(both, both.select("run", "tel", "sseq", "seq"))
-        left, right = m1, m2
+        left, right, repeated = m1, m2, None
     else:
-        status = key_status(m1, m2, keys)
+        counts = written(key_counts(m1, m2, keys), "key-counts")
+        status, repeated = _key_status(counts, quarantine), counts.filter(REPEATED)
         left, right = without_nan_keys(m1, keys), without_nan_keys(m2, keys)
     status = listed(status, "stereo-status")
     left, right = accepted_rows(left, status), accepted_rows(right, status)
     join = ["run", *keys]
+    if repeated is not None and quarantine == "keys":
+        # A key that is held back on one side finds no partner on the other.
+        left = left.join(listed(repeated.select(*join), "repeated-keys"), join, "left_anti")
     owner, other = (left, right) if keys_from == "M1" else (right, left)
     carried = [c for c in CARRIED if c in owner.columns and c not in join]
     positions = [c for c in ("sseq",) if c in owner.columns and c not in join]
@@ -128,7 +173,7 @@ def stereo_join(m1: DataFrame, m2: DataFrame, on: str = "position", keys_from: s
     b = other.select(*join, F.col("pix").alias("_other"))
     pix = ("_own", "_other") if keys_from == "M1" else ("_other", "_own")
     rows = a.join(b, join).select(*join, *positions, *carried, interleave(*pix).alias("pix"))
-    return Stereo(rows, status)
+    return Stereo(rows, status, repeated)
 
 
 def attach_position(events: DataFrame, kept: DataFrame) -> DataFrame:

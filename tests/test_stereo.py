@@ -55,6 +55,26 @@ def test_repeated_keys_are_refused(spark):
     }
 
 
+def test_repeats_cannot_hide_behind_lonely_events(spark):
+    """The join is no longer than either telescope, and yet two of its rows would be wrong pairs."""
+    m1 = frame(spark, [row("M1", i, float(k), k, [float(i)]) for i, k in enumerate([7, 7, 1, 2, 3])])
+    m2 = frame(spark, [row("M2", i, float(k), k, [float(i)]) for i, k in enumerate([7, 7, 4, 5, 3])])
+    keys = ["nanotime", "time2", "id"]
+    assert st.key_growth(m1, m2, keys).first()["ok"]
+    joined = st.stereo_join(m1, m2, "time")
+    assert joined.rows.count() == 0
+    status = joined.status.first()
+    assert (status["status"], status["n_repeated"]) == ("repeated_keys", 1)
+    assert [(r["id"], r["n_1"], r["n_2"]) for r in joined.repeated.collect()] == [(7, 2, 2)]
+    others = st.stereo_join(m1, m2, "time", quarantine="keys")
+    assert [r["id"] for r in others.rows.collect()] == [3]
+    assert others.status.first()["status"] == "keys_held_back"
+    one_side = st.stereo_join(m1, m2.filter("seq <> 1"), "time")
+    assert one_side.rows.count() == 0 and one_side.status.first()["status"] == "repeated_keys"
+    with pytest.raises(ValueError):
+        st.stereo_join(m1, m2, "time", quarantine="none")
+
+
 def test_rows_of_different_events_never_pair(spark):
     """Without row 1 of M2, every later position would meet another event."""
     m1 = [row("M1", i, float(i), i, [float(i)]) for i in range(5)]

@@ -41,23 +41,66 @@ STEREO_DIGEST = """stereo_digest as (
  join digest d2 on d2.vec_id = ({e2} * 7 + 3) % (select count(*) from embeddings))"""
 
 
-KEYED = """pairs as (select a.run, a.nanotime, a.time2, a.id, a.event_id as e1, b.event_id as e2
- from calib a join calib b on a.run = b.run and a.nanotime = b.nanotime and a.id = b.id
-  and a.time2 = case when b.value > 400 then b.time2 + 1 else b.time2 end
+# Both telescopes must be free of repeated keys before they are joined.
+KEYED = """sides as (select run, tel, nanotime, id, event_id,
+  case when tel = 'M2' and value > 400 then time2 + 1 else time2 end as time2 from calib),
+ repeats as (select run, nanotime, time2, id from sides group by run, tel, nanotime, time2, id having count(*) > 1),
+ pairs as (select a.run, a.nanotime, a.time2, a.id, a.event_id as e1, b.event_id as e2
+ from sides a join sides b on a.run = b.run and a.nanotime = b.nanotime and a.id = b.id and a.time2 = b.time2
  where a.tel = 'M1' and b.tel = 'M2'),
- key_state as (select c.run, n_1, n_2, coalesce(n_joined, 0) as n_joined,
-  case when coalesce(n_joined, 0) > greatest(n_1, n_2) then 'repeated_keys'
-   when n_1 = 0 or n_2 = 0 then 'missing_partner' else 'ok' end as status
+ key_state as (select c.run, n_1, n_2, coalesce(n_joined, 0) as n_joined, coalesce(n_repeated, 0) as n_repeated,
+  case when n_repeated > 0 then 'repeated_keys' when n_1 = 0 or n_2 = 0 then 'missing_partner' else 'ok' end as status
   from (select run, count(*) filter (where tel = 'M1') as n_1, count(*) filter (where tel = 'M2') as n_2
-   from calib group by run) c left join (select run, count(*) as n_joined from pairs group by run) j
-  on j.run = c.run)"""
+   from sides group by run) c
+  left join (select run, count(*) as n_joined from pairs group by run) j on j.run = c.run
+  left join (select run, count(distinct (nanotime, time2, id)) as n_repeated from repeats group by run) r
+   on r.run = c.run)"""
+
+TIME_KEYS = ["nanotime", "time2", "id"]
 
 
 @query(q.sql(q.BASE, q.CALIB, KEYED, select="select * from key_state"))
 def stereo_key_status(spark, sf_dir):
     """Every run; few key values would multiply the events of some."""
-    keys = ["nanotime", "time2", "id"]
-    return st.key_status(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), keys)
+    return st.key_status(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), TIME_KEYS)
+
+
+@query(
+    q.sql(
+        q.BASE,
+        q.CALIB,
+        KEYED,
+        select="""select run, nanotime, time2, id, count(*) filter (where tel = 'M1') as n_1,
+ count(*) filter (where tel = 'M2') as n_2 from sides group by run, nanotime, time2, id
+ having count(*) filter (where tel = 'M1') > 1 or count(*) filter (where tel = 'M2') > 1""",
+    )
+)
+def stereo_repeated_keys(spark, sf_dir):
+    """The keys that hold up their runs."""
+    return st.repeated_keys(keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2"), TIME_KEYS)
+
+
+@query(
+    q.sql(
+        q.FEATURES,
+        q.BASE,
+        q.CALIB,
+        KEYED,
+        """joined as (select * from pairs where (run, nanotime, time2, id) not in (from repeats))""",
+        STEREO_DIGEST.format(
+            columns="run, nanotime, time2, id, cast(e1 % 46 as double) as zd, cast(e1 % 360 as double) as az",
+            source="joined",
+            e1="e1",
+            e2="e2",
+        ),
+        select="select * from stereo_digest",
+    )
+)
+def stereo_join_unrepeated(spark, sf_dir):
+    """Only events with repeated keys are held back, not their runs."""
+    sides = keyed(spark, sf_dir, "M1"), keyed(spark, sf_dir, "M2")
+    joined = st.stereo_join(*sides, "time", quarantine="keys").rows
+    return joined.select("run", "nanotime", "time2", "id", "zd", "az", *digest()).drop("n_features")
 
 
 @query(
