@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duoscope.functions.arrays import log_energy
 from duoscope.operators.matching import DATA_KEYS
+from duoscope.sources.shared import listed, written
 
 # Real pixels of a camera, channels of each.
 REAL_PIXELS = 1039
+# Sampling: bits of a hash, those that number the ranges of a sketch, and about the most rows ranked in one task.
+SAMPLE_HASH_BITS = 62
+SAMPLE_BITS = 16
+SAMPLE_RANKED = 1000
 CHANNELS = ("charge_1", "charge_2", "time_1", "time_2")
 
 
@@ -112,21 +117,44 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` uniformly chosen rows (all, if there are no more), the same on every run.
 
-    Rows are ranked by a seeded hash of their keys, which must identify a row. A
-    count fixes the hash range that holds slightly more than ``n`` rows, so only
-    those keys are ranked; their features are read by a semi-join.
+    Rows are chosen by a seeded hash of their keys, which must identify a row: those with
+    the smallest hashes. Counts per hash range form a sketch of fixed size that tasks
+    merge before the shuffle; it tells which range holds the n-th hash. All rows of
+    smaller hashes are taken by a filter on the events themselves. The range that is cut
+    is counted again in smaller ranges, until a handful of keys is left to be ranked.
     """
-    top = float(2**63)
-    ranked = events.select(*keys, F.xxhash64(F.lit(seed), *keys).alias("_rank"))
-    total = events.count()
-    if total <= n:
+    if n <= 0:
+        return events.limit(0)
+    hashed = F.xxhash64(F.lit(seed), *keys)
+    # The first bits, so that their order as numbers from 0 is that of the hashes.
+    rank = F.shiftrightunsigned(hashed.bitwiseXOR(F.lit(-(2**63))), 64 - SAMPLE_HASH_BITS)
+
+    def range_with(rows: DataFrame, shift: int, wanted: int):
+        """The range of hashes that holds the ``wanted``-th one, its rows, and those in all ranges up to it."""
+        counts = rows.groupBy(F.shiftright("_rank", shift).alias("cell")).agg(F.count("*").alias("n"))
+        upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = counts.withColumn("upto", F.sum("n").over(upto))
+        return summed.filter(F.col("upto") >= wanted).agg(F.min_by(F.struct("*"), "cell")).first()[0]
+
+    shift, wanted = SAMPLE_HASH_BITS - SAMPLE_BITS, n
+    ranked = events.select(*keys, rank.alias("_rank"), hashed.alias("_hash"))
+    cut = range_with(ranked, shift, wanted)
+    if cut is None:
         return events
-    share = (n + 6.0 * n**0.5 + 10.0) / total
-    while True:
-        limit = min(-top + 2.0 * top * share, top)
-        inside = ranked.filter(F.col("_rank").cast("double") <= limit)
-        if share >= 1.0 or inside.count() >= n:
-            break
-        share *= 2.0
-    chosen = inside.orderBy("_rank", *keys).limit(n).drop("_rank")
-    return events.join(chosen, list(keys), "left_semi")
+    inside = written(ranked.filter(F.shiftright("_rank", shift) == cut["cell"]), "sample-range")
+    wanted -= cut["upto"] - cut["n"]
+    while cut["n"] > SAMPLE_RANKED and shift > 0:
+        shift = max(0, shift - SAMPLE_BITS)
+        cut = range_with(inside, shift, wanted)
+        inside = inside.filter(F.shiftright("_rank", shift) == cut["cell"])
+        wanted -= cut["upto"] - cut["n"]
+    place = F.row_number().over(Window.orderBy("_hash", *keys))
+    last = inside.withColumn("_place", place).filter(F.col("_place") <= wanted)
+    last = last.select(*[F.col(k).alias(f"_chosen_{k}") for k in keys], F.lit(True).alias("_chosen"))
+    here = F.shiftright(rank, shift)
+    border = events.filter(here <= cut["cell"])
+    same = here == cut["cell"]
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_chosen_{key}"))
+    found = border.join(listed(last, "sample-chosen"), same, "left")
+    return found.filter((here < cut["cell"]) | F.col("_chosen")).select(*events.columns)

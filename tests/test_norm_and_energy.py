@@ -145,6 +145,20 @@ def test_exact_sample(spark):
     assert sorted(ranks.nsmallest(1000, "h")["id"]) == first
 
 
+@pytest.mark.parametrize("bits, ranked", [(16, 1000), (3, 4), (2, 0)])
+def test_exact_sample_of_any_range(spark, monkeypatch, bits, ranked):
+    """Ranges that are cut again and again end with the same rows; null keys and repeated rows count."""
+    monkeypatch.setattr(stt, "SAMPLE_BITS", bits)
+    monkeypatch.setattr(stt, "SAMPLE_RANKED", ranked)
+    rows = [(None if i % 50 == 0 else f"r{i % 3}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "run string, id long").repartition(5)
+    hashes = df.select("id", F.xxhash64(F.lit(1), "run", "id").alias("h")).toPandas().sort_values("h")["id"].tolist()
+    for n in (0, 1, 17, 450, 899, 900, 901):
+        got = [r["id"] for r in stt.sample_exact(df, n, seed=1, keys=("run", "id")).collect()]
+        assert sorted(got) == sorted(hashes[:n])
+    assert stt.sample_exact(df.limit(0), 3, keys=("run", "id")).count() == 0
+
+
 def test_energies_and_overflow(spark):
     norm = spark.createDataFrame([(0, 0.5, 1.0), (1, 9.0, 9.0)], "pos int, mean double, std double")
     df = spark.createDataFrame([(0, 0.5, 0.5), (1, 1000.0, -0.5)], "seq long, dl double, mc_truth double")

@@ -163,3 +163,12 @@ def test_scaler_values(spark):
     assert out == [[0.0, 5.0, 0.0], [1.0, 5.0, 7.0], None, [0.5, 5.0, -7.0]]
     with pytest.raises(Exception, match="must have 2 features"):
         df.select(array_scaler(np.zeros(2), np.ones(2))("pix")).collect()
+
+
+def test_sample_filters_events_where_they_are(spark, events):
+    """No task sorts the sample, and beside the events only the few keys of one hash range are joined."""
+    chosen = stt.sample_exact(events, 150, keys=("run", "tel", "seq"))
+    assert chosen.count() == 150
+    plan = plan_of(chosen)
+    assert "TakeOrdered" not in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert plan.count("FileScan") == 2
