@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duoscope.functions import arrays
+from duoscope.operators import moments as mo
 from duoscope.operators import normalise as no
 from duoscope.operators import statistics as stt
+from duoscope.sources.shared import shared_folder
 from workload import sql as q
 from workload import tables as t
 from workload.registry import query
@@ -58,6 +60,33 @@ def data_feature_stats(spark, sf_dir):
     return rounded(stt.feature_stats(t.stereo_rows(spark, sf_dir, False), mc=False))
 
 
+def stored_moments(spark, sf_dir):
+    """States of the simulated runs, added to the table in three steps."""
+    rows, path = t.stereo_rows(spark, sf_dir, True), shared_folder(spark, "run-moments")
+    for step in range(3):
+        states = mo.add_runs(rows.filter(F.col("run").cast("int") % 3 == step), path, mc=True)
+    return states
+
+
+@query(q.sql(*MC_NORM, select=NORM_SELECT + "norm"))
+def moments_norm(spark, sf_dir):
+    """The norm of all runs from their stored states."""
+    return rounded(mo.norm_of(stored_moments(spark, sf_dir)))
+
+
+@query(
+    q.sql(
+        *MC,
+        "run_ev as (select * from ev)",
+        q.stats("run_ev", "longform", True, "run_norm", "run"),
+        select=NORM_SELECT + "(select pos, avg(mean) as mean, avg(std) as std from run_norm group by pos)",
+    )
+)
+def moments_mean_of_runs(spark, sf_dir):
+    """The mean over runs of their own means and deviations, from stored states."""
+    return rounded(mo.mean_of_runs(stored_moments(spark, sf_dir), mc=True))
+
+
 @query(f"select event_id, {q.r6('ln(value)')} as log_energy from events")
 def log_energy(spark, sf_dir):
     rows = t.table(spark, sf_dir, "events")
