@@ -8,7 +8,13 @@ The walk is expressed with joins: the k-th stereo row with some keys is mapped
 to the k-th calibrated row with the same keys. That map bounds every ordered
 match from below, so where it is complete and increasing it *is* the walk. Only
 runs whose map is complete but not increasing (repeated keys in mixed order) are
-walked, block by block, on their keys alone.
+walked, on their keys alone.
+
+The walk of one block depends on what came before only by the number of stereo rows
+matched so far. The map read from the front bounds that number from above, the map read from
+the back bounds it from below for any run that can succeed. So every block works out, for
+all numbers between its bounds, the number it ends with; these functions are composed up
+and down a tree of blocks, and all blocks are walked at once.
 """
 
 from __future__ import annotations
@@ -20,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duoscope.operators.ordering import BLOCK_ROWS, block_of, with_occurrence
-from duoscope.sources.shared import shared_folder, written
+from duoscope.operators.ordering import BLOCK_ROWS, block_of, running_max, with_occurrence
+from duoscope.sources.shared import listed, shared_folder, written
 
 # Key columns of observed and simulated events.
 DATA_KEYS = ("nanotime", "time2", "id")
@@ -30,6 +36,10 @@ MC_KEYS = ("energy", "id", "zd", "az")
 GROUP = ("run", "tel")
 ACCEPTED = ("ok", "tail_dup")
 
+# Blocks whose step functions are composed in one task; blocks of stereo rows that bounds may span.
+FAN = 64
+WIDE = 64
+
 
 @dataclass(frozen=True)
 class Match:
@@ -106,6 +116,154 @@ def _equal_tails(stereo: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _windows(calib, stereo, mapping, runs, keys, block_rows) -> DataFrame:
+    """Stereo rows of ``runs`` with the first and last block of calibrated rows that may hold their partner.
+
+    ``first`` and ``last`` do not decrease along a run. Where ``last`` is before ``first``, or
+    there is none, the run cannot succeed.
+    """
+    # The last row may stay alone if it repeats the one before: it bounds nothing.
+    ends = stereo.groupBy(*GROUP).agg(F.max("sseq").alias("_end")).join(runs, list(GROUP))
+    rows = stereo.join(ends, list(GROUP))
+    counted = rows.filter(~F.col("tail_equal") | (F.col("sseq") < F.col("_end")))
+    ends_c = calib.groupBy(*GROUP).agg(F.max("seq").alias("_end"))
+    back_c = calib.join(runs.select(*GROUP), list(GROUP), "left_semi").join(ends_c, list(GROUP))
+    back_s = counted.select(*GROUP, (F.col("_end") - F.col("sseq")).alias("sseq"), *keys)
+    back_c = back_c.select(*GROUP, (F.col("_end") - F.col("seq")).alias("seq"), *keys)
+    late = running_max(
+        _occurrence_map(back_c, back_s, keys, block_rows), GROUP, "sseq", F.col("seq"), "_back", block_rows
+    )
+    late = late.join(ends, list(GROUP)).join(ends_c.withColumnRenamed("_end", "_end_c"), list(GROUP))
+    late = late.select(
+        *GROUP,
+        (F.col("_end") - F.col("sseq")).alias("sseq"),
+        F.when(F.col("seq").isNotNull(), F.col("_end_c") - F.col("_back")).alias("_late"),
+    )
+    front = mapping.join(runs.select(*GROUP), list(GROUP), "left_semi")
+    early = running_max(front, GROUP, "sseq", F.col("seq"), "_early", block_rows)
+    bounds = early.join(late, [*GROUP, "sseq"], "left").join(ends.drop("_end"), list(GROUP))
+    whole = ends.select(*GROUP, F.col("_end").alias("_last_row")).join(ends_c, list(GROUP))
+    bounds = bounds.join(whole, list(GROUP))
+    free = F.col("tail_equal") & (F.col("sseq") == F.col("_last_row"))
+    return bounds.select(
+        *GROUP,
+        "sseq",
+        block_of("_early", block_rows).alias("first"),
+        F.when(free, block_of("_end", block_rows)).otherwise(block_of("_late", block_rows)).alias("last"),
+    )
+
+
+def stepper(keys: Sequence[str]):
+    """Function for a cogroup of one block and one piece of its bounds: calibrated and stereo rows.
+
+    It gives the open stereo row with which the block ends for each one, ``begin`` to ``end``,
+    with which it may begin, as a step function: from ``froms[k]`` on the end is ``tos[k]``. It
+    refers to nothing in this package, so workers need not import it.
+    """
+    keys = list(keys)
+
+    def step(calib: pa.Table, stereo: pa.Table) -> pa.Table:
+        calib, stereo = calib.sort_by("seq"), stereo.sort_by("sseq")
+        owner = calib if calib.num_rows else stereo
+        begin, end = owner.column("begin")[0].as_py(), owner.column("end")[0].as_py()
+        wanted = list(zip(*[stereo.column(key).to_pylist() for key in keys]))
+        base = stereo.column("sseq")[0].as_py() if stereo.num_rows else begin
+        # Beginnings that reach the same open row go on as one: at[row] is the first of them.
+        at = {p: p for p in range(begin - base, end - base + 1)}
+        waiting: dict = {}
+        for p in at:
+            if p < len(wanted):
+                waiting.setdefault(wanted[p], []).append(p)
+        for row in zip(*[calib.column(key).to_pylist() for key in keys]):
+            moved = waiting.pop(row, None)
+            if not moved or None in row:
+                continue
+            for p in sorted(moved, reverse=True):
+                group = at.pop(p)
+                if p + 1 in at:
+                    at[p + 1] = min(at[p + 1], group)
+                    continue
+                at[p + 1] = group
+                if p + 1 < len(wanted):
+                    waiting.setdefault(wanted[p + 1], []).append(p + 1)
+        ends = sorted((base + group, base + p) for p, group in at.items())
+        return pa.table(
+            {
+                "run": pa.array([owner.column("run")[0].as_py()], pa.string()),
+                "tel": pa.array([owner.column("tel")[0].as_py()], pa.string()),
+                "node": pa.array([owner.column("block")[0].as_py()], pa.int64()),
+                "froms": pa.array([[first for first, _ in ends]], pa.list_(pa.int64())),
+                "tos": pa.array([[last for _, last in ends]], pa.list_(pa.int64())),
+            }
+        )
+
+    return step
+
+
+def functions_of(table: pa.Table):
+    """Numbers and step functions of the blocks of a group in their order; pieces of one block are joined."""
+    nodes: dict = {}
+    parts = zip(*[table.column(c).to_pylist() for c in ("node", "froms", "tos")])
+    for node, froms, tos in sorted(parts):
+        begin, end = nodes.setdefault(node, ([], []))
+        begin.extend(froms)
+        end.extend(tos)
+    return nodes
+
+
+def composer(functions_of, fan: int):
+    """Function for up to ``fan`` neighbouring blocks: the step function that runs through all of them."""
+
+    def compose(table: pa.Table) -> pa.Table:
+        from bisect import bisect_right
+
+        nodes = functions_of(table)
+        parts = iter(nodes.values())
+        ends = [list(pair) for pair in zip(*next(parts))]
+        for begin, end in parts:
+            for pair in ends:
+                # Below the bounds of a block no run succeeds; -1 stays.
+                pair[1] = end[bisect_right(begin, pair[1]) - 1] if pair[1] >= begin[0] else -1
+            ends = [p for k, p in enumerate(ends) if not k or p[1] != ends[k - 1][1]]
+        run, tel = (table.column(c)[0].as_py() for c in ("run", "tel"))
+        return pa.table(
+            {
+                "run": pa.array([run], pa.string()),
+                "tel": pa.array([tel], pa.string()),
+                "node": pa.array([min(nodes) // fan], pa.int64()),
+                "froms": pa.array([[p[0] for p in ends]], pa.list_(pa.int64())),
+                "tos": pa.array([[p[1] for p in ends]], pa.list_(pa.int64())),
+            }
+        )
+
+    return compose
+
+
+def opener(functions_of):
+    """Function for neighbouring blocks and the open row of the first: the open row of each."""
+
+    def open_rows(table: pa.Table) -> pa.Table:
+        from bisect import bisect_right
+
+        nodes, here, found = functions_of(table), table.column("open")[0].as_py(), []
+        for begin, end in nodes.values():
+            here = here if here >= begin[0] else -1
+            found.append(here)
+            here = end[bisect_right(begin, here) - 1] if here >= 0 else -1
+        n = len(found)
+        run, tel = (table.column(c)[0].as_py() for c in ("run", "tel"))
+        return pa.table(
+            {
+                "run": pa.array([run] * n, pa.string()),
+                "tel": pa.array([tel] * n, pa.string()),
+                "node": pa.array(list(nodes), pa.int64()),
+                "open": pa.array(found, pa.int64()),
+            }
+        )
+
+    return open_rows
+
+
 def walker(keys: Sequence[str]):
     """Function for a cogroup of one run: (calibrated block, open stereo rows) to matched rows.
 
@@ -143,8 +301,93 @@ def walker(keys: Sequence[str]):
     return walk
 
 
-def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
-    """Matched pairs of ``runs``; one block of calibrated rows of every run per step.
+FUNCTION = "run string, tel string, node long, froms array<long>, tos array<long>"
+PAIRS = "run string, tel string, sseq long, seq long"
+
+
+def _open_rows(functions: DataFrame, last: int) -> DataFrame:
+    """run, tel, node, open: the open stereo row with which each block begins, up and down the tree of blocks."""
+    levels, up = [functions], F.floor(F.col("node") / FAN).cast("long").alias("_up")
+    while last >= FAN:
+        whole = levels[-1].groupBy(*GROUP, up).applyInArrow(composer(functions_of, FAN), FUNCTION)
+        levels.append(written(whole, "walk-functions"))
+        last //= FAN
+    states = None
+    for level in reversed(levels):
+        if states is None:
+            parts = level.select("*", up, F.lit(0).cast("long").alias("open"))
+        else:
+            above = states.select(*GROUP, F.col("node").alias("_up"), "open")
+            parts = level.select("*", up).join(above, [*GROUP, "_up"])
+        found = parts.groupBy(*GROUP, "_up").applyInArrow(
+            opener(functions_of), "run string, tel string, node long, open long"
+        )
+        states = written(found, "walk-open")
+    return states
+
+
+def _bounds(windows: DataFrame, calib: DataFrame, block_rows: int) -> DataFrame:
+    """run, tel, block, low, high: bounds of the open stereo row with which each block of rows begins."""
+    changes = [
+        windows.select(*GROUP, (F.col("last") + 1).alias("block"), F.lit(1).alias("_low"), F.lit(0).alias("_high")),
+        windows.select(*GROUP, (F.col("first") + 1).alias("block"), F.lit(0).alias("_low"), F.lit(1).alias("_high")),
+    ]
+    present = calib.select(*GROUP, block_of("seq", block_rows).alias("block"), F.lit(True).alias("_here")).distinct()
+    sums = changes[0].unionByName(changes[1]).groupBy(*GROUP, "block").agg(
+        F.sum("_low").alias("_low"), F.sum("_high").alias("_high")
+    )
+    steps = sums.join(present, [*GROUP, "block"], "full_outer").na.fill(0, ["_low", "_high"])
+    before = Window.partitionBy(*GROUP).orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = steps.select(
+        *GROUP, "block", "_here", F.sum("_low").over(before).alias("low"), F.sum("_high").over(before).alias("high")
+    )
+    return summed.filter("_here").drop("_here")
+
+
+def _walk_at_once(calib, stereo, bounds, block_rows, keys) -> DataFrame:
+    """Matched pairs of the runs in ``bounds``; all blocks of all runs at the same time.
+
+    The bounds of a block are cut into pieces of ``block_rows`` beginnings, so that a task has
+    one block of calibrated rows and two blocks of stereo rows, whatever the run.
+    """
+    spark, size = calib.sparkSession, F.lit(block_rows)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place, calib_block, stereo_block = [*GROUP, "block", "piece"], [*GROUP, "block"], [*GROUP, "_stereo_block"]
+    pieces = bounds.select(
+        "*", F.explode(F.sequence(F.floor(F.col("low") / size), F.floor(F.col("high") / size))).alias("piece")
+    ).select(
+        *place,
+        F.greatest("low", F.col("piece") * size).alias("begin"),
+        F.least("high", F.col("piece") * size + size - 1).alias("end"),
+    )
+    rows = calib.withColumn("block", block_of("seq", block_rows))
+    wanted = stereo.withColumn("_stereo_block", block_of("sseq", block_rows))
+
+    def reached(starts: DataFrame, first) -> DataFrame:
+        """``starts`` with the stereo rows from ``first`` on that a block can reach."""
+        # Aliases tell the columns from those of the other side of a cogroup.
+        starts = starts.select(*[F.col(c).alias(c) for c in starts.columns])
+        return starts.withColumn("_stereo_block", F.explode(F.array(first, first + 1))).join(wanted, stereo_block)
+
+    def grouped(part: DataFrame, by):
+        # A few bytes of keys keep a task busy: no merging of small partitions here.
+        return part.repartition(tasks, *by).groupBy(*by)
+
+    own = grouped(pieces.join(rows, calib_block), place)
+    ahead = grouped(reached(pieces, F.col("piece")), place)
+    functions = written(own.cogroup(ahead).applyInArrow(stepper(keys), FUNCTION), "walk-functions")
+    last = functions.agg(F.max("node")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], PAIRS)
+    states = _open_rows(functions, last).filter("open >= 0").withColumnRenamed("node", "block")
+    ahead = reached(states, F.floor(F.col("open") / size).cast("long")).filter("sseq >= open")
+    here = rows.join(states.select(*calib_block), calib_block, "left_semi")
+    pairs = grouped(here, calib_block).cogroup(grouped(ahead.drop("_stereo_block"), calib_block))
+    return written(pairs.applyInArrow(walker(keys), PAIRS), "walk")
+
+
+def _walk_in_turn(calib, stereo, runs, keys, block_rows) -> DataFrame:
+    """Matched pairs of ``runs``, whatever their windows; one block of calibrated rows of every run per step.
 
     A block matches at most as many stereo rows as it has calibrated rows, so
     each step reads a bounded slice of both sides, which are stored by block. What
@@ -153,8 +396,6 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
     """
     spark = calib.sparkSession
     path = shared_folder(spark, "walk")
-    schema = "run string, tel string, sseq long, seq long"
-
     def by_block(rows: DataFrame, position: str, label: str) -> DataFrame:
         rows = rows.join(runs, list(GROUP), "left_semi").withColumn("block", block_of(position, block_rows))
         place = shared_folder(spark, label)
@@ -182,12 +423,12 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
             .repartition(tasks, *GROUP)
             .groupBy(*GROUP)
             .cogroup(ahead.drop("_open").repartition(tasks, *GROUP).groupBy(*GROUP))
-            .applyInArrow(walker(keys), schema)
+            .applyInArrow(walker(keys), PAIRS)
         )
         pairs.write.parquet(f"{path}/step={step}")
         if step + 1 == len(blocks):
             break
-        done = spark.read.schema(schema).parquet(f"{path}/step={step}")
+        done = spark.read.schema(PAIRS).parquet(f"{path}/step={step}")
         reached = done.groupBy(*GROUP).agg((F.max("sseq") + 1).alias("_next"))
         open_rows = written(
             open_rows.join(reached, list(GROUP), "left").select(
@@ -195,7 +436,28 @@ def _walk_runs(calib, stereo, runs, keys, block_rows) -> DataFrame:
             ),
             "walk-open",
         )
-    return spark.read.schema(schema).parquet(f"{path}/step=*")
+    return spark.read.schema(PAIRS).parquet(f"{path}/step=*")
+
+
+def _walk_runs(calib, stereo, mapping, runs, keys, block_rows) -> DataFrame:
+    """Matched pairs of ``runs`` (run, tel, tail_equal); a run that cannot succeed may have none.
+
+    Runs with bounds of more than :data:`WIDE` blocks of stereo rows (few different keys in very
+    long runs) are walked block after block, all others at once.
+    """
+    calib, stereo = (rows.join(runs.select(*GROUP), list(GROUP), "left_semi") for rows in (calib, stereo))
+    windows = written(_windows(calib, stereo, mapping, runs, keys, block_rows), "walk-windows")
+    lost = F.max(F.coalesce(F.col("last") < F.col("first"), F.lit(True)))
+    possible = windows.groupBy(*GROUP).agg(lost.alias("_lost")).filter(~F.col("_lost")).select(*GROUP)
+    bounds = _bounds(windows.join(possible, list(GROUP), "left_semi"), calib, block_rows)
+    bounds = listed(bounds.join(possible, list(GROUP), "left_semi"), "walk-bounds")
+    width = bounds.groupBy(*GROUP).agg(F.max(F.col("high") - F.col("low")).alias("_width"))
+    wide = listed(width.filter(F.col("_width") > WIDE * block_rows).select(*GROUP), "walk-wide")
+    if wide.isEmpty():
+        return _walk_at_once(calib, stereo, bounds, block_rows, keys)
+    narrow = bounds.join(wide, list(GROUP), "left_anti")
+    pairs = _walk_at_once(calib, stereo, narrow, block_rows, keys)
+    return pairs.unionByName(_walk_in_turn(calib, stereo, wide, keys, block_rows))
 
 
 def match_events(
@@ -241,9 +503,11 @@ def match_events(
         ),
         "match-shape",
     )
-    to_walk = shape.filter("status = 'walk'").select(*GROUP)
+    alone = F.coalesce("tail_equal", F.lit(False)) & F.lit(repair_tail)
+    to_walk = shape.filter("status = 'walk'").select(*GROUP, alone.alias("tail_equal"))
     if not to_walk.isEmpty():
-        walked = _walk_runs(calib, stereo, to_walk, keys, block_rows)
+        walked = _walk_runs(calib, stereo, mapping, to_walk, keys, block_rows)
+        to_walk = to_walk.select(*GROUP)
         found = walked.groupBy(*GROUP).agg(
             F.count("*").alias("_found"), F.max("seq").alias("_last_seq")
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -100,10 +101,54 @@ def parse_calib(lines: DataFrame) -> DataFrame:
     )
 
 
-def calib_text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the event files with the name and path of their file; blank ones left out."""
-    lines = require_nonempty(spark, path, "text", recursiveFileLookup="true").filter(not_blank())
-    return lines.select(
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, name, run, subrun, tel of the event files below a path or glob; their contents are not read."""
+    files = require_nonempty(spark, path, "binaryFile", recursiveFileLookup="true").select("path")
+    named = files.withColumn("name", names.source_name(F.col("path"))).filter("name <> ''")
+    name = F.col("name")
+    return named.select(
+        "path",
+        "name",
+        names.run_of(name).alias("run"),
+        names.subrun_of(name).alias("subrun"),
+        names.telescope_of(name).alias("tel"),
+    )
+
+
+def valid_files(spark: SparkSession, path: str, valid: DataFrame) -> DataFrame:
+    """:func:`listed_files` of the run and subrun pairs in ``valid``.
+
+    A file whose name has no subrun, such as a simulated one, is valid with its run.
+    """
+    files = listed_files(spark, path)
+    pairs = listed(valid.select("run", "subrun").distinct(), "valid")
+    runs = listed(pairs.select("run").distinct(), "valid-runs")
+    whole = F.col("subrun").isNull()
+    return (
+        files.filter(~whole).join(pairs, ["run", "subrun"], "left_semi").select(*files.columns)
+        .unionByName(files.filter(whole).join(runs, "run", "left_semi").select(*files.columns))
+    )
+
+
+def exact_path(path: str) -> str:
+    """A path in which no character is read as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def calib_text(spark: SparkSession, path: str, valid: DataFrame | None = None) -> DataFrame:
+    """Lines of the event files with the name and path of their file; blank ones left out.
+
+    With ``valid`` only the files of its run and subrun pairs are opened. They are picked
+    from the listing; the driver holds their paths, as it does for the files of any scan.
+    """
+    if valid is None:
+        lines = require_nonempty(spark, path, "text", recursiveFileLookup="true")
+    else:
+        paths = [exact_path(row.path) for row in valid_files(spark, path, valid).select("path").toLocalIterator()]
+        if not paths:
+            raise FileNotFoundError(f"no file of a valid subrun below {path}")
+        lines = spark.read.text(sorted(paths))
+    return lines.filter(not_blank()).select(
         "value",
         names.source_name(F.col("_metadata.file_path")).alias("name"),
         F.col("_metadata.file_path").alias("file"),
@@ -129,13 +174,14 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_calib(spark: SparkSession, path: str) -> DataFrame:
+def read_calib(spark: SparkSession, path: str, valid: DataFrame | None = None) -> DataFrame:
     """Scans headerless event files below a path, a glob or a tree of day folders.
 
     ``file``, ``split_start`` and ``split_row`` give the position of each row in
-    its run; see :func:`with_seq`.
+    its run; see :func:`with_seq`. ``valid`` (run, subrun) prunes the list of files before
+    the scan: files of other subruns are not opened.
     """
-    lines = calib_text(spark, path)
+    lines = calib_text(spark, path, valid)
     return parse_calib(lines.select("*", F.monotonically_increasing_id().alias("split_row")))
 
 
@@ -170,13 +216,14 @@ def with_seq(
     )
 
 
-def store_calib(spark: SparkSession, path: str, table: str) -> DataFrame:
+def store_calib(spark: SparkSession, path: str, table: str, valid: DataFrame | None = None) -> DataFrame:
     """Event files to an event table by run, written once, and its rows with ``seq``.
 
     The table keeps each row's place in its file; positions come from a narrow join
-    with one row per split, so no second copy of the features is made.
+    with one row per split, so no second copy of the features is made. ``valid`` prunes
+    the files as in :func:`read_calib`.
     """
-    rows = read_calib(spark, path)
+    rows = read_calib(spark, path, valid)
     rows.write.mode("overwrite").partitionBy("run").parquet(table)
     return with_seq(spark.read.schema(rows.schema).parquet(table), stored=True)
 

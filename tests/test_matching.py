@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from duoscope.operators import matching
 from duoscope.operators import selection as sel
 from duoscope.operators.matching import match_events
 
@@ -102,6 +103,44 @@ def test_random_runs_agree_with_the_walk(spark, block_rows, seed):
     assert {"ok", "tail_dup", "mismatch", "empty", "calib_shorter"} <= statuses
 
 
+@pytest.mark.parametrize("block_rows, fan, wide", [(2, 2, 64), (4, 3, 1)])
+def test_blocks_walked_at_once(spark, monkeypatch, block_rows, fan, wide):
+    """Trees of several levels, bounds of several pieces, and runs that are too wide for them."""
+    monkeypatch.setattr(matching, "FAN", fan)
+    monkeypatch.setattr(matching, "WIDE", wide)
+    rng = random.Random(block_rows)
+    cases = {}
+    for number in range(300):
+        calib = [float(rng.randrange(rng.choice([1, 2, 5, 12]))) for _ in range(rng.randrange(1, 40))]
+        stereo = [k for k in calib if rng.random() < 0.7]
+        if number % 3 == 0:
+            stereo = stereo + stereo[-1:]
+        if number % 5 == 0 and len(stereo) > 3:
+            at = rng.randrange(len(stereo) - 1)
+            stereo[at], stereo[at + 1] = stereo[at + 1], stereo[at]
+        if stereo:
+            cases[f"r{number:03d}"] = (calib, stereo)
+    found = run_match(spark, cases, block_rows)
+    for run, (calib, stereo) in cases.items():
+        assert found[run] == walk_model(calib, stereo), (run, calib, stereo)
+
+
+def test_steps_do_not_grow_with_the_run(spark, monkeypatch):
+    """A run of 64 blocks that must be walked, its keys repeated in mixed order."""
+    rng = random.Random(1)
+    calib = [float(rng.randrange(60)) for _ in range(6400)]
+    stereo = [k for k in calib if rng.random() < 0.7]
+    steps = {}
+    store = matching.written
+    for block_rows in (800, 100):
+        labels = []
+        monkeypatch.setattr(matching, "written", lambda df, label: labels.append(label) or store(df, label))
+        monkeypatch.setattr(matching, "listed", lambda df, label: labels.append(label) or store(df, label))
+        assert run_match(spark, {"long": (calib, stereo)}, block_rows)["long"] == walk_model(calib, stereo)
+        steps[block_rows] = labels
+    assert "walk-open" in steps[100] and len(steps[100]) <= 12 and steps[100] == steps[800]
+
+
 def test_one_run_with_most_rows(spark):
     """A run far longer than a block, with one key on a third of its rows."""
     rng = random.Random(5)

@@ -56,6 +56,28 @@ def test_positions_follow_names_and_lines(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_files_of_other_subruns_are_not_opened(spark, folder):
+    """They are no text at all here; opening one would fail the scan. Names may look like patterns."""
+    for day, sub in (("day[1]", "001"), ("day{2}", "002"), ("day*", "003")):
+        put(f"{folder}/{day}", DATA_NAME.format(tel="M1", sub=sub), data_lines(10 * int(sub), 2))
+    broken = DATA_NAME.format(tel="M2", sub="004") + ".gz"
+    put(f"{folder}/day[1]", broken, ["no gzip"])
+    put(f"{folder}/day[1]", MC_NAME, ["250.5,7,1,2,3,4,20,100"])
+    put(f"{folder}/day[1]", "notes.txt", ["not an event file"])
+    valid = [("05057144", "001"), ("05057144", "002"), ("05057144", "002"), ("1737992", "001"), ("9", "003")]
+    pairs = spark.createDataFrame(valid, "run string, subrun string")
+    rows = ev.read_calib(spark, folder, pairs)
+    assert sorted(r["id"] for r in rows.collect()) == [7, 10, 11, 20, 21]
+    opened = {name.rsplit("/", 1)[1] for name in rows.inputFiles()}
+    assert len(opened) == 3 and broken not in opened
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        ev.read_calib(spark, folder, pairs.union(spark.createDataFrame([("05057144", "004")], pairs.schema))).collect()
+    with pytest.raises(FileNotFoundError, match="valid subrun"):
+        ev.read_calib(spark, folder, pairs.limit(0))
+    stored = ev.store_calib(spark, folder, f"{folder}/table", pairs.filter("subrun = '002'"))
+    assert sorted((r["id"], r["seq"]) for r in stored.collect()) == [(20, 0), (21, 1)]
+
+
 def test_lines_round_trip(spark, folder):
     put(folder, DATA_NAME.format(tel="M1", sub="001"), [x.replace("bad", "nan") for x in data_lines(0, 5)])
     rows = ev.read_calib(spark, folder)

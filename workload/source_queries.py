@@ -124,6 +124,27 @@ def scan_day_folders(spark, sf_dir):
     )
 
 
+@query(
+    q.sql(
+        q.DAYS,
+        select="""select run, tel, subrun, count(*) as n_rows, cast(sum(id) as bigint) as sum_id from days
+ where (run, subrun) in (select run, subrun from days where event_type = 'signup' group by all having count(*) % 3 > 0)
+ group by run, tel, subrun""",
+    )
+)
+def read_valid_subruns(spark, sf_dir):
+    """Files of the half days whose sign-ups are no multiple of three; others are listed, not opened."""
+    signups = t.table(spark, sf_dir, "events").filter("event_type = 'signup'")
+    day = F.lpad(F.date_format("ts", "dd"), 8, "0").alias("run")
+    half = F.when(F.hour("ts") < 12, "001").otherwise("002").alias("subrun")
+    valid = signups.groupBy(day, half).agg(F.count("*").alias("n")).filter("n % 3 > 0")
+    return (
+        ev.read_calib(spark, day_tree(spark, sf_dir), valid)
+        .groupBy("run", "tel", "subrun")
+        .agg(F.count("*").alias("n_rows"), F.sum("id").alias("sum_id"))
+    )
+
+
 @query(q.sql(q.DAYS, select="select distinct name, true as has_bytes from days"))
 def file_manifest(spark, sf_dir):
     files = ev.file_manifest(spark, day_tree(spark, sf_dir))

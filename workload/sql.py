@@ -170,7 +170,7 @@ FILES = """files as (
 
 DAYS = """days as (
  select strftime(ts, '%Y%m%d') as day, lpad(strftime(ts, '%d'), 8, '0') as run,
-  case when extract(hour from ts) < 12 then '001' else '002' end as subrun, tel, event_id, event_id as id,
+  case when extract(hour from ts) < 12 then '001' else '002' end as subrun, tel, event_id, event_id as id, event_type,
   value as nanotime, cast(extract(hour from ts) * 60 + extract(minute from ts) as double) as time2, value,
   cast(event_id % 46 as double) as zd, cast(event_id % 360 as double) as az,
   strftime(ts, '%Y%m%d') || '_' || tel || '_' || lpad(strftime(ts, '%d'), 8, '0') || '.'
