@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from duoscope.functions.arrays import interleave
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS, without_nan_keys
 from duoscope.operators.ordering import block_of, number_rows
+from duoscope.sources.events import write_event_buckets
 from duoscope.sources.shared import listed, written
 
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
@@ -211,6 +212,31 @@ def stereo_of_kept(events: DataFrame, kept: DataFrame, keys_from: str = "M1") ->
     )
 
 
+def stereo_of_positions(selected: DataFrame, keys_from: str = "M1") -> DataFrame:
+    """Stereo rows of a table of selected events that carry their position ``sseq``.
+
+    From a table bucketed by run and position (:func:`write_selected`) both telescopes lie
+    together already: no features move. In other tables each moves once.
+    """
+    carried = [c for c in CARRIED if c in selected.columns]
+    sides = {"M1": ("_pix1", []), "M2": ("_pix2", [])}
+    sides[keys_from] = (sides[keys_from][0], carried)
+    m1, m2 = (
+        selected.filter(F.col("tel") == tel).select("run", "sseq", *own, F.col("pix").alias(pix))
+        for tel, (pix, own) in sides.items()
+    )
+    return m1.join(m2, ["run", "sseq"]).select("run", "sseq", *carried, interleave("_pix1", "_pix2").alias("pix"))
+
+
+def write_selected(events: DataFrame, kept: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Selected events with their position, as a table bucketed by run and position for both telescopes.
+
+    Positions are assigned here, once; every later stereo join of the table leaves the features
+    where they are. ``path`` is where the table lies, the warehouse without one.
+    """
+    return write_event_buckets(attach_position(events, kept), table, buckets, ("run", "sseq"), path)
+
+
 def tail_duplicate(events: DataFrame, columns: Sequence[str], order: str = "sseq") -> DataFrame:
     """Per run and telescope whether the last two rows are equal; ``agree`` compares the telescopes."""
     ends = listed(events.groupBy("run", "tel").agg(F.max(order).alias("_end")), "ends")

@@ -135,19 +135,15 @@ def exact_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def calib_text(spark: SparkSession, path: str, valid: DataFrame | None = None) -> DataFrame:
-    """Lines of the event files with the name and path of their file; blank ones left out.
+def text_of(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of the listed files alone; the driver holds their paths, as it does for the files of any scan."""
+    paths = [exact_path(row.path) for row in files.select("path").toLocalIterator()]
+    if not paths:
+        raise FileNotFoundError("no file of a valid subrun in the list")
+    return _with_place(spark.read.text(sorted(paths)))
 
-    With ``valid`` only the files of its run and subrun pairs are opened. They are picked
-    from the listing; the driver holds their paths, as it does for the files of any scan.
-    """
-    if valid is None:
-        lines = require_nonempty(spark, path, "text", recursiveFileLookup="true")
-    else:
-        paths = [exact_path(row.path) for row in valid_files(spark, path, valid).select("path").toLocalIterator()]
-        if not paths:
-            raise FileNotFoundError(f"no file of a valid subrun below {path}")
-        lines = spark.read.text(sorted(paths))
+
+def _with_place(lines: DataFrame) -> DataFrame:
     return lines.filter(not_blank()).select(
         "value",
         names.source_name(F.col("_metadata.file_path")).alias("name"),
@@ -156,6 +152,16 @@ def calib_text(spark: SparkSession, path: str, valid: DataFrame | None = None) -
     )
 
 
+def calib_text(spark: SparkSession, path: str, valid: DataFrame | None = None) -> DataFrame:
+    """Lines of the event files with the name and path of their file; blank ones left out.
+
+    With ``valid`` only the files of its run and subrun pairs are opened.
+    """
+    if valid is not None:
+        return text_of(spark, valid_files(spark, path, valid))
+    return _with_place(require_nonempty(spark, path, "text", recursiveFileLookup="true"))
+
+
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Per name: lines, cells of the longest, lines that have fewer, and lines too short for any feature."""
     cells = F.size(F.split("value", ","))

@@ -95,6 +95,19 @@ def test_bucketed_events_move_once(spark, events, kept, no_broadcast):
     assert joined.orderBy(key).collect() == plain.orderBy(key).collect()
 
 
+def test_positioned_buckets_leave_all_features_in_place(spark, events, kept, no_broadcast):
+    """Positions are assigned when the selection is written; its stereo joins shuffle nothing."""
+    table = st.write_selected(events, kept, "plan_selected", 4)
+    for owner in ("M1", "M2"):
+        joined = st.stereo_of_positions(table, owner)
+        plan = plan_of(joined)
+        assert feature_exchanges(plan) == 0 and "Exchange" not in plan
+        plain = st.stereo_of_kept(events, kept, owner)
+        key = ["run", "sseq"]
+        assert joined.orderBy(key).collect() == plain.orderBy(key).collect()
+    assert feature_exchanges(plan_of(st.stereo_of_positions(st.attach_position(events, kept)))) > 0
+
+
 def test_small_selections_leave_the_features_in_place(events, kept):
     plan = plan_of(st.attach_position(events, kept))
     assert feature_exchanges(plan) == 0

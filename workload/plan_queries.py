@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from duoscope.operators.matching import MC_KEYS
 from duoscope.operators.ordering import block_of, number_rows
 from duoscope.plans.preprocess import preprocess
+from duoscope.plans.resume import Preparation
+from duoscope.sources.shared import shared_folder, written
 from workload import sql as q
 from workload import tables as t
 from workload.energy_queries import mean_of_features
@@ -89,6 +91,34 @@ def preprocess_data(spark, sf_dir):
     )
 
 
+@query(
+    q.sql(
+        *SELECT,
+        *NORM,
+        DATA_LONG,
+        q.SCALE,
+        select=f"""select j.run, j.sseq, j.nanotime, j.time2, j.id, {q.r6("exp(z.m * s.std + s.mean)")} as dl
+ from joined j join (select run, sseq, avg(x) as m from jz group by run, sseq) z on z.run = j.run and z.sseq = j.sseq,
+ scale s""",
+        recursive=True,
+    )
+)
+def resumed_preparation(spark, sf_dir):
+    """The same in stages on disk: stopped before scaling, then gone on with."""
+    prep = Preparation(spark, shared_folder(spark, "resumed"))
+    given = {
+        "stereo_keys": t.stereo_keys(spark, sf_dir),
+        "norm": written(mc_norm(spark, sf_dir), "norm"),
+        "events": t.calib_events(spark, sf_dir),
+        "valid": t.valid_subruns(spark, sf_dir),
+        "make_predict_fn": mean_of_features(),
+        "n_features": 2 * t.N_FEATURES,
+    }
+    prep.run(**given, until="stereo")
+    rows = prep.run(**given).table("energies")
+    return rows.select("run", "sseq", "nanotime", "time2", "id", F.round("dl", 6).alias("dl"))
+
+
 def mc_events(spark, sf_dir):
     """Simulated rows of both telescopes with positions, and their stereo list."""
     rows = t.paired(spark, sf_dir, True).withColumn("energy", F.col("value"))

@@ -192,6 +192,37 @@ def stereo_join_bucketed(spark, sf_dir):
     return joined.select("run", "sseq", "nanotime", "time2", "id", "zd", *digest()).drop("n_features")
 
 
+@query(
+    q.sql(
+        *SELECT,
+        q.FEATURES,
+        """both_sides as (select a.run, a.sseq, c.nanotime, c.time2, c.id, c.event_id as e1, d.event_id as e2
+ from walk_selected a join walk_selected b on a.run = b.run and a.sseq = b.sseq and a.tel = 'M1' and b.tel = 'M2'
+ join calib c on c.run = a.run and c.tel = 'M1' and c.seq = a.seq
+ join calib d on d.run = b.run and d.tel = 'M2' and d.seq = b.seq)""",
+        STEREO_DIGEST.format(
+            columns="run, sseq, nanotime, time2, id, cast(e1 % 46 as double) as zd",
+            source="both_sides",
+            e1="e1",
+            e2="e2",
+        ),
+        select="select * from stereo_digest",
+        recursive=True,
+    )
+)
+def stereo_join_positioned(spark, sf_dir):
+    """The same from a selection written with its positions: no features move in the join."""
+    table = st.write_selected(
+        t.calib_events(spark, sf_dir),
+        selected(spark, sf_dir).kept,
+        f"selected_{uuid.uuid4().hex}",
+        8,
+        shared_folder(spark, "selected"),
+    )
+    joined = st.stereo_of_positions(table)
+    return joined.select("run", "sseq", "nanotime", "time2", "id", "zd", *digest()).drop("n_features")
+
+
 POSITIONED = """positioned as (
  select c.*, row_number() over (partition by run, tel order by seq) - 1 as pos
  from calib c where (event_id % 7 <> 0 and event_id % 11 <> 0) or user_id % 10 = 3),
