@@ -71,32 +71,33 @@ def adjust_many(spark, sf_dir):
 @query(
     q.sql(
         *PRED,
-        select="""select run, seq, case when value > 400 then 0.0 else round(value, 6) end as dl
- from pred where not mc""",
+        select="""select mc, run, seq, case when value > 400 then 0.0 else round(value, 6) end as dl
+ from pred""",
     )
 )
 def impute_value(spark, sf_dir):
     """Scores that overflow the exponential become 0 in the imputation column."""
     from duoscope.sources.tables import impute_value as imputed
 
-    rows = t.predictions(spark, sf_dir).withColumn(
+    sides = [t.predictions(spark, sf_dir, mc).withColumn("mc", F.lit(mc)) for mc in (True, False)]
+    rows = sides[0].unionByName(sides[1], allowMissingColumns=True).drop("mc_truth").withColumn(
         "dl", F.when(F.col("nanotime") > 400, 1e6).otherwise(F.col("dl"))
     )
     adjusted = en.adjust_energy(rows, t.energy_norm(spark, sf_dir))
-    return adjusted.select("run", "seq", F.round(imputed(F.col("dl")), 6).alias("dl"))
+    return adjusted.select("mc", "run", "seq", F.round(imputed(F.col("dl")), 6).alias("dl"))
 
 
 @query(
     q.sql(
-        q.side(True),
+        q.side(None),
         q.FEATURES,
         q.longform(),
-        select=f"select run, event_id, {q.r6('avg(x)')} as dl from longform group by run, event_id",
+        select=f"select {q.MC}, run, event_id, {q.r6('avg(x)')} as dl from longform group by run, event_id",
     )
 )
 def score(spark, sf_dir):
-    rows = en.score(t.stereo_rows(spark, sf_dir, True), mean_of_features(), 2 * t.N_FEATURES)
-    return rows.select("run", "event_id", F.round("dl", 6).alias("dl"))
+    rows = en.score(t.all_stereo_rows(spark, sf_dir), mean_of_features(), 2 * t.N_FEATURES)
+    return rows.select("mc", "run", "event_id", F.round("dl", 6).alias("dl"))
 
 
 @query(

@@ -138,19 +138,19 @@ def camera_stats(spark, sf_dir):
 
 @query(
     q.sql(
-        q.side(True),
+        q.side(None),
         q.FEATURES,
         q.longform(),
-        select="""select run, cast(count(*) filter (where x > 0.2) as bigint) as n_nan, count(*) as n_values
+        select=f"""select {q.MC}, run, cast(count(*) filter (where x > 0.2) as bigint) as n_nan, count(*) as n_values
  from longform group by run""",
     )
 )
 def nan_report(spark, sf_dir):
     """Features above a threshold stand for broken ones."""
-    rows = t.stereo_rows(spark, sf_dir, True)
+    rows = t.all_stereo_rows(spark, sf_dir)
     nan = F.lit(float("nan")).cast("float")
     broken = rows.withColumn("pix", F.transform("pix", lambda x: F.when(x > 0.2, nan).otherwise(x)))
-    return stt.nan_report(broken)
+    return stt.nan_report(broken, ("mc", "run"))
 
 
 Z = """z as (select l.run, l.event_id, l.pos,
@@ -182,21 +182,21 @@ def normalize_pixels_skip_tail(spark, sf_dir):
 
 @query(
     q.sql(
-        q.side(False),
-        select=f"""select run, event_id, {q.r6('(zd - 45) / 26')} as zd, {q.r6('(az - 180) / 105')} as az from ev""",
+        q.side(None),
+        select=f"""select {q.MC}, run, event_id, {q.r6('(zd - 45) / 26')} as zd, {q.r6('(az - 180) / 105')} as az from ev""",
     )
 )
 def normalize_pointing(spark, sf_dir):
-    rows = no.normalize_pointing(t.stereo_rows(spark, sf_dir, False))
-    return rows.select("run", "event_id", F.round("zd", 6).alias("zd"), F.round("az", 6).alias("az"))
+    rows = no.normalize_pointing(t.all_stereo_rows(spark, sf_dir))
+    return rows.select("mc", "run", "event_id", F.round("zd", 6).alias("zd"), F.round("az", 6).alias("az"))
 
 
 @query(
     q.sql(
-        q.side(False),
+        q.side(None),
         q.FEATURES,
         q.longform(),
-        select=f"""select run, event_id, cast(pos as int) as pos,
+        select=f"""select {q.MC}, run, event_id, cast(pos as int) as pos,
  {q.r6("case when x > 0.25 then 0 when x > 0.2 then 65504 when x < -0.2 then -65504 else x end")} as x from longform""",
     )
 )
@@ -212,8 +212,8 @@ def finite(spark, sf_dir):
         )
         return value.cast("float")
 
-    rows = t.stereo_rows(spark, sf_dir, False).withColumn("pix", F.transform("pix", spoil))
-    return longform(rows.withColumn("pix", arrays.finite_array("pix")), "run", "event_id")
+    rows = t.all_stereo_rows(spark, sf_dir).withColumn("pix", F.transform("pix", spoil))
+    return longform(rows.withColumn("pix", arrays.finite_array("pix")), "mc", "run", "event_id")
 
 
 CAMERA_Z = f"""z as (select l.run, l.event_id, l.pos,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -331,34 +333,33 @@ def read_mc_predictions(spark, sf_dir):
     q.sql(
         q.SCALE,
         PREDICTED,
-        select="""select 'impute' as kind, run, '' as truth, printf('%.8f', value) as estimate, count(*) as n
- from pred where mc group by run, value
- union all select 'validate', run, printf('%.8f', value * exp(0.5 * std)), printf('%.8f', value), count(*)
- from pred where mc group by run, value, std""",
+        select="""select mc, 'impute' as kind, run, '' as truth, printf('%.8f', value) as estimate, count(*) as n
+ from pred group by mc, run, value
+ union all select mc, 'validate', run, printf('%.8f', value * exp(0.5 * std)), printf('%.8f', value), count(*)
+ from pred where mc group by mc, run, value, std""",
     )
 )
 def write_energies(spark, sf_dir):
-    adjusted = energy.adjust_energy(t.predictions(spark, sf_dir, True), t.energy_norm(spark, sf_dir))
-    paths = tab.write_energies(adjusted, shared_folder(spark, "energies"))
-    impute = spark.read.schema("estimate string, run string").csv(paths["impute"])
-    validate = (
-        spark.read.option("header", "true")
-        .schema("MCTruth string, DL string, run string")
-        .csv(paths["validate"])
-    )
-    return (
-        impute.select(F.lit("impute").alias("kind"), "run", F.lit("").alias("truth"), "estimate")
-        .unionByName(
-            validate.select(
-                F.lit("validate").alias("kind"),
-                "run",
-                F.col("MCTruth").alias("truth"),
-                F.col("DL").alias("estimate"),
+    """Lines of both modes; only simulated events have a true energy to validate with."""
+    lines = []
+    for mc in (True, False):
+        adjusted = energy.adjust_energy(t.predictions(spark, sf_dir, mc), t.energy_norm(spark, sf_dir))
+        paths = tab.write_energies(adjusted, shared_folder(spark, "energies"))
+        impute = spark.read.schema("estimate string, run string").csv(paths["impute"])
+        lines.append(impute.select(F.lit(mc).alias("mc"), F.lit("impute").alias("kind"), "run", F.lit("").alias("truth"), "estimate"))
+        if mc:
+            reader = spark.read.option("header", "true").schema("MCTruth string, DL string, run string")
+            validate = reader.csv(paths["validate"])
+            lines.append(
+                validate.select(
+                    F.lit(mc).alias("mc"),
+                    F.lit("validate").alias("kind"),
+                    "run",
+                    F.col("MCTruth").alias("truth"),
+                    F.col("DL").alias("estimate"),
+                )
             )
-        )
-        .groupBy("kind", "run", "truth", "estimate")
-        .agg(F.count("*").alias("n"))
-    )
+    return reduce(DataFrame.unionByName, lines).groupBy("mc", "kind", "run", "truth", "estimate").agg(F.count("*").alias("n"))
 
 
 @query(

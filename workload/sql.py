@@ -126,11 +126,17 @@ N_VEC = "(select count(*) from embeddings)"
 VEC = f"case when tel = 'M1' then event_id % {N_VEC} else (event_id * 7 + 3) % {N_VEC} end"
 
 
-def side(mc: bool, name: str = "ev") -> str:
+#: Simulated runs have even numbers.
+MC = "cast(run as bigint) % 2 = 0 as mc"
+
+
+def side(mc: bool | None, name: str = "ev") -> str:
+    """Simulated or observed events, or with None both."""
+    kept = "" if mc is None else f"where user_id % 2 = {0 if mc else 1}"
     return f"""{name} as (
  select lpad(cast(user_id as varchar), 8, '0') as run, event_id, value, ts,
   cast(event_id % 46 as double) as zd, cast(event_id % 360 as double) as az
- from events where user_id % 2 = {0 if mc else 1})"""
+ from events {kept})"""
 
 
 def longform(ev: str = "ev", name: str = "longform") -> str:

@@ -287,14 +287,14 @@ def stereo_join_position_m2(spark, sf_dir):
 
 @query(
     q.sql(
-        q.side(False),
+        q.side(None),
         q.FEATURES,
         q.longform(),
-        select=f"select run, event_id, cast(pos as int) as pos, {q.r6('x')} as x from longform",
+        select=f"select {q.MC}, run, event_id, cast(pos as int) as pos, {q.r6('x')} as x from longform",
     )
 )
 def interleave(spark, sf_dir):
-    return longform(t.stereo_rows(spark, sf_dir, False), "run", "event_id")
+    return longform(t.all_stereo_rows(spark, sf_dir), "mc", "run", "event_id")
 
 
 @query(

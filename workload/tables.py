@@ -194,6 +194,12 @@ def stereo_rows(spark: SparkSession, sf_dir: str, mc: bool) -> DataFrame:
     )
 
 
+def all_stereo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simulated and observed stereo rows, told apart by ``mc``."""
+    sides = [stereo_rows(spark, sf_dir, mc).withColumn("mc", F.lit(mc)) for mc in (True, False)]
+    return sides[0].unionByName(sides[1])
+
+
 def predictions(spark: SparkSession, sf_dir: str, mc: bool = False) -> DataFrame:
     """Scores that de-normalise to ``value``: run, seq, keys, dl (and mc_truth)."""
     events = table(spark, sf_dir, "events")
