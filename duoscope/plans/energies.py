@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from duoscope.functions import names
 from duoscope.operators.energy import adjust_energy, is_prediction_input
 from duoscope.sources.events import with_seq
+from duoscope.sources.shared import written
 from duoscope.sources.tables import read_predictions, write_energies
 
 
@@ -19,7 +20,10 @@ def energies(
     out: str | None = None,
     outputs=("impute", "validate"),
 ) -> DataFrame:
-    """Reads the prediction files of one mode, adjusts the energies, writes them to ``out``."""
+    """Reads the prediction files of one mode, adjusts the energies, writes them to ``out``.
+
+    With ``out`` the result is stored once: what is returned is read, not worked out again.
+    """
     run = F.substring_index(names.time_token(F.col("name")), ".", 1)
     rows = with_seq(
         read_predictions(spark, path, mode)
@@ -29,5 +33,6 @@ def energies(
     )
     adjusted = adjust_energy(rows, norm)
     if out is not None:
-        write_energies(adjusted, out, outputs)
+        adjusted = written(adjusted, "energies")
+        write_energies(adjusted, out, outputs, stored=True)
     return adjusted

@@ -109,7 +109,11 @@ def impute_value(x) -> Column:
 
 
 def write_energies(
-    energies: DataFrame, path: str, outputs=("impute", "validate"), order: str | None = "seq"
+    energies: DataFrame,
+    path: str,
+    outputs=("impute", "validate"),
+    order: str | None = "seq",
+    stored: bool = False,
 ) -> dict[str, str]:
     """Writes the requested energy tables, one folder per run, and returns their paths.
 
@@ -117,14 +121,17 @@ def write_energies(
     keeps its line; ``validate`` (simulation only) has
     true and estimated energy with a header. Rows keep their order inside a run.
     Runs that are written again are replaced, all others stay. The rows are worked out
-    once and both outputs written from the stored result.
+    once and both outputs written from the stored result; ``stored`` says that they are a
+    table on disk already.
     """
     unknown = set(outputs) - {"impute", "validate"}
     if unknown:
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
     paths = {}
     columns = [c for c in ("run", order, "dl", "mc_truth") if c in energies.columns]
-    rows = written(energies.select(*columns), "energies")
+    rows = energies.select(*columns)
+    if not stored:
+        rows = written(rows, "energies")
     if order in energies.columns:
         rows = rows.repartitionByRange("run", order).sortWithinPartitions("run", order)
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from duoscope.operators import selection as sel
 from duoscope.operators.matching import match_events as match
 from duoscope.operators.stereo import match_status as status_of
-from duoscope.sources.events import key_columns
+from duoscope.sources.events import calib_lines, key_columns
+from duoscope.sources.shared import shared_folder, written
+from duoscope.streaming import selecting as landed
 from workload import name_queries as n
 from workload import sql as q
 from workload import tables as t
@@ -121,6 +123,29 @@ def select_events(spark, sf_dir):
     return selected(spark, sf_dir).kept
 
 
+@query(
+    select_sql(
+        select="""select s.run, s.tel, s.sseq, c.nanotime, c.time2, c.id from walk_selected s
+ join calib c on c.run = s.run and c.tel = s.tel and c.seq = s.seq"""
+    )
+)
+def select_landed(spark, sf_dir):
+    """The same rows while files land in two lots: a run is written when its last file is there."""
+    land, out, marks = (shared_folder(spark, label) for label in ("land", "landed-selection", "landing-marks"))
+    tel, run, subrun = F.col("tel"), F.col("run"), F.col("subrun")
+    name = F.concat(F.lit("20240101_"), tel, F.lit("_"), run, F.lit("."), subrun, F.lit("_Y_Src.csv"))
+    rows = t.calib_events(spark, sf_dir).withColumn("name", name)
+    stereo, valid = t.stereo_keys(spark, sf_dir), written(t.valid_subruns(spark, sf_dir), "valid")
+    for lot in (0, 1):
+        here = rows.filter(F.crc32("name") % 2 == lot)
+        ordered = here.repartitionByRange("name", "seq").sortWithinPartitions("name", "seq")
+        calib_lines(ordered).write.mode("append").partitionBy("name").text(land)
+        landed.select_landed(spark, land, stereo, valid, out, marks)
+    columns = ["run", "tel", "sseq", "nanotime", "time2", "id"]
+    schema = "sseq long, nanotime double, time2 double, id long, run string, tel string"
+    return spark.read.schema(schema).parquet(f"{out}/events").select(*columns)
+
+
 @query(
     select_sql(
         select="""select c.run, c.tel, c.seq, c.event_id from calib c
