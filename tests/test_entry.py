@@ -24,3 +24,8 @@ def counted(*absent: str) -> int:
 def test_queries_without_the_text_operators():
     assert counted("corpus_pipeline") == 0
     assert counted("corpus_pipeline", "duoscope.llm", "duoscope.llm.queries") == 0
+    assert counted("duoscope.llm") == 0
+
+
+def test_queries_without_the_libraries_of_the_text_operators():
+    assert counted("public_tokenizers") == 0
