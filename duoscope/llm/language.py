@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +17,6 @@ SMOOTHING = 0.1
 SLICE_BYTES = 1 << 22
 #: Lower-cased ASCII letters and bytes beyond ASCII stay, all else is space.
 LETTERS = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def cells(text: str):
@@ -87,7 +84,14 @@ def train(labelled: DataFrame, max_languages: int = MAX_LANGUAGES):
     return langs, np.log(model / model.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def mixture(ratio, weight, rounds: int = 30):
+#: Expectation-maximisation ends when no share moves by more than ``SETTLED``, or after ``ROUNDS``.
+ROUNDS = 30
+SETTLED = 1e-3
+#: Languages with a smaller share in the mixture of all do not join a text's set.
+LEAST_SHARE = 0.02
+
+
+def mixture(ratio, weight, rounds: int = ROUNDS):
     """Proportions by expectation-maximisation; ``ratio``: likelihoods, one row per language."""
     import numpy as np
 
@@ -97,7 +101,7 @@ def mixture(ratio, weight, rounds: int = 30):
         new = share * (ratio @ (weight / np.maximum(share @ ratio, 1e-300))) / total
         moved = np.abs(new - share).max()
         share = new
-        if moved < 1e-3:
+        if moved < SETTLED:
             break
     return share / share.sum(), float(weight @ np.log(np.maximum(share @ ratio, 1e-300)))
 
@@ -105,8 +109,9 @@ def mixture(ratio, weight, rounds: int = 30):
 def identify(total, model, penalty: float = 3.0):
     """Indices and proportions of the set of languages with the best penalised likelihood.
 
-    Languages join in the order of their shares in the mixture of all, as long as
-    the log likelihood gains more than ``penalty`` times the log of the n-gram count.
+    Languages join in the order of their shares in the mixture of all, down to
+    ``LEAST_SHARE``, as long as the log likelihood gains more than ``penalty`` times the log of
+    the n-gram count.
     """
     import numpy as np
 
@@ -123,7 +128,7 @@ def identify(total, model, penalty: float = 3.0):
     whole, _ = mixture(ratio, weight)
     price = penalty * np.log(max(weight.sum(), 2.0))
     for other in np.argsort(-whole, kind="stable"):
-        if whole[other] < 0.02:
+        if whole[other] < LEAST_SHARE:
             break
         if other in chosen:
             continue
@@ -134,8 +139,32 @@ def identify(total, model, penalty: float = 3.0):
     return chosen, shares
 
 
-def predict(docs: DataFrame, langs: list[str], model, keep_text: bool = False) -> DataFrame:
-    """The columns of ``docs``, without the text unless asked for, and the struct ``ANSWER``.
+ANSWER_FIELDS = "lang_pred:string,score:double,langs:array<string>,shares:array<double>"
+
+
+def answered(texts, names: list[str], table) -> pa.Array:
+    """One struct of ``ANSWER_FIELDS`` per text."""
+    answer = pa.struct(
+        [("lang_pred", pa.string()), ("score", pa.float64()),
+         ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))]
+    )
+    rows = []
+    for value in texts:
+        text = value.as_py()
+        total = cells(text) if names and text and any(map(str.isalpha, text)) else None
+        if total is None or not total.any():
+            rows.append({"lang_pred": UNKNOWN, "score": 0.0, "langs": [], "shares": []})
+            continue
+        chosen, shares = identify(total, table)
+        order = sorted(range(len(chosen)), key=lambda k: (-shares[k], names[chosen[k]]))
+        found = [names[chosen[k]] for k in order]
+        parts = [float(min(1.0, max(0.0, shares[k]))) for k in order]
+        rows.append({"lang_pred": found[0], "score": parts[0], "langs": found, "shares": parts})
+    return pa.array(rows, answer)
+
+
+def predict(docs: DataFrame, langs: list[str], model) -> DataFrame:
+    """The columns of ``docs`` without the text, and the struct ``ANSWER``.
 
     Its fields are ``lang_pred``, ``score``, ``langs`` and ``shares``. Only the text is
     read. ``lang_pred`` has the largest share of the chosen set and ``score`` is that
@@ -144,36 +173,28 @@ def predict(docs: DataFrame, langs: list[str], model, keep_text: bool = False) -
     language by name. Rows that repeat are judged each.
     """
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
-    kept = [f for f in docs.schema if keep_text or f.name != "text"]
+    kept = [f for f in docs.schema if f.name != "text"]
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-    answer = pa.struct(
-        [("lang_pred", pa.string()), ("score", pa.float64()),
-         ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))]
-    )
 
     def run(batches):
-        names, table = shared.value
         for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                total = cells(text) if names and text and LETTER.search(text) else None
-                if total is None or not total.any():
-                    rows.append({"lang_pred": UNKNOWN, "score": 0.0, "langs": [], "shares": []})
-                    continue
-                chosen, shares = identify(total, table)
-                order = sorted(range(len(chosen)), key=lambda k: (-shares[k], names[chosen[k]]))
-                found = [names[chosen[k]] for k in order]
-                parts = [float(min(1.0, max(0.0, shares[k]))) for k in order]
-                rows.append(
-                    {"lang_pred": found[0], "score": parts[0], "langs": found, "shares": parts}
-                )
+            found = answered(batch.column("text"), *shared.value)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f.name) for f in kept), pa.array(rows, answer)],
-                [*(f.name for f in kept), ANSWER],
+                [*(batch.column(f.name) for f in kept), found], [*(f.name for f in kept), ANSWER]
             )
 
-    fields = "lang_pred:string,score:double,langs:array<string>,shares:array<double>"
-    return docs.mapInArrow(run, ", ".join([*columns, f"`{ANSWER}` struct<{fields}>"]))
+    return docs.mapInArrow(run, ", ".join([*columns, f"`{ANSWER}` struct<{ANSWER_FIELDS}>"]))
+
+
+def with_languages(docs: DataFrame, langs: list[str], model) -> DataFrame:
+    """``docs`` with the struct ``ANSWER`` as in :func:`predict`; only texts go to Python, and only answers come back."""
+    shared = docs.sparkSession.sparkContext.broadcast((langs, model))
+
+    @F.arrow_udf(f"struct<{ANSWER_FIELDS}>")
+    def judge(texts: pa.Array) -> pa.Array:
+        return answered(texts, *shared.value)
+
+    return docs.withColumn(ANSWER, judge("text"))
 
 
 ship(__name__)

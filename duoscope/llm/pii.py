@@ -276,30 +276,26 @@ def redact(docs: DataFrame, **limits) -> DataFrame:
     """The documents, in their columns, with ``<KIND>`` in the place of personal data.
 
     Spans follow from the text alone, so they are found once per different text with
-    a digit or an @ and joined back by its digest; all other rows pass unchanged.
+    a digit or an @ and joined back by its digest; all other rows, null and empty texts
+    among them, pass unchanged. Rows that repeat stay.
     """
-    names = docs.columns
-    place = names.index("text")
     may = F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False))
     digest = F.sha2("text", 256)
-    concerned = docs.filter(may).withColumn("_llm_digest", digest)
-    found = find(concerned.select("_llm_digest", "text"), "_llm_digest", **limits)
+    found = find(docs.filter(may).select(digest.alias("_llm_digest"), "text"), "_llm_digest", **limits)
     one = (
         found.filter(F.size("spans") > 0)
         .groupBy("_llm_digest")
         .agg(F.first("spans").alias("_llm_spans"))
     )
 
-    def cover(batches):
-        for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("_llm_spans").to_pylist())
-            texts = [covered(t, s) if s else t for t, s in pairs]
-            columns = [batch.column(k) for k in range(len(names))]
-            columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    changed = concerned.join(one, "_llm_digest", "left").select(*names, "_llm_spans").mapInArrow(cover, schema)
+    @F.arrow_udf("string")
+    def cover(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        pairs = zip(texts, spans)
+        return pa.array([covered(t.as_py(), s.as_py()) if s.is_valid else t.as_py() for t, s in pairs], pa.string())
+
+    concerned = docs.filter(may)
+    joined = concerned.join(one, digest == F.col("_llm_digest"), "left")
+    changed = joined.withColumn("text", cover("text", "_llm_spans")).drop("_llm_digest", "_llm_spans")
     return docs.filter(~may).union(changed)
 
 

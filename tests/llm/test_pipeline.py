@@ -88,3 +88,22 @@ def test_empty_table(spark, folder):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_names_that_need_quotes(spark, folder):
+    """Columns of any name are carried through, mixtures of languages stay, nothing is lost without languages."""
+    names = ["doc_id", "a.b", "text", "_llm_digest", "_llm_language", "lang", "carried_1", "text "]
+    mixed = f"{prose(70, ENGLISH, 40)} {prose(71, FRENCH, 40)}"
+    table = [(k, f"p{k}", t, "x", "y", g, 1.5, "z") for k, t, g in [*rows(), (90, mixed, None)]]
+    docs = spark.createDataFrame(table, "c0 long, c1 string, c2 string, c3 string, c4 string, c5 string, c6 double, c7 string")
+    spark.createDataFrame([(1, prose(50, ENGLISH, 20))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = whole = docs.toDF(*names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        docs.write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        assert docs.columns == names
+    out = {r["doc_id"]: r for r in docs.collect()}
+    assert out[90]["text"] == mixed and all(r["a.b"] == f"p{r['doc_id'] or k}" for k, r in out.items())
+    untaught = whole.withColumn("lang", whole["lang"].substr(9, 1)).replace("", None, ["lang"])
+    assert corpus_pipeline.identified(spark, untaught, folder).count() == len(table)
