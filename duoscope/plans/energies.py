@@ -19,9 +19,11 @@ def energies(
     mode: str = "data",
     out: str | None = None,
     outputs=("impute", "validate"),
+    by: str = "run",
 ) -> DataFrame:
     """Reads the prediction files of one mode, adjusts the energies, writes them to ``out``.
 
+    ``by`` says whether the outputs go by run or by prediction file (see :func:`write_energies`).
     With ``out`` the result is stored once: what is returned is read, not worked out again.
     """
     run = F.substring_index(names.time_token(F.col("name")), ".", 1)
@@ -34,5 +36,5 @@ def energies(
     adjusted = adjust_energy(rows, norm)
     if out is not None:
         adjusted = written(adjusted, "energies")
-        write_energies(adjusted, out, outputs, stored=True)
+        write_energies(adjusted, out, outputs, stored=True, by=by)
     return adjusted

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duoscope.functions.names import batch_key
 from duoscope.operators.energy import adjust_energy, score
 from duoscope.operators.matching import ACCEPTED, DATA_KEYS, MC_KEYS
 from duoscope.operators.normalise import normalize_pixels
@@ -91,9 +92,16 @@ class Preparation:
         found = todo.join(counts, "run", "left").select("run", F.lit("ok").alias("status"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
         self.manifest.commit(stage, found)
 
-    def convert(self, path: str, valid: DataFrame | None = None, first_file: int = 1) -> None:
-        """Event files to rows by run. Only files of valid subruns are opened, from the n-th by name on."""
+    def convert(
+        self, path: str, valid: DataFrame | None = None, first_file: int = 1, batch: str | None = None
+    ) -> None:
+        """Event files to rows by run. Only files of valid subruns are opened, from the n-th by name on.
+
+        ``batch`` keeps to the files of one date, or of simulated runs that begin with five digits.
+        """
         files = listed_files(self.spark, path)
+        if batch is not None:
+            files = files.filter(batch_key(F.col("name")) == batch)
         if first_file > 1:
             files = from_nth_file(files, first_file)
         if valid is not None:
@@ -105,6 +113,11 @@ class Preparation:
         rows = with_seq(parse_calib(lines.select("*", F.monotonically_increasing_id().alias("split_row"))))
         self._finish("converted", rows, todo, ("run", "tel"))
 
+    def batches(self, path: str) -> DataFrame:
+        """batch, n_files, n_runs: the units of work below a path, by date or beginning of the run."""
+        files = listed_files(self.spark, path).withColumn("batch", batch_key(F.col("name")))
+        return files.groupBy("batch").agg(F.count("*").alias("n_files"), F.count_distinct("run").alias("n_runs"))
+
     def select(self, events: DataFrame, stereo_keys: DataFrame, valid: DataFrame | None = None) -> None:
         """Selected events of both telescopes with their position, or of neither.
 
@@ -175,11 +188,13 @@ class Preparation:
         n_features: int | None = None,
         until: str = STAGES[-1],
         first_file: int = 1,
+        batch: str | None = None,
     ) -> "Preparation":
         """All stages up to ``until``, each for the runs it lacks.
 
         The events come as a table or as text files below ``text``, which are converted
-        first, from the file with number ``first_file`` on. Without a model nothing is scored.
+        first, from the file with number ``first_file`` on, those of ``batch`` alone if there is one
+        (see :meth:`batches`). Without a model nothing is scored.
         """
         if until not in STAGES:
             raise ValueError(f"until must be one of {STAGES}, not {until}")
@@ -187,7 +202,7 @@ class Preparation:
             raise ValueError("give either a table of events or text files")
         steps = STAGES[: STAGES.index(until) + 1]
         if text is not None:
-            self.convert(text, valid, first_file)
+            self.convert(text, valid, first_file, batch)
             if "selected" in steps:
                 events = self.table("converted")
         if "selected" in steps:

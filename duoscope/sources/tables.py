@@ -114,9 +114,13 @@ def write_energies(
     outputs=("impute", "validate"),
     order: str | None = "seq",
     stored: bool = False,
+    by: str = "run",
 ) -> dict[str, str]:
     """Writes the requested energy tables, one folder per run, and returns their paths.
 
+    With ``by="name"`` there is a folder ``file=…`` for each prediction file instead, called as
+    the naming rule for energies has it (``names.energy_name``).
+
     ``impute`` has one number per line, a missing one as ``""`` so that every event
     keeps its line; ``validate`` (simulation only) has
     true and estimated energy with a header. Rows keep their order inside a run.
@@ -127,28 +131,31 @@ def write_energies(
     unknown = set(outputs) - {"impute", "validate"}
     if unknown:
         raise ValueError(f"unknown outputs: {sorted(unknown)}")
+    if by not in ("run", "name"):
+        raise ValueError(f"by must be run or name, not {by}")
     paths = {}
-    columns = [c for c in ("run", order, "dl", "mc_truth") if c in energies.columns]
+    columns = [c for c in (by, order, "dl", "mc_truth") if c in energies.columns]
     rows = energies.select(*columns)
     if not stored:
         rows = written(rows, "energies")
     if order in energies.columns:
-        rows = rows.repartitionByRange("run", order).sortWithinPartitions("run", order)
+        rows = rows.repartitionByRange(by, order).sortWithinPartitions(by, order)
+
+    def place(suffix: str) -> Column:
+        return F.col("run") if by == "run" else names.energy_name(F.col("name"), suffix).alias("file")
 
     def sink(out: DataFrame):
-        return (
-            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
-        )
+        return out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(out.columns[0])
 
     if "impute" in outputs:
         paths["impute"] = f"{path}/impute"
         text = fixed_decimals(impute_value(F.col("dl")))
         line = F.when(text == "", '""').otherwise(text).alias("value")
-        sink(rows.select("run", line)).text(paths["impute"])
+        sink(rows.select(place(names.IMPUTE_SUFFIX), line)).text(paths["impute"])
     if "validate" in outputs and "mc_truth" in energies.columns:
         paths["validate"] = f"{path}/validate"
         lines = rows.select(
-            "run",
+            place(names.VALIDATE_SUFFIX),
             fixed_decimals(F.col("mc_truth")).alias("MCTruth"),
             fixed_decimals(F.col("dl")).alias("DL"),
         )

@@ -109,6 +109,14 @@ def test_text_files_are_converted_once(spark, folder, inputs):
     late = Preparation(spark, f"{folder}/late")
     late.run(stereo, norm, text=f"{folder}/text", until="converted", first_file=7)
     assert late.table("converted").select("name").distinct().count() == 6
+    assert [tuple(r) for r in late.batches(f"{folder}/text").collect()] == [("2024", 12, 3)]
+    day = Preparation(spark, f"{folder}/day")
+    with pytest.raises(FileNotFoundError):
+        day.run(stereo, norm, text=f"{folder}/nowhere", until="converted", batch="2024")
+    day.run(stereo, norm, text=f"{folder}/text", until="converted", batch="2023")
+    assert day.manifest.done("converted").count() == 0
+    day.run(stereo, norm, text=f"{folder}/text", until="converted", batch="2024")
+    assert day.manifest.done("converted").count() == 3
     for call in ({"until": "nowhere", "events": events}, {}):
         with pytest.raises(ValueError):
             late.run(stereo, norm, **call)

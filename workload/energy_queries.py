@@ -186,3 +186,19 @@ def energies(spark, sf_dir):
     return rows.join(kept, "run", "left").select(
         "run", "seq", "id", F.round("dl", 6).alias("dl"), "n_lines"
     )
+
+
+@query(
+    q.sql(
+        *PRED,
+        select="""select 'normalized_GA_za05to35_8_' || run || '_Y_wr' || kind as file, count(*) as n_lines
+ from pred, (values ('_adjusted_impute.txt'), ('_adjusted_validate.txt')) k(kind) where mc group by all""",
+    )
+)
+def energy_files(spark, sf_dir):
+    """Outputs by prediction file, under their names, and the lines of each."""
+    out = shared_folder(spark, "energy-files")
+    energies_of(spark, prediction_files(spark, sf_dir, True), t.energy_norm(spark, sf_dir), "mc", out, by="name")
+    impute = spark.read.text(f"{out}/impute")
+    validate = spark.read.option("header", "true").schema("MCTruth string, DL string, file string").csv(f"{out}/validate")
+    return impute.select("file").unionByName(validate.select("file")).groupBy("file").agg(F.count("*").alias("n_lines"))
