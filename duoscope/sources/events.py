@@ -33,7 +33,8 @@ def require_nonempty(
 
     def exists(where: str) -> bool:
         try:
-            spark.read.format("binaryFile").load(where)
+            # Folders are not taken for partitions, whatever their names.
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
             return True
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
