@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duoscope.llm.common import WORD_TABLE, ship, utf8
@@ -30,6 +30,10 @@ UNIT = 2.0**-53
 TASK_ROWS = 200_000
 #: Shingles that a comparing task keeps, besides those of the two texts at hand.
 HELD_SHINGLES = 2_000_000
+#: Shingles that leave a task at once.
+BATCH_SHINGLES = 1 << 20
+#: Cells of the parity of a set; a multiple of 64.
+PARITY_BITS = 1024
 
 
 def mixed(x):
@@ -158,29 +162,8 @@ def band_keys(names, bands: int, rows: int):
     return key.view(np.int64)
 
 
-def sketch(names):
-    """Four bits of each coordinate, sixteen coordinates to a signed 64-bit number."""
-    import numpy as np
-
-    # The lowest bits choose the coordinate and say nothing more.
-    bits = ((names >> np.uint64(40)) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
-
-
-def may_be(a: str, b: str, size: int, least: float) -> Column:
-    """Whether two sketches allow a similarity of ``least``: within four standard errors of it."""
-    differing = F.lit(0)
-    for k in range(size // 16):
-        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        differing = differing + F.bit_count(x)
-    equal = least + (1 - least) / 16
-    return differing <= F.lit(int(size * (1 - equal) + 4 * math.sqrt(size * equal * (1 - equal))))
-
-
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id``, ``key`` (digest of the text), ``n`` (weight), ``bands`` and ``sketch`` of each row."""
+    """``doc_id``, ``key`` (digest of the text), ``n`` (weight) and ``bands`` of each row."""
     import numpy as np
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -188,27 +171,24 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(batches):
         tables = list(powers(SLICE_BYTES))
         for batch in batches:
-            counts, keys, sketches = [], [], []
-            for text in batch.column("text").to_pylist():
-                found = shingles(word_hashes(text, tables))
+            counts, keys = [], []
+            for text in batch.column("text"):
+                found = shingles(word_hashes(text.as_py(), tables))
                 counts.append(len(found))
                 if len(found):
                     elements, weights = np.unique(found, return_counts=True)
                     names = signature(elements, weights.astype(float), bands * rows)
-                    keys.append(band_keys(names, bands, rows).tolist())
-                    sketches.append(sketch(names).tolist())
+                    keys.append(band_keys(names, bands, rows))
                 else:
-                    keys.append([])
-                    sketches.append([])
+                    keys.append(np.zeros(0, np.int64))
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()),
-                 pa.array(keys, lists), pa.array(sketches, lists)],
-                ["doc_id", "key", "n", "bands", "sketch"],
+                [batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()), pa.array(keys, lists)],
+                ["doc_id", "key", "n", "bands"],
             )
 
     keyed = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    return keyed.mapInArrow(run, f"doc_id {kind}, key string, n long, bands array<long>, sketch array<long>")
+    return keyed.mapInArrow(run, f"doc_id {kind}, key string, n long, bands array<long>")
 
 
 def multiset(text: str | None, tables: list):
@@ -267,6 +247,96 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return whole.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def elements_of(texts: DataFrame) -> DataFrame:
+    """``node``, ``comp``, ``n``, ``elements``: the shingles of each text, a repeated one with its number.
+
+    Weighted similarity is then that of plain sets. ``parity`` has for each of ``PARITY_BITS``
+    cells whether an odd number of elements fall into it. Rows go out in batches of
+    bounded size.
+    """
+    import numpy as np
+
+    def parity(found):
+        odd = np.bincount((found >> np.uint64(32)) % np.uint64(PARITY_BITS), minlength=PARITY_BITS) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+    def run(batches):
+        tables = list(powers(SLICE_BYTES))
+
+        def rows(batch, begin, held):
+            lists = pa.array([e.view(np.int64) for e in held], pa.list_(pa.int64()))
+            sizes = pa.array([len(e) for e in held], pa.int64())
+            part = batch.slice(begin, len(held))
+            return pa.RecordBatch.from_arrays(
+                [part.column("node"), part.column("comp"), sizes, lists,
+                 pa.array([parity(e) for e in held], pa.list_(pa.int64()))],
+                ["node", "comp", "n", "elements", "parity"],
+            )
+
+        for batch in batches:
+            begin, held, weight = 0, [], 0
+            for text in batch.column("text"):
+                unique, counts, n = multiset(text.as_py(), tables)
+                number = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
+                held.append(mixed(np.repeat(unique, counts) + number.astype(np.uint64) * np.uint64(BASE)))
+                weight += n
+                if weight >= BATCH_SHINGLES:
+                    yield rows(batch, begin, held)
+                    begin, held, weight = begin + len(held), [], 0
+            if held:
+                yield rows(batch, begin, held)
+
+    schema = "node long, comp long, n long, elements array<long>, parity array<long>"
+    return texts.select("node", "comp", "text").mapInArrow(run, schema)
+
+
+def between_classes(texts: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a`` < ``b`` of nodes of different classes that may be as similar as ``least``; none that is goes missing.
+
+    ``texts``: ``node``, ``comp``, ``text``. Two sets of this similarity share ``least`` of
+    the elements of either. With elements in one order for all, the rarest first, they
+    therefore share one among the first ``n - least * n + 1`` of each. Elements that only one
+    text has take places there and are no one's partner: a text with enough of them has none.
+    What follows the first shared element bounds how many they can share, and the cells
+    in which their parities differ bound from below how many they do not share.
+    """
+    elements = written(elements_of(texts), "elements")
+    each = elements.select("node", "comp", "n", F.explode("elements").alias("element"))
+    shared = each.groupBy("element").agg(
+        F.count("*").alias("_f"), (F.min("comp") < F.max("comp")).alias("_several")
+    )
+    met = each.join(shared.filter("_f > 1"), "element")
+    own = Window.partitionBy("node")
+    alone = F.col("n") - F.count("*").over(own)
+    at = alone + F.row_number().over(own.orderBy("_f", "element"))
+    first = F.col("n") - F.ceil(F.col("n") * F.lit(least) - F.lit(1e-6)) + 1
+    prefix = met.withColumn("at", at).filter((F.col("at") <= first) & F.col("_several"))
+    prefix = prefix.select("element", "node", "comp", "n", "at").join(elements.select("node", "parity"), "node")
+    prefix = written(prefix, "prefixes")
+    other = prefix.select(
+        "element",
+        F.col("node").alias("b"),
+        F.col("comp").alias("comp_b"),
+        F.col("n").alias("m"),
+        F.col("at").alias("at_b"),
+        F.col("parity").alias("parity_b"),
+    )
+    both = F.col("n") + F.col("m")
+    close = F.least("n", "m") >= F.lit(least) * F.greatest("n", "m")
+    enough = 1 + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at_b")) >= both * (least / (1 + least)) - 1e-6
+    unlike = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        unlike = unlike + F.bit_count(F.get("parity", F.lit(k)).bitwiseXOR(F.get("parity_b", F.lit(k))))
+    alike = unlike <= both * ((1 - least) / (1 + least)) + 1e-6
+    return (
+        prefix.withColumnRenamed("node", "a")
+        .join(other, "element")
+        .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & close & enough & alike)
+        .select("a", "b")
+        .distinct()
+    )
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` in no more tasks than its number of rows calls for."""
     return df.coalesce(max(1, math.ceil(rows / TASK_ROWS)))
@@ -310,19 +380,17 @@ def near_duplicates(
 
     Equal texts are one node. In each band's bucket all nodes are compared with one
     of them, chosen by a hash so that a node meets others in each band. Where that
-    leaves a bucket in several classes, the pairs between classes are compared as
-    well, unless their signatures agree so rarely that a similarity of ``least`` is
-    four standard errors away; pairs within a class need not be. Lengths that rule
-    the similarity out are not compared. So a bucket of near copies costs as many
-    pairs as it has members, and those that are linked to none of them cost more.
+    leaves a bucket in several classes, its nodes are compared with nodes of other
+    classes as well, as far as :func:`between_classes` does not rule them out, which it
+    does exactly; pairs within a class need not be. Lengths that rule the similarity
+    out are not compared. So a bucket of near copies costs about as many pairs as it
+    has members.
     """
-    if bands * rows % 16:
-        raise ValueError("bands times rows must be a multiple of 16")
     rowwise = written(signed(docs, bands, rows), "signatures")
     nodes = written(
         rowwise.filter("n > 0")
         .groupBy("key")
-        .agg(*[F.first(c).alias(c) for c in ("n", "bands", "sketch")])
+        .agg(*[F.first(c).alias(c) for c in ("n", "bands")])
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
@@ -351,35 +419,14 @@ def near_duplicates(
     several = (
         placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
     )
-    left = written(
-        placed.join(several.select("bucket"), "bucket")
-        .join(nodes.select("node", "sketch"), "node")
-        .select("bucket", "node", "n", "comp", "sketch"),
-        "open",
-    )
-    right = left.select(
-        "bucket",
-        F.col("node").alias("b"),
-        F.col("n").alias("m"),
-        F.col("comp").alias("comp_b"),
-        F.col("sketch").alias("sketch_b"),
-    )
-    likely = may_be("sketch", "sketch_b", bands * rows, least)
-    second = (
-        left.withColumnRenamed("node", "a")
-        .join(right, "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & close & likely)
-        .select("a", "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    left = written(placed.join(several.select("bucket"), "bucket").select("node", "comp").distinct(), "open")
+    second = between_classes(texts.join(left, "node"), least).join(first, ["a", "b"], "left_anti")
     more = written(verified(second, texts, least), "links")
     names = nodes.select("key", "node").join(classes, "node", "left")
     names = names.select("key", F.coalesce("comp", "node").alias("comp"))
     if not more.isEmpty():
         # Links between classes: the classes are the nodes of a smaller graph.
-        of_node = left.select("node", "comp").distinct()
-        ends = more.join(of_node.toDF("a", "x"), "a").join(of_node.toDF("b", "y"), "b")
+        ends = more.join(left.toDF("a", "x"), "a").join(left.toDF("b", "y"), "b")
         joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
         names = names.join(joined.toDF("comp", "whole"), "comp", "left").select(
             "key", F.coalesce("whole", "comp").alias("comp")

@@ -9,6 +9,7 @@ import sys
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -271,6 +272,43 @@ def test_simhash(docs, empty):
     assert all(r.near_edited == 1 for r in got if r.n_chars < 2)
 
 
+def plain_fingerprint(text: str) -> int:
+    """64 votes of the hashes of all runs of five words, one after the other."""
+    words = text.translate({k: k + 32 for k in range(65, 91)}).split()
+    if not words:
+        return 0
+    votes = [0] * 64
+    runs = [words[k : k + 5] for k in range(max(1, len(words) - 4))]
+    for run in runs:
+        h = 42
+        for word in run:
+            h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+        for bit in range(64):
+            votes[bit] += h >> bit & 1
+    return sum(1 << bit for bit in range(64) if 2 * votes[bit] > len(runs))
+
+
+def test_fingerprints_against_plain_votes(spark):
+    rows = [(k, prose(k, 3 + 4 * k, "abAB"), None) for k in range(12)] + [(20, "", None), (21, "One  two\nTHREE", None)]
+    rows += [(30 + k, prose(5, 200) + f" {k}", None) for k in range(4)]
+    got = {r.doc_id: r for r in simhash.fingerprints(frame(spark, rows)).collect()}
+    prints = {k: plain_fingerprint(t) for k, t, _ in rows}
+    assert {k: r.fingerprint for k, r in got.items()} == {k: f"{v:016x}" for k, v in prints.items()}
+    order = sorted(prints)
+    text = {k: t for k, t, _ in rows}
+    far = lambda a, b: bin(a ^ b).count("1")
+    for at, k in enumerate(order):
+        after = order[(at + 1) % len(order)]
+        half = len(text[k]) // 2
+        edited = plain_fingerprint(text[k][: len(text[k]) - half] + text[after][:half])
+        assert got[k].edited_fingerprint == f"{edited:016x}"
+        assert got[k].near_edited == 1 - far(prints[k], edited) / 64
+        assert got[k].near_next == 1 - far(prints[k], prints[after]) / 64
+        others = {v for v in prints.values() if v != prints[k] and far(v, prints[k]) <= simhash.RADIUS}
+        assert got[k].n_near == len(others)
+    assert max(r.n_near for r in got.values()) > 0
+
+
 def test_single_document_follows_itself(spark):
     row = simhash.fingerprints(frame(spark, [(5, "abcd efgh", None)])).first()
     assert row.edited_sha256 == plain.sha(b"abcd abcd") and row.near_next == 1
@@ -337,11 +375,11 @@ def test_languages(spark, docs, empty):
     langs, model = language.train(frame(spark, [*rows, (9, None, "xx"), (10, "words", None)]))
     assert langs == ["de", "en", "fr"]
     mixed = (TEACH["en"] + " ") * 6 + (TEACH["de"] + " ") * 4
-    tests = frame(spark, [*rows, (20, mixed, None), (21, None, None), (22, "12 !", "en"), (23, "", "en")])
+    tests = frame(spark, [*rows, (20, mixed, None), (21, None, None), (22, "12 !", "en"), (23, "", "en"), (24, "\u00bd \u00b2 \u2167", None)])
     got = {r.doc_id: r[language.ANSWER] for r in language.predict(tests, langs, model).collect()}
     assert [got[k].lang_pred for k in range(3)] == ["en", "fr", "de"] and got[0].score == 1.0
     assert got[20].langs == ["en", "de"] and 0.5 < got[20].score < 0.7
-    assert all(got[k].lang_pred == "und" and got[k].score == 0.0 for k in (21, 22, 23))
+    assert all(got[k].lang_pred == "und" and got[k].score == 0.0 for k in (21, 22, 23, 24))
     assert language.predict(docs, langs, model).count() == len(ROWS)
     assert language.predict(empty, langs, model).count() == 0
     none, blank = language.train(empty)
@@ -431,17 +469,23 @@ def test_links_across_long_chains(spark):
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 104)}}
 
 
-def test_sketches_keep_similar_pairs(spark):
-    r = np.random.default_rng(2)
-    rows, want = [], []
-    for k in range(60):
-        a = np.unique(r.integers(0, 1 << 62, 200)).astype(np.uint64)
-        b = a.copy()
-        cut = [10, 22, 120][k % 3]  # similarities of 0.90, 0.80 and 0.25
-        b[:cut] += np.uint64(1)
-        names = [minhash.signature(x, np.ones(len(x)), 192) for x in (a, b)]
-        rows.append((k, *(minhash.sketch(n).tolist() for n in names)))
-        want.append(k % 3 < 2)
-    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
-    got = [x.m for x in df.orderBy("k").select(minhash.may_be("a", "b", 192, 0.8).alias("m")).collect()]
-    assert got == want
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_no_pair_between_classes_goes_missing(spark, least):
+    """Texts around one base at similarities from 0 to 1; every second one is of class 0."""
+    r = random.Random(2)
+    base = [prose(k, 1, "abcdefgh") for k in range(60)] * 2
+    texts = []
+    for k in range(120):
+        words = [w if r.random() > k / 400 else prose(1000 + r.randrange(50), 1) for w in base]
+        texts.append(" ".join(words[: len(words) - r.randint(0, 20)]))
+    comps = [0 if k % 2 else k for k in range(len(texts))]
+    df = spark.createDataFrame(list(zip(range(len(texts)), comps, texts)), "node long, comp long, text string")
+    got = {(p.a, p.b) for p in minhash.between_classes(df, least).collect()}
+    tables = list(minhash.powers(1 << 20))
+    sets = [minhash.multiset(t, tables) for t in texts]
+    near = {
+        (a, b) for b in range(len(texts)) for a in range(b)
+        if comps[a] != comps[b] and minhash.similarity(sets[a], sets[b]) >= least
+    }
+    every = sum(comps[a] != comps[b] for b in range(len(texts)) for a in range(b))
+    assert near and near <= got and len(got) < every / 2
