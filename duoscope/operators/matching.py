@@ -19,10 +19,12 @@ and down a tree of blocks, and all blocks are walked at once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -541,3 +543,7 @@ def match_events(
         *GROUP, "status", "n_calib", "n_ref", n_kept.cast("long").alias("n_kept")
     )
     return Match(kept, status)
+
+
+# Functions of this module go to the tasks by value: executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

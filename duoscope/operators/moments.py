@@ -8,8 +8,11 @@ over many runs reads their states alone, never their events.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,3 +196,7 @@ def mean_of_runs(states: DataFrame, mc: bool = False, mc_norm: DataFrame | None
 
     norm = rows.groupBy("pos").agg(nanmean(F.col("_s.mean"), "mean"), nanmean(std, "std"))
     return norm if mc or mc_norm is None else with_mc_energy(norm, mc_norm)
+
+
+# Functions of this module go to the tasks by value: executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
