@@ -47,9 +47,12 @@ def mean_of_file_stats(
 ) -> DataFrame:
     """Unweighted mean over files of each file's mean and std, NaN left out.
 
-    A norm of observed events gets the energy row of ``mc_norm`` in front.
+    A norm of observed events gets the energy row of ``mc_norm`` in front. The events of a file are
+    brought together (``rebalance``, which splits large files) before they are taken apart into values:
+    otherwise every task would send a row per file and feature, one for nearly every value.
     """
-    per_file = feature_stats(events, mc, (file,))
+    columns = [file, *(["energy"] if mc else []), "pix", "zd", "az"]
+    per_file = feature_stats(events.select(*columns).hint("rebalance", file), mc, (file,))
 
     def nanmean(name: str) -> Column:
         return F.avg(F.when(~F.isnan(name), F.col(name))).alias(name)

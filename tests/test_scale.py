@@ -1,7 +1,9 @@
 """What is written, gathered and broadcast when tables grow."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from duoscope.operators import statistics as stt
 from duoscope.operators import stereo as st
 from duoscope.sources.shared import written
 
@@ -18,3 +20,16 @@ def test_narrow_tables_are_as_large_as_their_rows(spark):
     events = stored.withColumn("pix", F.array(F.lit(1.0)))
     plan = st.attach_position(events, stored)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_events_of_a_file_are_gathered_before_they_are_taken_apart(spark):
+    rows = spark.range(60).select(
+        (F.col("id") % 3).cast("string").alias("run"),
+        F.col("id").cast("double").alias("zd"),
+        F.lit(1.0).alias("az"),
+        F.array(F.col("id").cast("float")).alias("pix"),
+    )
+    norm = stt.mean_of_file_stats(rows.repartition(7), mc=False)
+    plan = norm._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan.split("Generate")[-1]
+    assert [r["mean"] for r in norm.orderBy("pos").collect()] == pytest.approx([29.5, 29.5, 1.0])
