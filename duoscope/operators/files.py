@@ -109,8 +109,12 @@ def unlisted_files(events: DataFrame, batched: DataFrame) -> DataFrame:
 
 
 def write_batches(stacked: DataFrame, path: str, max_records: int = 0) -> None:
-    """One folder per batch; ``max_records`` bounds the rows per file."""
-    stacked.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(
+    """One folder per batch; ``max_records`` bounds the rows per file.
+
+    The rows of a batch are brought together first (``rebalance``, which splits large batches), instead
+    of one small file per task and batch.
+    """
+    stacked.hint("rebalance", "batch").write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(
         "batch"
     ).parquet(path)
 

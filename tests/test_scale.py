@@ -1,13 +1,20 @@
 """What is written, gathered and broadcast when tables grow."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from duoscope.operators import files as fi
 from duoscope.operators import statistics as stt
 from duoscope.operators import stereo as st
 from duoscope.sources.shared import written
 
 
+def part_files(folder):
+    return [name for _, _, names in os.walk(folder) for name in names if name.startswith("part-")]
+
+
 def test_narrow_tables_are_as_large_as_their_rows(spark):
     """Positions compress to next to nothing; the driver must not collect them for a broadcast."""
     rows = spark.range(600_000).select(
@@ -33,3 +40,10 @@ def test_events_of_a_file_are_gathered_before_they_are_taken_apart(spark):
     plan = norm._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan.split("Generate")[-1]
     assert [r["mean"] for r in norm.orderBy("pos").collect()] == pytest.approx([29.5, 29.5, 1.0])
+
+
+def test_a_batch_is_not_one_file_per_task(spark, folder):
+    rows = spark.range(60).select((F.col("id") % 3).alias("batch"), F.lit("x").alias("name"), "id").repartition(7)
+    fi.write_batches(rows, f"{folder}/out")
+    assert len(part_files(f"{folder}/out")) == 3
+    assert spark.read.parquet(f"{folder}/out").count() == 60
