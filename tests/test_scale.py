@@ -5,10 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import QUERIES
 from duoscope.operators import files as fi
 from duoscope.operators import statistics as stt
 from duoscope.operators import stereo as st
+from duoscope.sources import events as ev
 from duoscope.sources.shared import written
+from workload import tables as t
 
 
 def part_files(folder):
@@ -47,3 +50,35 @@ def test_a_batch_is_not_one_file_per_task(spark, folder):
     fi.write_batches(rows, f"{folder}/out")
     assert len(part_files(f"{folder}/out")) == 3
     assert spark.read.parquet(f"{folder}/out").count() == 60
+
+
+@pytest.fixture(scope="module")
+def small(spark, tmp_path_factory):
+    """Six runs of twenty events and their features."""
+    place = str(tmp_path_factory.mktemp("small"))
+    day = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 9000)
+    spark.range(120).select(
+        F.col("id").alias("event_id"),
+        day.alias("ts"),
+        (F.col("id") % 6).alias("user_id"),
+        F.when(F.col("id") % 5 == 0, "error").otherwise("click").alias("event_type"),
+        (F.col("id") + 1.5).alias("value"),
+    ).write.parquet(f"{place}/events.parquet")
+    pix = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (i + F.col("id")).cast("float"))
+    spark.range(10).select(F.col("id").alias("vec_id"), pix.alias("embedding")).write.parquet(f"{place}/embeddings.parquet")
+    return place
+
+
+def test_events_of_a_join_are_written_run_by_run(spark, small, monkeypatch):
+    """One file per run and telescope, however many tasks the joined table has."""
+    where, write = [], ev.write_events
+
+    def spy(rows, path, *args, **options):
+        where.append(path)
+        return write(rows.repartition(7), path, *args, **options)
+
+    monkeypatch.setattr(ev, "write_events", spy)
+    rows = QUERIES["write_events"](spark, small)
+    assert rows.count() == t.calib(spark, small).count()
+    groups = t.calib(spark, small).select("run", "tel").distinct().count()
+    assert len(set(where)) == 1 and len(part_files(where[0])) == groups
