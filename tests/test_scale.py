@@ -82,3 +82,8 @@ def test_events_of_a_join_are_written_run_by_run(spark, small, monkeypatch):
     assert rows.count() == t.calib(spark, small).count()
     groups = t.calib(spark, small).select("run", "tel").distinct().count()
     assert len(set(where)) == 1 and len(part_files(where[0])) == groups
+
+
+def test_keys_are_read_without_writing_features(spark, small):
+    columns = spark.read.parquet(*t.calib(spark, small).inputFiles()).columns
+    assert "pix" not in columns and {"run", "tel", "seq", "nanotime", "time2", "id"} <= set(columns)
