@@ -87,3 +87,11 @@ def test_events_of_a_join_are_written_run_by_run(spark, small, monkeypatch):
 def test_keys_are_read_without_writing_features(spark, small):
     columns = spark.read.parquet(*t.calib(spark, small).inputFiles()).columns
     assert "pix" not in columns and {"run", "tel", "seq", "nanotime", "time2", "id"} <= set(columns)
+
+
+def test_tasks_of_day_files_are_bounded_in_rows(spark, small, monkeypatch):
+    """Narrow rows are not merged into few tasks before their features are joined to them."""
+    monkeypatch.setattr(t, "DAY_ROWS", 10)
+    plan = t.day_events(spark, small)._jdf.queryExecution().executedPlan().toString()
+    ranges = next(line for line in plan.splitlines() if "Exchange rangepartitioning" in line)
+    assert ", 24), REPARTITION_BY_NUM" in ranges
