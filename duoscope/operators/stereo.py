@@ -94,6 +94,14 @@ def key_status(m1: DataFrame, m2: DataFrame, keys: Sequence[str], quarantine: st
     return _key_status(key_counts(m1, m2, keys), quarantine)
 
 
+def last_rows(kept: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+    """The last two rows of every run and telescope, found on the narrow ``kept`` table."""
+    if ends is None:
+        ends = kept.groupBy("run", "tel").agg(F.max("sseq").alias("_end"))
+    last = kept.join(ends.select("run", "tel", "_end"), ["run", "tel"])
+    return last.filter(F.col("sseq") >= F.col("_end") - 1).drop("_end")
+
+
 def position_status(events: DataFrame, kept: DataFrame) -> DataFrame:
     """Whether the rows of a run may be paired by position: run, n_1, n_2, tail flags, ``status``.
 
@@ -102,7 +110,7 @@ def position_status(events: DataFrame, kept: DataFrame) -> DataFrame:
     ``ok``. Features are read for the last two rows of a run alone.
     """
     ends = kept.groupBy("run", "tel").agg(F.max("sseq").alias("_end"), F.count("*").alias("_n"))
-    last = kept.join(ends, ["run", "tel"]).filter(F.col("sseq") >= F.col("_end") - 1)
+    last = last_rows(kept, ends)
     columns = [c for c in (*CARRIED, "pix") if c in events.columns]
     tails = listed(
         events.select("run", "tel", "seq", *columns).join(

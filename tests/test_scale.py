@@ -95,3 +95,10 @@ def test_tasks_of_day_files_are_bounded_in_rows(spark, small, monkeypatch):
     plan = t.day_events(spark, small)._jdf.queryExecution().executedPlan().toString()
     ranges = next(line for line in plan.splitlines() if "Exchange rangepartitioning" in line)
     assert ", 24), REPARTITION_BY_NUM" in ranges
+
+
+def test_last_rows_are_found_on_the_keys(spark):
+    kept = spark.createDataFrame(
+        [("a", "M1", s, 10 * s) for s in range(4)] + [("a", "M2", 0, 5)], "run string, tel string, sseq long, seq long"
+    )
+    assert sorted(tuple(r) for r in st.last_rows(kept).collect()) == [("a", "M1", 2, 20), ("a", "M1", 3, 30), ("a", "M2", 0, 5)]

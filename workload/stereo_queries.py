@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from duoscope.operators import stereo as st
 from duoscope.sources import events as ev
-from duoscope.sources.shared import shared_folder
+from duoscope.sources.shared import listed, shared_folder, written
 from workload import sql as q
 from workload import tables as t
 from workload.registry import query
@@ -322,7 +322,8 @@ def pair_with_indicator(spark, sf_dir):
     )
 )
 def tail_duplicate(spark, sf_dir):
-    rows = st.attach_position(t.calib_events(spark, sf_dir), selected(spark, sf_dir).kept)
+    last = listed(st.last_rows(selected(spark, sf_dir).kept), "last-rows")
+    rows = written(st.attach_position(t.calib_events(spark, sf_dir), last), "tails")
     return st.tail_duplicate(rows, ["nanotime", "time2", "id", "zd", "az", "pix"])
 
 
