@@ -102,3 +102,18 @@ def test_last_rows_are_found_on_the_keys(spark):
         [("a", "M1", s, 10 * s) for s in range(4)] + [("a", "M2", 0, 5)], "run string, tel string, sseq long, seq long"
     )
     assert sorted(tuple(r) for r in st.last_rows(kept).collect()) == [("a", "M1", 2, 20), ("a", "M1", 3, 30), ("a", "M2", 0, 5)]
+
+
+def test_key_files_are_not_listed_to_infer_their_columns(spark, folder, monkeypatch):
+    for run in range(3):
+        with open(f"{folder}/2024_{run}_S_x.csv", "w") as out:
+            out.write("nanotime_1,time2_1,id_1,nanotime_2,time2_2,id_2\n1,2,3,4,5,6\n")
+    asked, look = [], ev.require_nonempty
+
+    def spy(spark, path, fmt="text", schema=None, **options):
+        asked.append((fmt, schema))
+        return look(spark, path, fmt, schema, **options)
+
+    monkeypatch.setattr(ev, "require_nonempty", spy)
+    assert ev.read_stereo_keys(spark, folder).count() == 6
+    assert all(schema is not None for fmt, schema in asked if fmt == "csv")
