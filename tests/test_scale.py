@@ -89,6 +89,16 @@ def test_keys_are_read_without_writing_features(spark, small):
     assert "pix" not in columns and {"run", "tel", "seq", "nanotime", "time2", "id"} <= set(columns)
 
 
+def test_keys_are_those_of_the_events_with_features(spark, small, folder):
+    """A row of features that comes twice doubles its events in either table."""
+    spark.read.parquet(f"{small}/events.parquet").write.parquet(f"{folder}/events.parquet")
+    twice = spark.read.parquet(f"{small}/embeddings.parquet")
+    twice.unionByName(twice.filter("vec_id = 3")).write.parquet(f"{folder}/embeddings.parquet")
+    key = ["run", "tel", "seq"]
+    keys, events = (sorted(map(tuple, rows.select(key).collect())) for rows in (t.calib(spark, folder), t.calib_events(spark, folder)))
+    assert keys == events and len(keys) > len(set(keys))
+
+
 def test_tasks_of_day_files_are_bounded_in_rows(spark, small, monkeypatch):
     """Narrow rows are not merged into few tasks before their features are joined to them."""
     monkeypatch.setattr(t, "DAY_ROWS", 10)
