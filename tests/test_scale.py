@@ -127,3 +127,18 @@ def test_key_files_are_not_listed_to_infer_their_columns(spark, folder, monkeypa
     monkeypatch.setattr(ev, "require_nonempty", spy)
     assert ev.read_stereo_keys(spark, folder).count() == 6
     assert all(schema is not None for fmt, schema in asked if fmt == "csv")
+
+
+def test_files_of_selected_events_do_not_follow_the_runs(spark, folder):
+    """A hundred runs in four folders; a rewritten run is replaced, those that share its folder stay."""
+    rows = spark.range(400).selectExpr(
+        "concat('r', id % 100) run", "if(id % 200 < 100, 'M1', 'M2') tel", "id as sseq", "array(cast(id as float)) pix"
+    )
+    ev.write_filtered(rows.repartition(7), folder + "/out", 4)
+    assert len(part_files(f"{folder}/out")) <= 4
+    other = rows.filter("run in ('r3', 'r4') and tel = 'M1'").withColumn("sseq", -F.col("sseq"))
+    again = ev.write_filtered(other, folder + "/out", 4)
+    want = rows.filter("run not in ('r3', 'r4')").unionByName(other)
+    key = ["run", "tel", "sseq"]
+    found = sorted(map(tuple, again.select(key).collect()))
+    assert found == sorted(map(tuple, want.select(key).collect())) and len(found) == 396
