@@ -1,13 +1,14 @@
 """The preparation as stages on disk that go on where the last attempt ended.
 
-Every stage keeps a manifest of the runs it has finished. The rows of a run are written
-first, replacing whatever an earlier attempt left of it, and the manifest is added to after
-that. A repeated call therefore works on the runs that are missing, stage by stage, and reads
-nothing of the others but the manifest.
+Every stage keeps a manifest of the runs it has finished. An attempt writes the rows of its
+runs into a folder of its own and adds to the manifest after that; rows of an attempt that the
+manifest does not name for a run do not count. A repeated call therefore works on the runs that
+are missing, stage by stage, and reads nothing of the others but the manifest.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,17 +22,17 @@ from duoscope.operators.matching import ACCEPTED, DATA_KEYS, MC_KEYS
 from duoscope.operators.normalise import normalize_pixels
 from duoscope.operators.selection import from_nth_file, select_events
 from duoscope.operators.stereo import attach_position, stereo_of_positions
-from duoscope.sources.events import listed_files, parse_calib, text_of, with_seq, write_events
-from duoscope.sources.shared import listed
+from duoscope.sources.events import PART, listed_files, parse_calib, text_of, with_seq, write_filtered
+from duoscope.sources.shared import listed, many_folders
 from duoscope.sources.tables import write_energies
 
 STAGES = ("converted", "selected", "stereo", "normalized", "energies")
-MANIFEST = "run string, status string, n_rows long"
+MANIFEST = "run string, status string, n_rows long, attempt string"
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """Runs that a stage has finished: run, status, n_rows."""
+    """Runs that a stage has finished: run, status, n_rows, and the attempt that wrote their rows."""
 
     spark: SparkSession
     path: str
@@ -44,14 +45,14 @@ class Manifest:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], MANIFEST)
-        last = F.max_by(F.struct("status", "n_rows"), "at").alias("_last")
+        last = F.max_by(F.struct("status", "n_rows", "attempt"), "at").alias("_last")
         return rows.groupBy("run").agg(last).select("run", "_last.*")
 
     def commit(self, stage: str, rows: DataFrame) -> None:
         """Adds runs whose rows are on disk."""
-        rows.select("run", "status", F.col("n_rows").cast("long"), F.current_timestamp().alias("at")).coalesce(
-            1
-        ).write.mode("append").parquet(f"{self.path}/{stage}")
+        rows.select(
+            "run", "status", F.col("n_rows").cast("long"), "attempt", F.current_timestamp().alias("at")
+        ).coalesce(1).write.mode("append").parquet(f"{self.path}/{stage}")
 
     def missing(self, stage: str, runs: DataFrame) -> DataFrame:
         """The ``runs`` that the stage has not finished."""
@@ -77,19 +78,35 @@ class Preparation:
         return MC_KEYS if self.mode == "mc" else DATA_KEYS
 
     def table(self, stage: str) -> DataFrame:
-        """The rows of a stage; run numbers stay text."""
-        path = f"{self.out}/{stage}"
-        schema = self.spark.read.parquet(path).drop("run", "tel").schema
-        parts = "run string, tel string" if stage in ("converted", "selected") else "run string"
-        for field in parts.split(", "):
-            schema = schema.add(*field.split(" "))
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _finish(self, stage: str, rows: DataFrame, todo: DataFrame, by=("run",)) -> None:
+        """The rows of the runs that a stage has finished."""
+        done = self.manifest.done(stage).filter("n_rows > 0").select("run", F.col("attempt").alias("_attempt"))
+        with many_folders(self.spark):
+            # The partition column is text whatever its values look like.
+            rows = self.spark.read.parquet(f"{self.out}/{stage}").drop("attempt")
+            schema = rows.schema.add("attempt", "string")
+            rows = self.spark.read.schema(schema).parquet(f"{self.out}/{stage}")
+        here = (F.col("_run") == F.col("run")) & (F.col("_attempt") == F.col("attempt"))
+        return rows.join(done.withColumnRenamed("run", "_run"), here, "left_semi").drop("attempt", PART)
+
+    def _write(self, stage: str, rows: DataFrame) -> tuple[DataFrame, str]:
+        """Rows in the folder of a new attempt, and its name."""
+        attempt = uuid.uuid4().hex
+        path = f"{self.out}/{stage}/attempt={attempt}"
+        if "pix" in rows.columns:
+            return write_filtered(rows, path), attempt
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path), attempt
+
+    def _finish(self, stage: str, rows: DataFrame, todo: DataFrame) -> None:
         """Writes the rows of the runs in ``todo``, then says so; a run without rows is finished as well."""
-        stored = write_events(rows, f"{self.out}/{stage}", by, gather=True)
-        counts = stored.join(todo, "run", "left_semi").groupBy("run").agg(F.count("*").alias("n_rows"))
-        found = todo.join(counts, "run", "left").select("run", F.lit("ok").alias("status"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+        stored, attempt = self._write(stage, rows)
+        counts = stored.groupBy("run").agg(F.count("*").alias("n_rows"))
+        found = todo.join(counts, "run", "left").select(
+            "run",
+            F.lit("ok").alias("status"),
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            F.lit(attempt).alias("attempt"),
+        )
         self.manifest.commit(stage, found)
 
     def convert(
@@ -111,7 +128,7 @@ class Preparation:
             return
         lines = text_of(self.spark, files.join(todo, "run", "left_semi"))
         rows = with_seq(parse_calib(lines.select("*", F.monotonically_increasing_id().alias("split_row"))))
-        self._finish("converted", rows, todo, ("run", "tel"))
+        self._finish("converted", rows, todo)
 
     def batches(self, path: str) -> DataFrame:
         """batch, n_files, n_runs: the units of work below a path, by date or beginning of the run."""
@@ -128,7 +145,7 @@ class Preparation:
             return
         here = [df if df is None else df.join(todo, "run", "left_semi") for df in (events, stereo_keys, valid)]
         match = select_events(here[0], here[1], here[2], self.keys)
-        write_events(attach_position(here[0], match.kept), f"{self.out}/selected", ("run", "tel"), gather=True)
+        _, attempt = self._write("selected", attach_position(here[0], match.kept))
         per_run = match.status.groupBy("run").agg(
             F.min(F.when(~F.col("status").isin(*ACCEPTED), F.col("status"))).alias("_failed"),
             F.max(F.col("status") == "missing_files").alias("_open"),
@@ -136,7 +153,9 @@ class Preparation:
         )
         self.manifest.commit(
             "selected",
-            per_run.filter(~F.col("_open")).select("run", F.coalesce("_failed", F.lit("ok")).alias("status"), "n_rows"),
+            per_run.filter(~F.col("_open")).select(
+                "run", F.coalesce("_failed", F.lit("ok")).alias("status"), "n_rows", F.lit(attempt).alias("attempt")
+            ),
         )
 
     def _next(self, stage: str, before: str) -> tuple[DataFrame, DataFrame] | None:
@@ -170,12 +189,11 @@ class Preparation:
             scored = scored.withColumnRenamed("energy", "mc_truth")
         adjusted = adjust_energy(scored, norm)
         write_energies(adjusted, f"{self.out}/lines", outputs, order="sseq")
-        path = f"{self.out}/energies"
-        adjusted.hint("rebalance", "run").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "run"
-        ).parquet(path)
-        counts = self.table("energies").join(todo, "run", "left_semi").groupBy("run").agg(F.count("*").alias("n_rows"))
-        self.manifest.commit("energies", counts.withColumn("status", F.lit("ok")))
+        stored, attempt = self._write("energies", adjusted)
+        counts = stored.groupBy("run").agg(F.count("*").alias("n_rows"))
+        self.manifest.commit(
+            "energies", counts.select("run", F.lit("ok").alias("status"), "n_rows", F.lit(attempt).alias("attempt"))
+        )
 
     def run(
         self,

@@ -9,7 +9,9 @@ from __spark_entry__ import QUERIES
 from duoscope.operators import files as fi
 from duoscope.operators import statistics as stt
 from duoscope.operators import stereo as st
+from duoscope.plans.resume import Preparation
 from duoscope.sources import events as ev
+from duoscope.sources import shared
 from duoscope.sources.shared import written
 from workload import tables as t
 
@@ -142,3 +144,19 @@ def test_files_of_selected_events_do_not_follow_the_runs(spark, folder):
     key = ["run", "tel", "sseq"]
     found = sorted(map(tuple, again.select(key).collect()))
     assert found == sorted(map(tuple, want.select(key).collect())) and len(found) == 396
+
+
+def test_folders_are_listed_by_few_tasks(spark):
+    before = spark.conf.get(shared.LISTING_CONF)
+    with shared.many_folders(spark):
+        assert int(spark.conf.get(shared.LISTING_CONF)) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(shared.LISTING_CONF) == before
+
+
+def test_stages_have_no_folder_per_run(spark, folder):
+    prep = Preparation(spark, folder + "/out")
+    rows = spark.range(6).selectExpr("concat('0', id % 3) run", "'M1' tel", "id as sseq", "array(cast(id as float)) pix")
+    prep._write("stereo", rows.withColumn("sseq", F.lit(-1)))  # an attempt that was lost before its manifest
+    prep._finish("stereo", rows, rows.select("run").distinct())
+    assert {r["sseq"] for r in prep.table("stereo").collect()} == set(range(6))
+    assert not [f for f in part_files(folder + "/out/stereo") if "run=" in str(f)]
