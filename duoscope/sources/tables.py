@@ -139,7 +139,9 @@ def write_energies(
     if not stored:
         rows = written(rows, "energies")
     if order in energies.columns:
-        rows = rows.repartitionByRange(by, order).sortWithinPartitions(by, order)
+        # A given number of ranges: folders take the time, and by their size these narrow rows are few tasks.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(tasks, by, order).sortWithinPartitions(by, order)
 
     def place(suffix: str) -> Column:
         return F.col("run") if by == "run" else names.energy_name(F.col("name"), suffix).alias("file")

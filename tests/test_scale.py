@@ -156,7 +156,7 @@ def test_folders_are_listed_by_few_tasks(spark):
 def test_stages_have_no_folder_per_run(spark, folder):
     prep = Preparation(spark, folder + "/out")
     rows = spark.range(6).selectExpr("concat('0', id % 3) run", "'M1' tel", "id as sseq", "array(cast(id as float)) pix")
-    prep._write("stereo", rows.withColumn("sseq", F.lit(-1)))  # an attempt that was lost before its manifest
+    prep._write("stereo", rows.selectExpr("run", "tel", "-1L sseq", "pix"))  # an attempt that was lost before its manifest
     prep._finish("stereo", rows, rows.select("run").distinct())
     assert {r["sseq"] for r in prep.table("stereo").collect()} == set(range(6))
     assert not [f for f in part_files(folder + "/out/stereo") if "run=" in str(f)]
