@@ -469,6 +469,24 @@ def test_links_across_long_chains(spark):
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 104)}}
 
 
+def test_links_of_a_group_are_met_once(spark, monkeypatch):
+    """A group of like texts: its links are gone after one round, and repeats of a link count once."""
+    pairs = [(a, b) for b in range(60) for a in range(b) if (a + b) % 3] * 3 + [(200, 201), (202, 202)]
+    left = []
+
+    def written(df, label):
+        out = stored(df, label)
+        if label == "links":
+            left.append(out.count())
+        return out
+
+    stored = minhash.written
+    monkeypatch.setattr(minhash, "written", written)
+    got = {r.node: r.comp for r in minhash.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(60)}, 200: 200, 201: 200, 202: 202}
+    assert left[0] == len(set(pairs)) and len(left) > 1 and sum(left[1:]) < left[0] / 10
+
+
 @pytest.mark.parametrize("least", [0.8, 0.5])
 def test_no_pair_between_classes_goes_missing(spark, least):
     """Texts around one base at similarities from 0 to 1; every second one is of class 0."""
