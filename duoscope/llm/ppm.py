@@ -256,7 +256,16 @@ def train(texts: DataFrame, order: int, max_entries: int):
 
 
 def packed(values):
-    return values.tobytes()
+    """Numbers of eight bytes as a compressed cell: what is stored and shuffled is mostly cells."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(cell, kind):
+    import numpy as np
+
+    size = int.from_bytes(cell[:8], "little")
+    return np.frombuffer(pa.decompress(cell[8:], size, codec="zstd", asbytes=True) if size else b"", kind)
 
 
 def steps(codes):
@@ -269,7 +278,7 @@ def steps(codes):
 def unstepped(cell):
     import numpy as np
 
-    return np.cumsum(np.frombuffer(cell, np.int64))
+    return np.cumsum(unpacked(cell, np.int64))
 
 
 def parted(rows: DataFrame) -> DataFrame:
@@ -361,7 +370,7 @@ def short_levels(questions: DataFrame, order: int) -> list:
         for batch in batches:
             for codes, counts in zip(batch.column("codes"), batch.column("counts")):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unstepped(codes.as_py())), pa.array(np.frombuffer(counts.as_py(), np.int64))],
+                    [pa.array(unstepped(codes.as_py())), pa.array(unpacked(counts.as_py(), np.int64))],
                     ["code", "n"],
                 )
 
@@ -379,7 +388,7 @@ def answers(questions: DataFrame, order: int) -> DataFrame:
 
     def run(table):
         codes = [unstepped(c.as_py()) for c in table.column("codes")]
-        counts = [np.frombuffer(n.as_py(), np.int64) for n in table.column("counts")]
+        counts = [unpacked(n.as_py(), np.int64) for n in table.column("counts")]
         unique, place = np.unique(np.concatenate(codes), return_inverse=True)
         sums = np.bincount(place, np.concatenate(counts), len(unique)).astype(np.int64)
         taught = sums > 0
@@ -477,7 +486,7 @@ def score(
     def run(texts_, logs_):
         hot = shared.value
         known = np.concatenate([unstepped(c.as_py()) for c in logs_.column("codes")])
-        values = np.concatenate([np.frombuffer(c.as_py()) for c in logs_.column("logs")])
+        values = np.concatenate([unpacked(c.as_py(), np.float64) for c in logs_.column("logs")])
         known, at = np.unique(known, return_index=True)
         index, values = Index(known), values[at]
         out = []

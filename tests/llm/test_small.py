@@ -191,6 +191,15 @@ def test_pieces_have_the_same_tokens():
         assert [i for p in parts for i in whole.encode_ordinary(p)] == whole.encode_ordinary(text)
 
 
+def test_cells_of_codes_and_counts_are_small():
+    codes = np.sort(np.random.default_rng(3).choice(1 << 20, 50_000, replace=False))
+    counts = np.ones(50_000, np.int64)
+    assert (ppm.unstepped(ppm.steps(codes)) == codes).all()
+    assert (ppm.unpacked(ppm.packed(counts), np.int64) == counts).all()
+    assert len(ppm.steps(codes)) < codes.nbytes / 4 and len(ppm.packed(counts)) < counts.nbytes / 10
+    assert len(ppm.unstepped(ppm.steps(codes[:0]))) == 0
+
+
 @pytest.mark.parametrize("hot", [200_000, 3, 0])
 def test_partial_matching(spark, docs, empty, hot):
     marked = docs.withColumn("training", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)))

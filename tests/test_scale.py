@@ -34,6 +34,17 @@ def test_narrow_tables_are_as_large_as_their_rows(spark):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_tables_of_texts_are_stored_compressed(spark, monkeypatch):
+    """Only keys and positions are stored plainly; binary cells hold whole texts."""
+    paths = []
+    folder = shared.shared_folder
+    monkeypatch.setattr(shared, "shared_folder", lambda *a: paths.append(folder(*a)) or paths[-1])
+    texts = spark.range(2000).select("id", F.repeat(F.lit("some words "), 100).cast("binary").alias("data"))
+    assert written(texts, "scale-texts").count() == 2000
+    size = sum(os.path.getsize(os.path.join(paths[0], name)) for name in part_files(paths[0]))
+    assert size < 2000 * 1100 / 10
+
+
 def test_events_of_a_file_are_gathered_before_they_are_taken_apart(spark):
     rows = spark.range(60).select(
         (F.col("id") % 3).cast("string").alias("run"),
