@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from duoscope.functions.arrays import interleave
 from duoscope.operators.matching import DATA_KEYS, MC_KEYS, without_nan_keys
 from duoscope.operators.ordering import block_of, number_rows
-from duoscope.sources.events import write_event_buckets
+from duoscope.sources.events import bucket_count, write_event_buckets
 from duoscope.sources.shared import listed, written
 
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
@@ -236,12 +236,16 @@ def stereo_of_positions(selected: DataFrame, keys_from: str = "M1") -> DataFrame
     return m1.join(m2, ["run", "sseq"]).select("run", "sseq", *carried, interleave("_pix1", "_pix2").alias("pix"))
 
 
-def write_selected(events: DataFrame, kept: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+def write_selected(
+    events: DataFrame, kept: DataFrame, table: str, buckets: int | None = None, path: str | None = None
+) -> DataFrame:
     """Selected events with their position, as a table bucketed by run and position for both telescopes.
 
     Positions are assigned here, once; every later stereo join of the table leaves the features
-    where they are. ``path`` is where the table lies, the warehouse without one.
+    where they are. Without ``buckets`` the kept rows, which are narrow, are counted. ``path`` is
+    where the table lies, the warehouse without one.
     """
+    buckets = bucket_count(kept) if buckets is None else buckets
     return write_event_buckets(attach_position(events, kept), table, buckets, ("run", "sseq"), path)
 
 

@@ -108,6 +108,18 @@ def test_positioned_buckets_leave_all_features_in_place(spark, events, kept, no_
     assert feature_exchanges(plan_of(st.stereo_of_positions(st.attach_position(events, kept)))) > 0
 
 
+def test_buckets_grow_with_the_table(spark, events, kept, no_broadcast, monkeypatch):
+    """A bucket is one task's work: without a given number their rows are bounded."""
+    monkeypatch.setattr(ev, "BUCKET_ROWS", 10)
+    n = kept.count()
+    table = st.write_selected(events, kept, "plan_counted")
+    said = {r.col_name: r.data_type for r in spark.sql("describe extended plan_counted").collect()}
+    assert int(said["Num Buckets"]) == max(ev.MIN_BUCKETS, -(-n // 10)) > ev.MIN_BUCKETS
+    plan = plan_of(st.stereo_of_positions(table))
+    assert feature_exchanges(plan) == 0 and "Exchange" not in plan
+    assert ev.bucket_count(kept.limit(0)) == ev.MIN_BUCKETS
+
+
 def test_small_selections_leave_the_features_in_place(events, kept):
     plan = plan_of(st.attach_position(events, kept))
     assert feature_exchanges(plan) == 0

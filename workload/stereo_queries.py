@@ -186,7 +186,7 @@ def stereo_join_bucketed(spark, sf_dir):
     """The same from a table bucketed by run, telescope and position: M1 features stay in place."""
     events = t.calib_events(spark, sf_dir)
     buckets = ev.write_event_buckets(
-        events, f"buckets_{uuid.uuid4().hex}", 8, path=shared_folder(spark, "buckets")
+        events, f"buckets_{uuid.uuid4().hex}", path=shared_folder(spark, "buckets")
     )
     joined = st.stereo_of_kept(buckets, selected(spark, sf_dir).kept)
     return joined.select("run", "sseq", "nanotime", "time2", "id", "zd", *digest()).drop("n_features")
@@ -216,8 +216,7 @@ def stereo_join_positioned(spark, sf_dir):
         t.calib_events(spark, sf_dir),
         selected(spark, sf_dir).kept,
         f"selected_{uuid.uuid4().hex}",
-        8,
-        shared_folder(spark, "selected"),
+        path=shared_folder(spark, "selected"),
     )
     joined = st.stereo_of_positions(table)
     return joined.select("run", "sseq", "nanotime", "time2", "id", "zd", *digest()).drop("n_features")
