@@ -197,13 +197,17 @@ def select_events(
         narrow, stereo = written(narrow, "calib-keys"), written(stereo, "stereo-keys")
     completeness, wanted = None, stereo
     if valid is not None:
-        narrow = keep_valid_subruns(narrow, valid)
-        completeness = listed(complete_runs(narrow.select(*GROUP, "subrun"), valid), "complete")
+        pairs = listed(valid.select("run", "subrun").distinct(), "valid")
+        files = keep_valid_subruns(narrow.select(*GROUP, "subrun").distinct(), pairs)
+        completeness = listed(complete_runs(files, pairs), "complete")
         if completeness.filter("n_files > 0").isEmpty():
             raise ValueError("no events left in valid subruns")
-        usable = completeness.filter("complete").select(*GROUP)
+        usable = listed(completeness.filter("complete").select(*GROUP), "usable")
+        files = listed(pairs.join(usable, "run"), "usable-files")
+        # The match reads the keys several times: they are joined to the lists once.
+        narrow = narrow.join(files, [*GROUP, "subrun"], "left_semi").drop("subrun")
         wanted = stereo.join(usable, list(GROUP), "left_semi")
-        narrow = narrow.join(usable, list(GROUP), "left_semi")
+        narrow, wanted = written(narrow, "usable-keys"), written(wanted, "usable-stereo")
     match = match_events(narrow, wanted, keys, repair_tail, block_rows, stored=True)
     status = listed(run_status(match, completeness, stereo), "status")
     accepted = status.filter(F.col("status").isin(*ACCEPTED)).select(*GROUP)

@@ -17,6 +17,8 @@ from duoscope.sources.shared import listed, written
 CARRIED = ("nanotime", "time2", "id", "energy", "zd", "az")
 REPEATED = "n_1 > 1 or n_2 > 1"
 QUARANTINES = ("run", "keys")
+# Of so many runs a list is sent to all tasks (some tens of MB).
+LISTED_RUNS = 500_000
 
 
 @dataclass(frozen=True)
@@ -190,9 +192,22 @@ def attach_position(events: DataFrame, kept: DataFrame) -> DataFrame:
     return events.join(kept, ["run", "tel", "seq"])
 
 
+def of_kept_runs(events: DataFrame, kept: DataFrame) -> DataFrame:
+    """``events`` without those of runs that have no kept row, left out before any shuffle.
+
+    With more than :data:`LISTED_RUNS` runs all events are given back: a shuffle of the features by
+    run would cost more than it saves.
+    """
+    runs = listed(kept.select("run").distinct(), "kept-runs")
+    if runs.count() > LISTED_RUNS:
+        return events
+    return events.join(F.broadcast(runs), "run", "left_semi")
+
+
 def stereo_of_kept(events: DataFrame, kept: DataFrame, keys_from: str = "M1") -> DataFrame:
     """Stereo rows of selected events, with few shuffles of the features.
 
+    Events of runs without kept rows stay out (see :func:`of_kept_runs`).
     The positions of both telescopes are paired on the narrow ``kept`` table. M2
     rows then look up their partner's position and join the M1 rows there, so M1
     features move once and M2 features twice. On an event table bucketed by run,
@@ -204,6 +219,7 @@ def stereo_of_kept(events: DataFrame, kept: DataFrame, keys_from: str = "M1") ->
         "run", "sseq", F.col("tel").alias("_tel2"), F.col("seq").alias("_seq2")
     )
     pairs = k1.join(k2, ["run", "sseq"])
+    events = of_kept_runs(events, kept)
     carried = [c for c in CARRIED if c in events.columns]
     m1 = events.filter(tel == "M1").select("run", "tel", "seq", *carried, F.col("pix").alias("_pix1"))
     m2 = events.filter(tel == "M2").select(

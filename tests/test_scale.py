@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import QUERIES
 from duoscope.operators import files as fi
+from duoscope.operators import matching
+from duoscope.operators import selection as sel
 from duoscope.operators import statistics as stt
 from duoscope.operators import stereo as st
+from duoscope.operators.ordering import with_occurrence
 from duoscope.plans.resume import Preparation
 from duoscope.sources import events as ev
 from duoscope.sources import shared
@@ -171,3 +174,52 @@ def test_stages_have_no_folder_per_run(spark, folder):
     prep._finish("stereo", rows, rows.select("run").distinct())
     assert {r["sseq"] for r in prep.table("stereo").collect()} == set(range(6))
     assert not [f for f in part_files(folder + "/out/stereo") if "run=" in str(f)]
+
+
+KEYS = "run string, tel string, nanotime double, time2 double, id long"
+
+
+def few_keys(spark, position):
+    """A run whose keys repeat in mixed order: only a walk tells the partners."""
+    ids = {"seq": [1, 2, 1, 2, 2], "sseq": [2, 1, 2]}[position]
+    return spark.createDataFrame([("a", "M1", 0.0, 0.0, k, i) for i, k in enumerate(ids)], f"{KEYS}, {position} long")
+
+
+def test_runs_of_one_block_are_walked_without_bounds(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_windows", None)
+    match = matching.match_events(few_keys(spark, "seq"), few_keys(spark, "sseq"))
+    assert [tuple(r)[2:] for r in match.kept.orderBy("sseq").collect()] == [(0, 1), (1, 2), (2, 3)]
+    assert [r["status"] for r in match.status.collect()] == ["ok"]
+
+
+def test_counts_between_blocks_need_long_groups(spark):
+    rows = few_keys(spark, "seq")
+    short, long_ones = (with_occurrence(rows, ["run"], ["id"], "seq", block) for block in (10, 2))
+    joins = [rows._jdf.queryExecution().optimizedPlan().toString().count("Join") for rows in (short, long_ones)]
+    assert joins[0] == 0 and joins[1] > 0
+    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long_ones.collect()))
+
+
+def test_the_match_reads_keys_that_are_restricted_already(spark, monkeypatch):
+    """The lists of valid subruns and usable runs are joined to the keys once, not at each reading."""
+    seen, match = [], sel.match_events
+    monkeypatch.setattr(sel, "match_events", lambda calib, stereo, *a, **o: seen.extend([calib, stereo]) or match(calib, stereo, *a, **o))
+    keys = spark.createDataFrame([("a", tel, 1.0, 2.0, k) for tel in ("M1", "M2") for k in range(3)], KEYS)
+    events = keys.selectExpr("*", "'000' subrun", "id as seq")
+    stereo, valid = keys.selectExpr("*", "id as sseq"), spark.createDataFrame([("a", "000"), ("b", "000")], "run string, subrun string")
+    assert sel.select_events(events, stereo, valid).kept.count() == 6
+    assert len(seen) == 2 and not any("Join" in rows._jdf.queryExecution().optimizedPlan().toString() for rows in seen)
+
+
+def test_events_of_runs_without_kept_rows_are_not_shuffled(spark, monkeypatch):
+    events = spark.range(40).selectExpr(
+        "concat('r', id % 4) run", "if(id < 20, 'M1', 'M2') tel", "id % 20 as seq", "array(cast(id as float)) pix"
+    )
+    kept = written(events.filter("run = 'r1'").selectExpr("run", "tel", "seq", "seq as sseq"), "scale-kept")
+    listed = st.stereo_of_kept(events, kept)
+    assert "LeftSemi" in listed._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(st, "LISTED_RUNS", 0)
+    whole = st.stereo_of_kept(events, kept)
+    assert "LeftSemi" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    rows = [sorted((r["run"], r["sseq"], tuple(r["pix"])) for r in found.collect()) for found in (listed, whole)]
+    assert rows[0] == rows[1] and len(rows[0]) == 5
