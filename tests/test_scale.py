@@ -17,6 +17,7 @@ from duoscope.sources import events as ev
 from duoscope.sources import shared
 from duoscope.sources.shared import written
 from workload import tables as t
+from workload.fixtures import write_files
 
 
 def part_files(folder):
@@ -223,3 +224,31 @@ def test_events_of_runs_without_kept_rows_are_not_shuffled(spark, monkeypatch):
     assert "LeftSemi" not in whole._jdf.queryExecution().optimizedPlan().toString()
     rows = [sorted((r["run"], r["sseq"], tuple(r["pix"])) for r in found.collect()) for found in (listed, whole)]
     assert rows[0] == rows[1] and len(rows[0]) == 5
+
+
+def test_paths_of_many_files_are_fetched_in_few_jobs(spark, folder):
+    """The driver does not run one job for every few files that it lists."""
+    for number in range(40):
+        with open(f"{folder}/20240101_M1_{number:08d}.001_Y_Src.csv", "w") as out:
+            out.write(f"{number}.5,1,{number},1,20,90\n")
+    files = ev.listed_files(spark, folder).repartition(40)
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    before = scheduler.numTotalJobs()
+    lines = ev.text_of(spark, files)
+    assert scheduler.numTotalJobs() - before < 2 * spark.sparkContext.defaultParallelism
+    assert lines.count() == 40
+
+
+def test_input_files_lie_in_the_folders_of_their_names(spark, folder):
+    """Two calls with the same names add files; lines keep their order."""
+    lines = spark.createDataFrame([(f"f{i // 3}", f"{i},ä") for i in range(9)] + [(None, "x")], "name string, value string")
+    for _ in range(2):
+        write_files(lines.repartitionByRange(2, "name").sortWithinPartitions("name", "value"), f"{folder}/land")
+    names = sorted(os.listdir(f"{folder}/land"))
+    assert names == ["name=__HIVE_DEFAULT_PARTITION__", "name=f0", "name=f1", "name=f2"]
+    parts = part_files(f"{folder}/land/name=f1")
+    assert len(parts) == 2
+    for part in parts:
+        with open(f"{folder}/land/name=f1/{part}", encoding="utf-8") as text:
+            assert text.read() == "3,ä\n4,ä\n5,ä\n"
+    assert spark.read.text(f"{folder}/land").count() == 20
