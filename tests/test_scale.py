@@ -252,3 +252,40 @@ def test_input_files_lie_in_the_folders_of_their_names(spark, folder):
         with open(f"{folder}/land/name=f1/{part}", encoding="utf-8") as text:
             assert text.read() == "3,ä\n4,ä\n5,ä\n"
     assert spark.read.text(f"{folder}/land").count() == 20
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_files_of_events_do_not_follow_the_groups(spark, folder, gather):
+    """Two hundred groups in four folders; new groups are added, rewritten ones replaced, all others stay."""
+    rows = spark.range(400).selectExpr(
+        "if(id % 100 = 9, null, concat('0', id % 100)) run", "if(id % 200 < 100, 'M1', 'M2') tel", "id as seq", "array(cast(id as double)) pix"
+    ).repartition(3)
+
+    def write(given):
+        return ev.write_events(given, f"{folder}/out", ("run", "tel"), gather, parts=4)
+
+    write(rows.filter("tel = 'M1'"))
+    assert len(part_files(f"{folder}/out")) <= (4 if gather else 12)
+    write(rows.filter("tel = 'M2'"))
+    assert len(part_files(f"{folder}/out")) <= (8 if gather else 24)
+    changed = rows.filter("tel = 'M1' and (run is null or run in ('03', '04'))").withColumn("seq", -F.col("seq"))
+    more = changed.filter("run = '03'").withColumn("run", F.lit("new"))
+    found = write(changed.unionByName(more))
+    want = rows.filter("tel = 'M2' or not (run is null or run in ('03', '04'))").unionByName(changed).unionByName(more)
+    key = ["run", "tel", "seq"]
+    assert found.columns == rows.columns and dict(found.dtypes)["pix"] == "array<float>"
+    same = [sorted((str(r["run"]), r["tel"], r["seq"]) for r in table.select(key).collect()) for table in (found, want)]
+    assert same[0] == same[1] and len(same[0]) == 402
+
+
+def test_folders_without_rewritten_groups_are_not_touched(spark, folder):
+    rows = spark.range(60).selectExpr("concat('r', id % 20) run", "id as seq", "array(cast(id as float)) pix")
+    ev.write_events(rows, f"{folder}/out", gather=True, parts=8)
+
+    def files():
+        return {os.path.join(place, name) for place, _, names in os.walk(f"{folder}/out") for name in names if name.startswith("part-")}
+
+    before = files()
+    ev.write_events(rows.filter("run = 'r5'"), f"{folder}/out", gather=True, parts=8)
+    assert len(before - files()) == 1
+    assert ev.read_events(spark, f"{folder}/out").count() == 60
