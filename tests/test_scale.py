@@ -16,6 +16,7 @@ from duoscope.plans.resume import Preparation
 from duoscope.sources import events as ev
 from duoscope.sources import shared
 from duoscope.sources.shared import written
+from duoscope.streaming.ingest import land_calib, landed_events
 from workload import tables as t
 from workload.fixtures import write_files
 
@@ -289,3 +290,21 @@ def test_folders_without_rewritten_groups_are_not_touched(spark, folder):
     ev.write_events(rows.filter("run = 'r5'"), f"{folder}/out", gather=True, parts=8)
     assert len(before - files()) == 1
     assert ev.read_events(spark, f"{folder}/out").count() == 60
+
+
+def test_scans_with_their_features_are_stored_packed(spark, folder, monkeypatch):
+    """A scan is stored beside its text: as small as it gets."""
+    os.mkdir(f"{folder}/text")
+    with open(f"{folder}/text/20240101_M1_00000001.001_Y_Src.csv", "w") as out:
+        out.writelines(f"{i}.5,1,{i},{i},{i + 1},20,90\n" for i in range(30))
+    paths, place = [], shared.shared_folder
+    monkeypatch.setattr(shared, "shared_folder", lambda *a: paths.append(place(*a)) or paths[-1])
+    scanned = ev.with_seq(ev.read_calib(spark, f"{folder}/text"))
+    land_calib(spark, f"{folder}/text", f"{folder}/landed", f"{folder}/marks")
+    for rows in (scanned, landed_events(spark, f"{folder}/landed")):
+        assert sorted((r["seq"], r["id"]) for r in rows.collect()) == [(i, i) for i in range(30)]
+    table = ev.store_calib(spark, f"{folder}/text", f"{folder}/table")
+    assert sorted((r["seq"], r["id"]) for r in table.collect()) == [(i, i) for i in range(30)]
+    for where in (paths[0], f"{folder}/landed", f"{folder}/table"):
+        stored = [name for name in part_files(where) if name.endswith("parquet")]
+        assert stored and all(".zstd." in name for name in stored)
