@@ -19,6 +19,7 @@ from duoscope.sources.shared import written
 from duoscope.streaming.ingest import land_calib, landed_events
 from workload import tables as t
 from workload.fixtures import write_files
+from workload.source_queries import write_keys
 
 
 def part_files(folder):
@@ -308,3 +309,37 @@ def test_scans_with_their_features_are_stored_packed(spark, folder, monkeypatch)
     for where in (paths[0], f"{folder}/landed", f"{folder}/table"):
         stored = [name for name in part_files(where) if name.endswith("parquet")]
         assert stored and all(".zstd." in name for name in stored)
+
+
+def test_input_is_looked_at_in_one_task(spark, folder):
+    """Whether there are rows at all is not asked of every partition of a scan."""
+    for run in range(40):
+        with open(f"{folder}/2024_{run}_S_x.csv", "w") as out:
+            out.write("nanotime_1,time2_1,id_1,nanotime_2,time2_2,id_2\n1,2,3,4,5,6\n")
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    scheduler, tracker = spark.sparkContext._jsc.sc().dagScheduler(), spark.sparkContext.statusTracker()
+    spark.conf.set(cost, "128m")  # a partition for each file
+    try:
+        first = scheduler.numTotalJobs()
+        rows = ev.require_nonempty(spark, folder, "csv", recursiveFileLookup="true", header="true", schema="a string")
+        jobs = [tracker.getJobInfo(number) for number in range(first, scheduler.numTotalJobs())]
+        assert sum(tracker.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds) == 1
+        assert rows.rdd.getNumPartitions() == 40
+    finally:
+        spark.conf.set(cost, before)
+
+
+def test_key_files_are_those_of_the_csv_writer(spark, folder):
+    """Header, cells and nulls, read back by name; files of several tasks each have a header."""
+    rows = spark.createDataFrame(
+        [("20240101_1_S_Src_mergecols.csv", i, i + 0.5, None if i == 2 else 1e20 * i, float("nan")) for i in range(5)],
+        "name string, place long, a double, b double, c double",
+    )
+    write_keys(rows, "place", f"{folder}/tasks")
+    rows.drop("place").write.partitionBy("name").option("header", "true").csv(f"{folder}/writer")
+    reader = spark.read.options(header="true", inferSchema="true", recursiveFileLookup="true")
+    same = [reader.csv(f"{folder}/{kind}").orderBy("a").collect() for kind in ("tasks", "writer")]
+    assert str(same[0]) == str(same[1]) and len(same[0]) == 5
+    files = [name for _, _, names in os.walk(f"{folder}/tasks") for name in names]
+    assert files and set(files) == {"name=20240101_1_S_Src_mergecols.csv"}
